@@ -64,13 +64,15 @@ def ranked_running_total(
         F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__s"))
     before = Window.partitionBy(key).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
-        key, _PIECE,
+        F.col(key).alias("__key"), F.col(_PIECE).alias("__piece_o"),
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"),
         F.coalesce(F.sum("__s").over(before), F.lit(0)).cast(out_type).alias("__s0"),
     )
+    # null-safe on the key: rows whose key is null form one group, as in SQL
+    on = F.col(key).eqNullSafe(F.col("__key")) & (F.col(_PIECE) == F.col("__piece_o"))
     return (
-        local.join(offsets, [key, _PIECE])
+        local.join(offsets, on)
         .withColumn(rank_col, (F.col("__lrank") + F.col("__n0")).cast("bigint"))
         .withColumn(total_col, (F.col("__lsum").cast(out_type) + F.col("__s0")).cast(out_type))
-        .drop(_PIECE, "__lrank", "__lsum", "__n0", "__s0")
+        .drop(_PIECE, "__piece_o", "__key", "__lrank", "__lsum", "__n0", "__s0")
     )

@@ -22,7 +22,7 @@ from tablewright.operators.windows import ranked_running_total
 from tablewright.params import JobParam, bind
 from tablewright.plans import jobs
 from tablewright.schemas import LIMITS_COLUMNS, WIDE_DOCUMENT_COLUMNS
-from tablewright.session import new_work_dir, unique_name
+from tablewright.session import new_work_dir, spread, unique_name, widen_codegen
 from tablewright.sinks.csv import write_csv
 from tablewright.sinks.delimited import write_delimited
 from tablewright.sinks.sequence import write_sequence
@@ -38,14 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _stage_csv(spark: SparkSession, df: DataFrame, label: str, header: bool) -> str:
     path = new_work_dir(spark, label)
-    write_csv(df, path, header=header)
+    write_csv(spread(df), path, header=header)
     return path
 
 
 def _stage_table(spark: SparkSession, df: DataFrame, label: str) -> str:
     """A catalog table holding ``df``, files in the shared folder."""
     name = unique_name(label)
-    df.write.format("parquet").option("path", new_work_dir(spark, label)).saveAsTable(name)
+    spread(df).write.format("parquet").option("path", new_work_dir(spark, label)).saveAsTable(name)
     return name
 
 
@@ -71,8 +71,8 @@ def param_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     path = new_work_dir(spark, "events-csv")
-    write_csv(events, path)
-    write_csv(events, path)  # overwrite of an existing target
+    write_csv(spread(events), path)
+    write_csv(spread(events), path)  # overwrite of an existing target
     return read_csv_typed(spark, path, events.schema)
 
 
@@ -144,7 +144,7 @@ LIMITS_FROM_CUSTOMER = [
 
 
 def delimited_charset_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").selectExpr(*LIMITS_FROM_CUSTOMER)
+    rows = spread(table(spark, sf_dir, "customer")).selectExpr(*LIMITS_FROM_CUSTOMER)
     data_file = new_work_dir(spark, "det-crit-lim-data")
     write_delimited(rows, data_file, sep="\t", charset="windows-1251")
     name = unique_name("det_crit_lim")
@@ -216,6 +216,7 @@ def wide_document_exprs(dialect: str) -> list[str]:
 
 
 def wide_snapshot_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    widen_codegen(spark, len(WIDE_DOCUMENT_COLUMNS))
     wide = table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark"))
     src = _stage_table(spark, wide, "z_main_docum")
     target = jobs.SequenceTable(new_work_dir(spark, "z_main_docum_archive_seq"), WIDE_DOCUMENT_COLUMNS)
@@ -225,7 +226,7 @@ def wide_snapshot_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sequencefile_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     path = new_work_dir(spark, "events-seq")
-    write_sequence(events, path, compression="BLOCK")
+    write_sequence(spread(events), path, compression="BLOCK")
     return read_sequence(spark, path, events.schema)
 
 

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
     ByteType,
@@ -42,7 +44,14 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString().rstrip("/")
 
 
+def _canon(uri: str) -> str:
+    """``file:/x``, ``file:///x`` and ``file://x/`` spelled one way."""
+    parts = urlsplit(uri)
+    return f"{parts.scheme}://{parts.netloc}{unquote(parts.path)}".rstrip("/")
+
+
 def _overlaps(a: str, b: str) -> bool:
+    a, b = _canon(a), _canon(b)
     return a == b or a.startswith(b + "/") or b.startswith(a + "/")
 
 

@@ -32,12 +32,18 @@ def read_csv_typed(
     null_value: str | None = None,
     sep: str = ",",
     mode: str = "PERMISSIVE",
+    multiline: bool = False,
 ) -> DataFrame:
-    """Declared schema; ``mode="FAILFAST"`` turns ragged or bad rows into errors."""
+    """Declared schema; ``mode="FAILFAST"`` turns ragged or bad rows into errors.
+
+    ``multiline`` is needed when quoted values hold line breaks; each file is
+    then read by one task (a record may cross any byte offset).
+    """
     return (
         spark.read.schema(schema)
         .options(**csv_options(sep, null_value, header))
         .option("mode", mode)
+        .option("multiLine", str(multiline).lower())
         .csv(path)
     )
 

@@ -1,0 +1,66 @@
+import datetime as dt
+import decimal
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tablewright.operators.filters import where_equals, where_sql
+from tablewright.operators.preview import preview, schema_report
+from tablewright.operators.windows import ranked_running_total
+from tablewright.params import JobParam, bind
+
+
+def _naive(df):
+    w = Window.partitionBy("k").orderBy("t", "id")
+    return df.select(
+        "id", "k",
+        F.row_number().over(w).cast("bigint").alias("rn"),
+        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(38,2)").alias("running_total"))
+
+
+def test_running_total_matches_plain_window_with_hot_and_null_keys(spark):
+    # key 0 holds a third of all rows; null keys form one group
+    rows = []
+    for i in range(3000):
+        k = 0 if i % 3 == 0 else (None if i % 97 == 0 else i % 50)
+        rows.append((i, k, dt.datetime(2020, 1, 1) + dt.timedelta(minutes=i % 400),
+                     decimal.Decimal(i % 1000) / 100))
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz, v decimal(17,2)")
+    got = ranked_running_total(df, "k", [F.col("t"), F.col("id")], "v", num_ranges=16)
+    got = got.select("id", "k", "rn", "running_total")
+    assert sorted(got.collect()) == sorted(_naive(df).collect())
+    # the hot key was split over several ranges
+    pieces = df.repartitionByRange(16, "k", "t", "id").where("k = 0") \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert pieces > 1
+
+
+def test_running_total_integer_and_empty(spark):
+    df = spark.createDataFrame([(1, 1, 5), (2, 1, 7), (3, 2, 1)], "id int, k int, v int")
+    got = ranked_running_total(df, "k", ["id"], "v").orderBy("id").collect()
+    assert [(r["rn"], r["running_total"]) for r in got] == [(1, 5), (2, 12), (1, 1)]
+    assert ranked_running_total(df.where("id > 10"), "k", ["id"], "v").count() == 0
+
+
+def test_filters_and_params(spark):
+    df = spark.createDataFrame([("CAE",), ("cae",), ("CAE ",), (None,)], "Code string")
+    assert where_equals(df, "code", "CAE").count() == 1  # names are case-insensitive
+    df.createOrReplaceTempView("tw_filters")
+    params = [JobParam("limit", "int", 7)]
+    assert bind(params) == {"limit": 7}
+    assert bind(params, {"limit": "3"}) == {"limit": 3}
+    with pytest.raises(ValueError):
+        bind(params, {"other": 1})
+    assert where_sql(spark, "tw_filters", "Code = :v", {"v": "CAE"}).count() == 1
+    # a bound value is a literal, never SQL
+    assert where_sql(spark, "tw_filters", "Code = :v", {"v": "x' OR '1'='1"}).count() == 0
+
+
+def test_preview_and_schema_report(spark):
+    df = spark.range(100).withColumn("s", F.lit("x"))
+    assert [r["id"] for r in preview(df, 5, order_by=["id"]).collect()] == [0, 1, 2, 3, 4]
+    assert preview(df).count() == 20
+    rep = schema_report(df).collect()
+    assert [(r.ordinal, r.name, r.type, r.nullable) for r in rep] == [
+        (1, "id", "bigint", False), (2, "s", "string", False)]
