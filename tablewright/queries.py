@@ -58,6 +58,16 @@ def csv_header_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 view=unique_name("table1"))
 
 
+def csv_header_filter_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 as an incremental (Structured Streaming, availableNow) run."""
+    from tablewright.streaming import incremental_filter_csv_copy
+
+    src = _stage_csv(spark, table(spark, sf_dir, "customer"), "customer-landing", header=True)
+    return incremental_filter_csv_copy(
+        spark, src, new_work_dir(spark, "filtered-stream"), new_work_dir(spark, "stream-checkpoint"),
+        column="c_mktsegment", params={"value": "BUILDING"})
+
+
 def param_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PAR-1: a typed job parameter with a default, bound into the SQL."""
     params = [JobParam("seg", "string", "BUILDING", "Market segment")]
@@ -252,6 +262,7 @@ def window_rank_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "csv_header_filter": csv_header_filter,
+    "csv_header_filter_incremental": csv_header_filter_incremental,
     "param_filter": param_filter,
     "csv_overwrite_roundtrip": csv_overwrite_roundtrip,
     "csv_positional_project": csv_positional_project,
@@ -286,6 +297,8 @@ def _wide_csv_oracle() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "csv_header_filter": f"SELECT {_customer_as_text()} FROM customer WHERE c_mktsegment = 'BUILDING'",
+    "csv_header_filter_incremental": (f"SELECT {_customer_as_text()} FROM customer "
+                                      "WHERE c_mktsegment = 'BUILDING'"),
     "param_filter": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
     "csv_overwrite_roundtrip": "SELECT * FROM events",
     "csv_positional_project": ("SELECT l_returnflag AS type1, CAST(l_orderkey AS VARCHAR) AS region, "
