@@ -1,8 +1,10 @@
 """Exact text encodings for rows.
 
-Spark's CSV defaults lose data: timestamps are cut to milliseconds and a
-quote inside a value is escaped with a backslash, which other readers do not
-understand.  ``csv_options`` fixes both; ``encode_record``/``decode_record``
+Spark's CSV defaults lose data: timestamps are cut to milliseconds, the
+writer trims leading and trailing whitespace (``" a "`` becomes ``a``, a
+leading ``\r`` vanishes), and a quote inside a value is escaped with a
+backslash, which other readers do not understand.  ``csv_options`` fixes
+all three; ``encode_record``/``decode_record``
 turn a whole row into one delimited text value and back (the payload of a
 SequenceFile record) with the same options, so tabs, newlines, quotes, empty
 strings and nulls all survive.
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 MICROS_TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MICROS_TS_LTZ = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
@@ -23,31 +25,70 @@ def csv_options(
     sep: str = ",",
     null_value: str | None = None,
     header: bool = False,
+    line_sep: str | None = None,
 ) -> dict[str, str]:
-    """Reader/writer options that round-trip every value exactly."""
+    """Reader/writer options that round-trip every value exactly.
+
+    ``line_sep="\\n"`` must be given on both sides for a ``\\r`` inside a
+    quoted value to survive; readers of foreign files leave it unset so
+    CRLF lines are still recognised.
+    """
     opts = {
         "sep": sep,
         "quote": '"',
         "escape": '"',
         "timestampNTZFormat": MICROS_TS,
         "timestampFormat": MICROS_TS_LTZ,
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
         "header": str(header).lower(),
     }
     if null_value is not None:
         opts["nullValue"] = null_value
+    if line_sep is not None:
+        opts["lineSep"] = line_sep
     return opts
 
 
-def encode_record(columns: list[str], sep: str = "\t", null_value: str = HIVE_NULL) -> Column:
-    """One text value per row: delimited, quoted only where needed."""
-    return F.to_csv(F.struct(*[F.col(c) for c in columns]), csv_options(sep, null_value))
+def _escape(c: Column, null_value: str) -> Column:
+    """Prefix a backslash to strings that start with one or equal the null
+    marker, so no value can be read back as null."""
+    clash = c.startswith("\\") | (c == F.lit(null_value))
+    return F.when(clash, F.concat(F.lit("\\"), c)).otherwise(c)
+
+
+def _unescape(c: Column) -> Column:
+    return F.when(c.startswith("\\"), c.substr(F.lit(2), F.length(c))).otherwise(c)
+
+
+def encode_record(schema: StructType, sep: str = "\t", null_value: str = HIVE_NULL) -> Column:
+    """One text value per row: delimited, quoted only where needed.
+
+    Strings starting with a backslash (or equal to the null marker) get one
+    more leading backslash, so the null marker only ever means null.
+    """
+    cols = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, StringType):
+            c = _escape(c, null_value)
+        cols.append(c.alias(f.name))
+    return F.to_csv(F.struct(*cols), csv_options(sep, null_value))
 
 
-def decode_record(record: Column, schema: StructType, sep: str = "\t", null_value: str = HIVE_NULL) -> Column:
-    """Struct column parsed from ``encode_record`` output."""
+def decode_record(record: Column, schema: StructType, sep: str = "\t",
+                  null_value: str = HIVE_NULL) -> list[Column]:
+    """The columns of ``schema`` parsed from ``encode_record`` output."""
     opts = csv_options(sep, null_value)
     opts.pop("header")
-    return F.from_csv(record, _ddl(schema), opts)
+    parsed = F.from_csv(record, _ddl(schema), opts)
+    out = []
+    for f in schema.fields:
+        c = parsed.getField(f.name)
+        if isinstance(f.dataType, StringType):
+            c = _unescape(c)
+        out.append(c.alias(f.name))
+    return out
 
 
 def _ddl(schema: StructType) -> str:

@@ -17,12 +17,18 @@ def write_csv(
     sep: str = ",",
     null_value: str | None = None,
     sources: list[str] = (),
+    compression: str | None = None,
 ) -> None:
     """Write ``df`` as CSV, one file per task (no funnel through one task).
 
     ``header=False`` matches a plain ``write.csv`` (names are not kept);
-    microsecond timestamps and RFC-4180 quote doubling are always on.
+    microsecond timestamps, kept whitespace and RFC-4180 quote doubling are
+    always on.  ``compression`` (``gzip``, ``zstd``, …) applies to this
+    write only.
     """
     if mode == "overwrite":
         assert_not_reading(df.sparkSession, df, path, list(sources))
-    df.write.mode(mode).options(**csv_options(sep, null_value, header)).csv(path)
+    opts = csv_options(sep, null_value, header, line_sep="\n")
+    if compression:
+        opts["compression"] = compression
+    df.write.mode(mode).options(**opts).csv(path)

@@ -33,15 +33,18 @@ def read_csv_typed(
     sep: str = ",",
     mode: str = "PERMISSIVE",
     multiline: bool = False,
+    line_sep: str | None = None,
 ) -> DataFrame:
     """Declared schema; ``mode="FAILFAST"`` turns ragged or bad rows into errors.
 
     ``multiline`` is needed when quoted values hold line breaks; each file is
-    then read by one task (a record may cross any byte offset).
+    then read by one task (a record may cross any byte offset).  Give
+    ``line_sep="\\n"`` for files this library wrote, to keep ``\\r`` inside
+    values exact.
     """
     return (
         spark.read.schema(schema)
-        .options(**csv_options(sep, null_value, header))
+        .options(**csv_options(sep, null_value, header, line_sep))
         .option("mode", mode)
         .option("multiLine", str(multiline).lower())
         .csv(path)

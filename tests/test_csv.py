@@ -64,7 +64,7 @@ def test_text_values_roundtrip(spark, workdir):
     files = glob.glob(local_path(f"{workdir}/t") + "/part-*")
     raw = "".join(open(f).read() for f in files)
     assert '"q""r"' in raw  # RFC-4180 doubling, not backslash
-    back = read_csv_typed(spark, f"{workdir}/t", "id int, s string", multiline=True)
+    back = read_csv_typed(spark, f"{workdir}/t", "id int, s string", multiline=True, line_sep="\n")
     got = dict((r["id"], r["s"]) for r in back.collect())
     assert got == {1: None, 2: None, 3: "x,y", 4: 'q"r', 5: "n\nl"}
 
