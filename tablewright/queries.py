@@ -22,7 +22,7 @@ from tablewright.operators.windows import ranked_running_total
 from tablewright.params import JobParam, bind
 from tablewright.plans import jobs
 from tablewright.schemas import LIMITS_COLUMNS, WIDE_DOCUMENT_COLUMNS
-from tablewright.session import new_work_dir, spread, unique_name, widen_codegen
+from tablewright.session import new_work_dir, spread, unique_name
 from tablewright.sinks.csv import write_csv
 from tablewright.sinks.delimited import write_delimited
 from tablewright.sinks.sequence import write_sequence
@@ -226,7 +226,6 @@ def wide_document_exprs(dialect: str) -> list[str]:
 
 
 def wide_snapshot_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    widen_codegen(spark, len(WIDE_DOCUMENT_COLUMNS))
     wide = table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark"))
     src = _stage_table(spark, wide, "z_main_docum")
     target = jobs.SequenceTable(new_work_dir(spark, "z_main_docum_archive_seq"), WIDE_DOCUMENT_COLUMNS)

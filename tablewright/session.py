@@ -102,14 +102,3 @@ def spread(df):
         return df.repartition(target)
     return df
 
-
-def widen_codegen(spark: SparkSession, n_fields: int) -> None:
-    """Keep whole-stage codegen and the vectorised Parquet reader for wide rows.
-
-    Both are switched off above ``spark.sql.codegen.maxFields`` (100); a
-    163-column copy measured ~25% faster with the limit raised to cover it.
-    The setting is per session and only ever raised.
-    """
-    current = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
-    if n_fields > current:
-        spark.conf.set("spark.sql.codegen.maxFields", str(n_fields))

@@ -38,6 +38,22 @@ def bounds(spark: SparkSession, url: str, table: str, column: str,
     return row["lo"], row["hi"]
 
 
+def partition_options(column: str, lower: object, upper: object, num_partitions: int) -> dict[str, str]:
+    """Options that split a JDBC read into ``num_partitions`` range queries.
+
+    The bounds only decide the stride; the first and last ranges are open,
+    so rows outside [lower, upper] are still read.
+    """
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be >= 1")
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(lower),
+        "upperBound": str(upper),
+        "numPartitions": str(num_partitions),
+    }
+
+
 def read_warehouse(
     spark: SparkSession,
     url: str,
@@ -54,15 +70,10 @@ def read_warehouse(
     opts = jdbc_options(url, table, options)
     opts.setdefault("fetchsize", str(fetch_size))
     if partition_column:
-        if not num_partitions or num_partitions < 1:
-            raise ValueError("num_partitions must be >= 1 with partition_column")
+        if not num_partitions:
+            raise ValueError("num_partitions is required with partition_column")
         if lower_bound is None or upper_bound is None:
             lower_bound, upper_bound = bounds(spark, url, table, partition_column, options)
-        if lower_bound is not None:
-            opts.update({
-                "partitionColumn": partition_column,
-                "lowerBound": str(lower_bound),
-                "upperBound": str(upper_bound),
-                "numPartitions": str(num_partitions),
-            })
+        if lower_bound is not None:  # an empty table needs no split
+            opts.update(partition_options(partition_column, lower_bound, upper_bound, num_partitions))
     return spark.read.format(fmt).options(**opts).load()

@@ -1,0 +1,33 @@
+"""Warehouse (JDBC) plumbing.  No database is started here, so these tests
+cover the options and guards; the reads and writes themselves are Spark's
+JDBC source."""
+
+import pytest
+
+from tablewright.errors import SelfOverwriteError
+from tablewright.plans import jobs
+from tablewright.sinks.warehouse import write_warehouse
+from tablewright.sources.warehouse import jdbc_options, partition_options
+
+URL = "jdbc:postgresql://warehouse.example:5439/dev"
+
+
+def test_jdbc_options_take_caller_credentials():
+    opts = jdbc_options(URL, "public.category", {"user": "u", "password": "p", "tempdir": "s3a://b/t"})
+    assert opts == {"url": URL, "dbtable": "public.category", "user": "u", "password": "p",
+                    "tempdir": "s3a://b/t"}
+
+
+def test_partition_options():
+    assert partition_options("catid", 1, 100, 4) == {
+        "partitionColumn": "catid", "lowerBound": "1", "upperBound": "100", "numPartitions": "4"}
+    with pytest.raises(ValueError):
+        partition_options("catid", 1, 100, 0)
+
+
+def test_write_back_into_source_is_refused(spark):
+    df = spark.range(3)
+    with pytest.raises(SelfOverwriteError):
+        write_warehouse(df, URL, "public.Category", source=(URL, "public.category"))
+    with pytest.raises(SelfOverwriteError):
+        jobs._overwrite(df, jobs.Warehouse(URL, "public.category"), jobs.Warehouse(URL, "public.category"))
