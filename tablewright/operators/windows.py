@@ -13,7 +13,11 @@ makes that task a third of the job.  This operator splits keys instead:
    offset, joined back on (key, range).
 
 The range exchange is shared by both branches (Spark reuses it), so the
-input is shuffled once for the ranges and once for the pieces.  Sums are
+input is shuffled once for the ranges and once for the pieces.  Pieces are
+placed on tasks by hash, so there are four ranges per task by default:
+smaller pieces even out the placement (measured at sf0.1 with one key
+holding a third of the rows: largest task 62.7k rows with a plain window,
+41.6k with one range per task, 27.2k with four; ideal 18.75k).  Sums are
 exact when ``value`` is decimal or integral; a floating-point running sum
 would depend on the order of additions.
 """
@@ -51,7 +55,7 @@ def ranked_running_total(
     ``order`` must make rows unique within a key, as for any row_number.
     """
     spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     out_type = _total_type(df, value)
     ranged = df.repartitionByRange(n, F.col(key), *order).withColumn(_PIECE, F.spark_partition_id())
 
