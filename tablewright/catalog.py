@@ -13,7 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.schemas import ddl
-from tablewright.sources.delimited import delimited_options, enable_charset
+from tablewright.sinks.tables import insert_overwrite
+from tablewright.sources.delimited import delimited_options, enable_charset, read_delimited
 
 
 def _quote(value: str) -> str:
@@ -98,9 +99,6 @@ def load_file_overwrite(spark: SparkSession, table: str, path: str, *,
     replaced by an insert.  The file is validated by the read, which LOAD
     DATA (a byte copy) never did; the source file is left in place.
     """
-    from tablewright.sinks.tables import insert_overwrite  # avoid import cycle
-    from tablewright.sources.delimited import read_delimited
-
     meta = {r["col_name"]: r["data_type"] for r in
             spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     props = meta.get("Storage Properties", "")

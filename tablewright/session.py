@@ -1,4 +1,4 @@
-"""Session helpers: shared work folders, scoped settings, capability probes.
+"""Session helpers: shared work folders, capability probes, parallelism floor.
 
 Staged files and lineage cuts go under the shared folder the cluster names in
 ``spark.checkpoint.dir``.  Only a local-mode session without that setting gets
@@ -8,10 +8,8 @@ a machine-local folder is invisible to the other executors.
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -50,26 +48,6 @@ def unique_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:10]}"
 
 
-@contextlib.contextmanager
-def scoped_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    """Apply session settings for one block and restore the old values.
-
-    Session-wide settings leak into every later statement; writes that need
-    a setting take it here and give it back.
-    """
-    old = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, str(v))
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def has_avro(spark: SparkSession) -> bool:
     """True when the ``avro`` data source resolves in this session.
 
@@ -84,10 +62,6 @@ def has_avro(spark: SparkSession) -> bool:
         return not ("DATA_SOURCE_NOT_FOUND" in text or "Failed to find data source" in text)
 
 
-def has_hive_catalog(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
-
-
 def spread(df):
     """Use every core when the input arrives in fewer splits than cores.
 
