@@ -4,22 +4,28 @@
 put every row of a key into one task; a key holding a third of the table
 makes that task a third of the job.  This operator splits keys instead:
 
-1. range-partition the rows on (key, order…) — Spark samples the sort keys,
-   so a hot key is cut into several ranges by its order columns;
+1. range-partition the rows on (key, order…) into ranges — Spark samples the
+   sort keys, so a hot key is cut into several ranges by its order columns;
 2. number and sum within each (key, range) piece with an ordinary window —
-   no piece is larger than one range partition;
-3. per key, the exclusive prefix of piece sizes and sums (a table of at most
-   one row per piece, i.e. #keys + #ranges rows) gives each piece its
-   offset, joined back on (key, range).
+   no piece is larger than one range;
+3. fix up the pieces that continue a key from earlier ranges.  The rows are
+   sorted by key, so only a range's *first* key can have rows in earlier
+   ranges, and those earlier rows are the *last* key of each preceding range
+   in an unbroken run.  One summary row per range (first row, last key and
+   that key's local count and sum) is enough to compute every offset; the
+   offsets table has at most one row per range, a proven bound, so it is
+   broadcast and the big side is not shuffled for the join.
 
-The range exchange is shared by both branches (Spark reuses it), so the
-input is shuffled once for the ranges and once for the pieces.  Pieces are
-placed on tasks by hash, so there are four ranges per task by default:
-smaller pieces even out the placement (measured at sf0.1 with one key
-holding a third of the rows: largest task 62.7k rows with a plain window,
-41.6k with one range per task, 27.2k with four; ideal 18.75k).  Sums are
-exact when ``value`` is decimal or integral; a floating-point running sum
-would depend on the order of additions.
+Cost: one range shuffle of the input, one hash shuffle for the pieces, and
+aggregates and windows over at most one row per range.  Pieces are placed on
+tasks by hash, so there are four ranges per task by default: smaller pieces
+even out the placement (measured at sf0.1 with one key holding a third of
+the rows: largest task 62.7k rows with a plain window, 41.6k with one range
+per task, 27.2k with four; ideal 18.75k).
+
+Sums are exact when ``value`` is decimal or integral; a floating-point
+running sum depends on the order of additions.  Order columns are ascending
+and must make rows unique within a key, as for any row_number.
 """
 
 from __future__ import annotations
@@ -50,33 +56,47 @@ def ranked_running_total(
     total_col: str = "running_total",
     num_ranges: int | None = None,
 ) -> DataFrame:
-    """Add ``rank_col`` (1-based row number) and ``total_col`` (running sum).
-
-    ``order`` must make rows unique within a key, as for any row_number.
-    """
+    """Add ``rank_col`` (1-based row number) and ``total_col`` (running sum)."""
     spark = df.sparkSession
     n = num_ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     out_type = _total_type(df, value)
-    ranged = df.repartitionByRange(n, F.col(key), *order).withColumn(_PIECE, F.spark_partition_id())
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    ranged = df.repartitionByRange(n, F.col(key), *order_cols).withColumn(_PIECE, F.spark_partition_id())
 
-    w = Window.partitionBy(key, _PIECE).orderBy(*order)
+    w = Window.partitionBy(key, _PIECE).orderBy(*order_cols)
     local = (
         ranged.withColumn("__lrank", F.row_number().over(w))
         .withColumn("__lsum", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
-    pieces = ranged.groupBy(key, _PIECE).agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__s"))
-    before = Window.partitionBy(key).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        F.col(key).alias("__key"), F.col(_PIECE).alias("__piece_o"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"),
-        F.coalesce(F.sum("__s").over(before), F.lit(0)).cast(out_type).alias("__s0"),
+
+    # one row per range: its first key, and its last key with that key's local count and sum
+    sort_key = [F.col(key).alias("k")] + [c.alias(f"o{i}") for i, c in enumerate(order_cols)]
+    summary = local.groupBy(_PIECE).agg(
+        F.min(F.struct(*sort_key)).getField("k").alias("first_key"),
+        F.max(F.struct(*sort_key, F.col("__lrank").alias("cnt"), F.col("__lsum").alias("sm"))).alias("last"),
+    ).select(
+        _PIECE, "first_key",
+        F.col("last.k").alias("last_key"), F.col("last.cnt").alias("last_cnt"), F.col("last.sm").alias("last_sum"),
+    )
+    # rows of a key in earlier ranges = running totals of "last key" pieces of that key
+    by_last = Window.partitionBy("last_key").orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, 0)
+    ranges = Window.orderBy(_PIECE)  # at most one row per range: a single task is fine
+    offsets = (
+        summary.withColumn("cum_cnt", F.sum("last_cnt").over(by_last))
+        .withColumn("cum_sum", F.sum("last_sum").over(by_last))
+        .withColumn("prev_last", F.lag("last_key").over(ranges))
+        .withColumn("prev_cnt", F.lag("cum_cnt").over(ranges))
+        .withColumn("prev_sum", F.lag("cum_sum").over(ranges))
+        .withColumn("prev_piece", F.lag(_PIECE).over(ranges))
+        .where(F.col("prev_piece").isNotNull() & F.col("prev_last").eqNullSafe(F.col("first_key")))
+        .select(F.col(_PIECE).alias("__opiece"), F.col("first_key").alias("__okey"),
+                F.col("prev_cnt").alias("__n0"), F.col("prev_sum").cast(out_type).alias("__s0"))
     )
-    # null-safe on the key: rows whose key is null form one group, as in SQL
-    on = F.col(key).eqNullSafe(F.col("__key")) & (F.col(_PIECE) == F.col("__piece_o"))
+    on = (F.col(_PIECE) == F.col("__opiece")) & F.col(key).eqNullSafe(F.col("__okey"))
     return (
-        local.join(offsets, on)
-        .withColumn(rank_col, (F.col("__lrank") + F.col("__n0")).cast("bigint"))
-        .withColumn(total_col, (F.col("__lsum").cast(out_type) + F.col("__s0")).cast(out_type))
-        .drop(_PIECE, "__piece_o", "__key", "__lrank", "__lsum", "__n0", "__s0")
+        local.join(F.broadcast(offsets), on, "left")
+        .withColumn(rank_col, (F.col("__lrank") + F.coalesce(F.col("__n0"), F.lit(0))).cast("bigint"))
+        .withColumn(total_col, (F.col("__lsum").cast(out_type)
+                                + F.coalesce(F.col("__s0"), F.lit(0).cast(out_type))).cast(out_type))
+        .drop(_PIECE, "__opiece", "__okey", "__lrank", "__lsum", "__n0", "__s0")
     )
