@@ -18,23 +18,36 @@ from tablewright.errors import CapabilityError
 _SUBDIR = "tablewright"
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def spark_context(spark: SparkSession):
+    """The SparkContext, or None in a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def require_context(spark: SparkSession, what: str):
+    sc = spark_context(spark)
+    if sc is None:
+        raise CapabilityError(f"{what} needs a classic Spark session (RDD API); "
+                              "not available over Spark Connect")
+    return sc
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Base folder for staged data, read from the session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark_context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not _is_local(spark):
+        if sc is None or not sc.master.startswith("local"):
             raise CapabilityError(
                 "spark.checkpoint.dir is not set; table jobs need a folder that "
                 "every executor can reach (e.g. an object-store prefix)"
             )
         base = tempfile.mkdtemp(prefix="tablewright-")
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
@@ -71,8 +84,10 @@ def spread(df):
     over that many partitions; at cluster scale inputs have far more splits
     and this is a no-op.  Not for frames whose row order must be kept.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    sc = spark_context(df.sparkSession)
+    if sc is None:
+        return df
+    target = sc.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
-

@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import os
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from pyspark.sql.types import (
 )
 
 from tablewright.errors import SelfOverwriteError
+from tablewright.session import spark_context
 
 # Decimal digits needed to hold every value of each integral type.
 _INT_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
@@ -38,9 +40,11 @@ _INT_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
 
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified path (scheme and authority), without trailing slash."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sc = spark_context(spark)
+    if sc is None:  # Spark Connect: no JVM access; normalise the text
+        return _canon(path if urlsplit(path).scheme else "file:" + os.path.abspath(path))
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
     return fs.makeQualified(p).toString().rstrip("/")
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tablewright.session import has_avro
+from tablewright.session import has_avro, require_context
 
 _AS_TEXT = "org.apache.avro.mapred.AvroAsTextInputFormat"
 
@@ -23,7 +23,7 @@ def read_avro(spark: SparkSession, path: str, schema: StructType | str | None =
         if schema is not None:
             reader = reader.schema(schema)
         return reader.load(path)
-    lines = spark.sparkContext.hadoopFile(
+    lines = require_context(spark, "Avro input without spark-avro").hadoopFile(
         path, _AS_TEXT, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.NullWritable"
     ).map(lambda kv: kv[0])
     reader = spark.read
