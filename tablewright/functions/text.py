@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
 
 MICROS_TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MICROS_TS_LTZ = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
@@ -93,3 +93,38 @@ def decode_record(record: Column, schema: StructType, sep: str = "\t",
 
 def _ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def join_fields(schema: StructType, sep: str = "\t", null_value: str = HIVE_NULL) -> Column:
+    """One unquoted delimited line per row — the Hive text layout
+    (``ROW FORMAT DELIMITED``, LazySimpleSerDe): values as text, ``\\N`` for
+    null, no quoting.  Values holding ``sep`` or a line break cannot be
+    represented; callers check for them (``sinks.delimited``/``sequence``).
+    """
+    parts = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (TimestampNTZType, TimestampType)):
+            text = F.date_format(c, MICROS_TS)
+        elif isinstance(f.dataType, StringType):
+            text = c
+        else:
+            text = c.cast("string")
+        parts.append(F.coalesce(text, F.lit(null_value)))
+    return F.concat_ws(sep, *parts)
+
+
+def split_fields(text: Column, schema: StructType, sep: str = "\t",
+                 null_value: str = HIVE_NULL) -> list[Column]:
+    """The columns of ``schema`` from one unquoted delimited line, read the
+    way Hive reads it: an empty field is ``''``, the null marker is null, a
+    value that does not parse as its type is null, missing fields are null
+    and extra fields are ignored."""
+    fields = F.split(text, "\\Q" + sep + "\\E", -1)
+    cols = []
+    for i, f in enumerate(schema.fields, start=1):
+        raw = F.try_element_at(fields, F.lit(i))
+        raw = F.when(raw == F.lit(null_value), F.lit(None)).otherwise(raw)
+        value = raw if isinstance(f.dataType, StringType) else raw.try_cast(f.dataType)
+        cols.append(value.alias(f.name))
+    return cols

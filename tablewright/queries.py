@@ -290,6 +290,17 @@ def _sequencefile_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
 sequencefile_copy = Staged(run=_sequencefile_copy)
 
 
+def _sequencefile_hive_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
+    """SNK-5 in the Hive layout: unquoted tab-separated records, ``\\N`` for null."""
+    events = spread(table(spark, sf_dir, "events"))
+    path = new_work_dir(spark, "events-seq-hive")
+    write_sequence(events, path, compression="BLOCK", record_format="hive")
+    return read_sequence(spark, path, events.schema, record_format="hive")
+
+
+sequencefile_hive_copy = Staged(run=_sequencefile_hive_copy)
+
+
 # --- filters, previews, windows ----------------------------------------------------
 
 # FLT-3 (``df.where("doctor > 5")``) on a typed source
@@ -325,6 +336,7 @@ QUERIES: dict[str, Staged] = {
     "snapshot_copy": snapshot_copy,
     "wide_snapshot_copy": wide_snapshot_copy,
     "sequencefile_copy": sequencefile_copy,
+    "sequencefile_hive_copy": sequencefile_hive_copy,
     "typed_expr_filter": typed_expr_filter,
     "preview_rows": preview_rows,
     "window_rank_running_total": window_rank_running_total,
@@ -365,6 +377,7 @@ ORACLE_SQL: dict[str, str] = {
         for n, t in SNAPSHOT_COLUMNS) + " FROM orders",
     "wide_snapshot_copy": "SELECT " + ", ".join(wide_document_exprs("duckdb")) + " FROM orders",
     "sequencefile_copy": "SELECT * FROM events",
+    "sequencefile_hive_copy": "SELECT * FROM events",
     "typed_expr_filter": "SELECT * FROM part WHERE p_size > 5",
     "preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
     "window_rank_running_total": (
