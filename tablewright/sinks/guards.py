@@ -48,6 +48,14 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString().rstrip("/")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    sc = spark_context(spark)
+    if sc is None:
+        return True  # cannot tell: check as if it existed
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+
+
 def _canon(uri: str) -> str:
     """``file:/x``, ``file:///x`` and ``file://x/`` spelled one way."""
     parts = urlsplit(uri)
@@ -65,8 +73,12 @@ def assert_not_reading(spark: SparkSession, df: DataFrame | None, target: str,
 
     ``sources`` are locations the job knows it reads; the plan's own input
     files (already listed on the driver by the planner) are checked too.
+    A target that does not exist yet cannot be overwritten, so then nothing
+    is listed at all (one metadata call).
     """
     tgt = qualify(spark, target)
+    if not _exists(spark, tgt):
+        return  # nothing there to delete: no listing of the plan's inputs needed
     for s in sources:
         if _overlaps(qualify(spark, s), tgt):
             raise SelfOverwriteError(f"refusing to overwrite {tgt}: it is read by this job ({s})")

@@ -33,13 +33,16 @@ def incremental_filter_csv_copy(
     column: str = "Code",
     params: Mapping[str, Any] | None = None,
     names: list[str] | None = None,
+    max_files_per_trigger: int | None = None,
     timeout_s: float | None = None,
 ) -> DataFrame:
     """Filter newly arrived headed CSV files into ``target_dir``.
 
     ``names`` fixes the header (all columns are strings); by default it is
-    read from the first line of the landing folder.  Returns the whole
-    target (all runs so far) as a batch frame.
+    read from the first line of the landing folder.  ``max_files_per_trigger``
+    splits a large backlog into several micro-batches (``availableNow`` still
+    stops when the backlog is done).  Returns the whole target (all runs so
+    far) as a batch frame.
     """
     if names is None:
         clashes = header_clashes(spark, source_dir)
@@ -48,11 +51,14 @@ def incremental_filter_csv_copy(
         names = read_csv_header(spark, source_dir).columns
     schema = StructType([StructField(n, StringType()) for n in names])
     value = bind(FILTER_PARAMS, params)["value"]
-    stream = spark.readStream.schema(schema).options(**csv_options(header=True)).csv(source_dir)
+    reader = spark.readStream.schema(schema).options(**csv_options(header=True))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.csv(source_dir)
     kept = stream.where(F.col(f"`{column}`") == F.lit(value))
     query = (
         kept.writeStream.format("csv")
-        .options(**csv_options())
+        .options(**csv_options(line_sep="\n"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target_dir)

@@ -13,3 +13,11 @@ def test_incremental_runs_process_only_new_files(spark, workdir):
     # a run with nothing new changes nothing
     third = incremental_filter_csv_copy(spark, land, out, ckpt, timeout_s=120)
     assert third.count() == 3
+
+
+def test_backlog_split_into_micro_batches(spark, workdir):
+    land, out, ckpt = f"{workdir}/land2", f"{workdir}/out2", f"{workdir}/ckpt2"
+    for i in range(5):
+        write_text(f"{land}/f{i}.csv", f"Code,n\nCAE,{i}\nXYZ,x\n")
+    got = incremental_filter_csv_copy(spark, land, out, ckpt, max_files_per_trigger=2, timeout_s=120)
+    assert sorted(r["n"] for r in got.collect()) == ["0", "1", "2", "3", "4"]
