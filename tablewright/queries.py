@@ -25,10 +25,12 @@ from tablewright.operators.windows import ranked_running_total
 from tablewright.params import JobParam, bind
 from tablewright.plans import jobs
 from tablewright.schemas import LIMITS_COLUMNS, WIDE_DOCUMENT_COLUMNS
-from tablewright.session import new_work_dir, spread, unique_name
+from tablewright.session import has_avro, new_work_dir, spread, unique_name
+from tablewright.sinks.avro import write_avro
 from tablewright.sinks.csv import write_csv
 from tablewright.sinks.delimited import write_delimited
 from tablewright.sinks.sequence import write_sequence
+from tablewright.sources.avro import read_avro
 from tablewright.sources.csv import read_csv_typed
 from tablewright.sources.sequence import read_sequence
 from tablewright.streaming import incremental_filter_csv_copy
@@ -301,6 +303,30 @@ def _sequencefile_hive_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFra
 sequencefile_hive_copy = Staged(run=_sequencefile_hive_copy)
 
 
+# --- J5: Avro (registered only where the avro data source exists) ------------------
+
+def _part_avro(spark: SparkSession, sf_dir: str) -> str:
+    path = new_work_dir(spark, "episodes-avro")
+    write_avro(spread(table(spark, sf_dir, "part")), path)
+    return path
+
+
+avro_filter = Staged(prepare=_part_avro,
+                     run=lambda spark, sf_dir, src: read_avro(spark, src).where("p_size > 5"))
+avro_overwrite_roundtrip = Staged(
+    prepare=_part_avro,
+    run=lambda spark, sf_dir, src: jobs.avro_subset_copy(
+        spark, src, new_work_dir(spark, "episodes-avro-result"), predicate="p_size > 5"),
+)
+
+
+def avro_queries(spark: SparkSession | None) -> dict[str, Staged]:
+    """The Avro jobs, when ``spark`` can read and write Avro."""
+    if spark is None or not has_avro(spark):
+        return {}
+    return {"avro_filter": avro_filter, "avro_overwrite_roundtrip": avro_overwrite_roundtrip}
+
+
 # --- filters, previews, windows ----------------------------------------------------
 
 # FLT-3 (``df.where("doctor > 5")``) on a typed source
@@ -378,6 +404,8 @@ ORACLE_SQL: dict[str, str] = {
     "wide_snapshot_copy": "SELECT " + ", ".join(wide_document_exprs("duckdb")) + " FROM orders",
     "sequencefile_copy": "SELECT * FROM events",
     "sequencefile_hive_copy": "SELECT * FROM events",
+    "avro_filter": "SELECT * FROM part WHERE p_size > 5",
+    "avro_overwrite_roundtrip": "SELECT * FROM part WHERE p_size > 5",
     "typed_expr_filter": "SELECT * FROM part WHERE p_size > 5",
     "preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
     "window_rank_running_total": (
