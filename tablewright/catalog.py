@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.schemas import ddl
-from tablewright.sinks.tables import insert_overwrite
+from tablewright.sinks.tables import insert_overwrite, table_meta
 from tablewright.sources.delimited import delimited_options, enable_charset, read_delimited
 
 
@@ -99,12 +99,9 @@ def load_file_overwrite(spark: SparkSession, table: str, path: str, *,
     replaced by an insert.  The file is validated by the read, which LOAD
     DATA (a byte copy) never did; the source file is left in place.
     """
-    meta = {r["col_name"]: r["data_type"] for r in
-            spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    props = meta.get("Storage Properties", "")
-    opts = dict(kv.split("=", 1) for kv in props.strip("[]").split(", ") if "=" in kv)
-    sep = opts.get("sep", "\t")
-    enc = charset or opts.get("encoding", "UTF-8")
+    meta = table_meta(spark, table)
+    sep = meta.options.get("sep", "\t")
+    enc = charset or meta.options.get("encoding", "UTF-8")
     schema = spark.table(table).schema
     data = read_delimited(spark, path, schema, sep=sep, charset=enc)
     insert_overwrite(data, table)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tablewright.functions.text import csv_options
 from tablewright.sinks.guards import assert_not_reading
+from tablewright.sinks.replace import replace_path
 
 
 def write_csv(
@@ -24,11 +25,15 @@ def write_csv(
     ``header=False`` matches a plain ``write.csv`` (names are not kept);
     microsecond timestamps, kept whitespace and RFC-4180 quote doubling are
     always on.  ``compression`` (``gzip``, ``zstd``, …) applies to this
-    write only.
+    write only.  An overwrite is atomic: a failed job leaves ``path`` as it
+    was (``sinks.replace``).
     """
-    if mode == "overwrite":
-        assert_not_reading(df.sparkSession, df, path, list(sources))
     opts = csv_options(sep, null_value, header, line_sep="\n")
     if compression:
         opts["compression"] = compression
-    df.write.mode(mode).options(**opts).csv(path)
+    if mode != "overwrite":
+        df.write.mode(mode).options(**opts).csv(path)
+        return
+    spark = df.sparkSession
+    assert_not_reading(spark, df, path, list(sources))
+    replace_path(spark, path, lambda staging: df.write.options(**opts).csv(staging))

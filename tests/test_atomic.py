@@ -1,0 +1,57 @@
+"""A failed overwrite must leave the old content in place."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tablewright import catalog
+from tablewright.session import unique_name
+from tablewright.sinks.csv import write_csv
+from tablewright.sinks.sequence import write_sequence
+from tablewright.sinks.tables import insert_overwrite, replace_table, table_meta
+from tablewright.sources.csv import read_csv_typed
+from tablewright.sources.sequence import read_sequence
+
+
+def _failing(spark):
+    # the third row fails inside the writing stage, after other tasks may have written
+    return spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 77, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+
+
+def test_failed_csv_overwrite_keeps_old_files(spark, workdir):
+    write_csv(spark.range(5), f"{workdir}/c")
+    with pytest.raises(PySparkException, match="boom"):
+        write_csv(_failing(spark), f"{workdir}/c")
+    assert read_csv_typed(spark, f"{workdir}/c", "id long").count() == 5
+    write_csv(spark.range(7), f"{workdir}/c")
+    assert read_csv_typed(spark, f"{workdir}/c", "id long").count() == 7
+
+
+def test_failed_sequence_overwrite_keeps_old_files(spark, workdir):
+    write_sequence(spark.range(5), f"{workdir}/s")
+    with pytest.raises(Exception):
+        write_sequence(_failing(spark), f"{workdir}/s")
+    assert read_sequence(spark, f"{workdir}/s", spark.range(1).schema).count() == 5
+
+
+def test_failed_insert_overwrite_keeps_table(spark, workdir):
+    name = unique_name("atomic")
+    catalog.create_table(spark, name, [("id", "bigint")], location=f"{workdir}/{name}")
+    insert_overwrite(spark.range(5), name)
+    first = table_meta(spark, name).location
+    with pytest.raises(PySparkException, match="boom"):
+        insert_overwrite(_failing(spark), name)
+    assert spark.table(name).count() == 5
+    insert_overwrite(spark.range(9), name)
+    assert spark.table(name).count() == 9
+    assert table_meta(spark, name).location != first  # switched, old folder removed
+
+
+def test_replace_table_new_same_and_changed_schema(spark, workdir):
+    name = unique_name("repl")
+    replace_table(spark.range(3), name, location=f"{workdir}/{name}")
+    replace_table(spark.range(4), name)
+    assert spark.table(name).count() == 4
+    replace_table(spark.range(2).withColumn("s", F.lit("x")), name)
+    assert spark.table(name).columns == ["id", "s"] and spark.table(name).count() == 2

@@ -74,6 +74,21 @@ def test_limits_load_replaces_content(spark, workdir):
     t = jobs.limits_load(spark, name, f"{workdir}/data", f"{workdir}/tbl", columns=LIMITS_COLUMNS)
     assert sorted(tuple(r) for r in t.collect()) == [("Привет A", 1, 1.0), ("Привет B", 2, None)]
     # the table itself is Windows-1251 text
-    assert bytes.fromhex("CFF0E8E2E5F2") in _bytes(f"{workdir}/tbl")
+    from tablewright.sinks.tables import table_meta
+    assert bytes.fromhex("CFF0E8E2E5F2") in _bytes(table_meta(spark, name).location)
     again = jobs.limits_load(spark, name, f"{workdir}/data", f"{workdir}/tbl", columns=LIMITS_COLUMNS)
     assert again.count() == 2
+
+
+def test_insert_into_text_table_checks_values(spark, workdir):
+    from tablewright import catalog
+    from tablewright.sinks.tables import insert_overwrite
+    name = unique_name("lim_text")
+    catalog.create_delimited_table(spark, name, LIMITS_COLUMNS, f"{workdir}/{name}", charset="windows-1251")
+    ok = spark.createDataFrame([("Привет", 1, 1.0)], "crit string, up int, low double")
+    insert_overwrite(ok, name)
+    for bad in ("a\tb", "中"):
+        df = spark.createDataFrame([(bad, 2, 2.0)], "crit string, up int, low double")
+        with pytest.raises(PySparkException):
+            insert_overwrite(df, name)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("Привет", 1, 1.0)]
