@@ -80,14 +80,16 @@ def spread(df):
 
     A small input stored as one file and one row group is read by a single
     task, and so is everything narrow after it (deriving, encoding, writing).
-    Below the session's default parallelism the rows are dealt round-robin
-    over that many partitions; at cluster scale inputs have far more splits
-    and this is a no-op.  Not for frames whose row order must be kept.
+    When the input has at most a quarter as many splits as the session has
+    cores, the rows are dealt round-robin over all cores.  Above that the
+    extra shuffle would cost more than the parallelism it buys (a cluster
+    with 8,000 cores reading 5,000 splits is left alone).  Not for frames
+    whose row order must be kept.
     """
     sc = spark_context(df.sparkSession)
     if sc is None:
         return df
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    cores = sc.defaultParallelism
+    if df.rdd.getNumPartitions() * 4 <= cores:
+        return df.repartition(cores)
     return df

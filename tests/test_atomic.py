@@ -55,3 +55,10 @@ def test_replace_table_new_same_and_changed_schema(spark, workdir):
     assert spark.table(name).count() == 4
     replace_table(spark.range(2).withColumn("s", F.lit("x")), name)
     assert spark.table(name).columns == ["id", "s"] and spark.table(name).count() == 2
+
+
+def test_replace_table_refuses_views(spark):
+    from tablewright.errors import TableJobError
+    spark.range(2).createOrReplaceTempView("tw_a_view")
+    with pytest.raises(TableJobError):
+        replace_table(spark.range(3), "tw_a_view")
