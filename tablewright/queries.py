@@ -54,23 +54,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table dealt over all cores *before* anything is derived from
+    it (a projection is not pushed below a round-robin repartition)."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _stage_csv(spark: SparkSession, df: DataFrame, label: str, header: bool) -> str:
     path = new_work_dir(spark, label)
-    write_csv(spread(df), path, header=header)
+    write_csv(df, path, header=header)
     return path
 
 
 def _stage_table(spark: SparkSession, df: DataFrame, label: str) -> str:
     """A catalog table holding ``df``, files in the shared folder."""
     name = unique_name(label)
-    spread(df).write.format("parquet").option("path", new_work_dir(spark, label)).saveAsTable(name)
+    df.write.format("parquet").option("path", new_work_dir(spark, label)).saveAsTable(name)
     return name
 
 
 # --- J1: CSV with header → filter → CSV --------------------------------------
 
 def _customer_csv(spark: SparkSession, sf_dir: str) -> str:
-    return _stage_csv(spark, table(spark, sf_dir, "customer"), "customer-csv", header=True)
+    return _stage_csv(spark, spread_table(spark, sf_dir, "customer"), "customer-csv", header=True)
 
 
 csv_header_filter = Staged(
@@ -103,7 +109,7 @@ param_filter = Staged(run=_param_filter)
 # --- CSV fidelity (SNK-1: the write is the job) -----------------------------------
 
 def _csv_overwrite_roundtrip(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
-    events = spread(table(spark, sf_dir, "events"))
+    events = spread_table(spark, sf_dir, "events")
     path = new_work_dir(spark, "events-csv")
     write_csv(events, path)
     write_csv(events, path)  # overwrite of an existing target
@@ -126,13 +132,13 @@ def wide_csv_columns(lineitem_columns: list[str]) -> list[str]:
 
 
 def _wide_csv(spark: SparkSession, sf_dir: str) -> str:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_table(spark, sf_dir, "lineitem")
     return _stage_csv(spark, li.selectExpr(*wide_csv_columns(li.columns)), "wide-csv", header=False)
 
 
 csv_positional_project = Staged(
-    prepare=lambda spark, sf_dir: _stage_csv(spark, table(spark, sf_dir, "lineitem"), "lineitem-csv",
-                                             header=False),
+    prepare=lambda spark, sf_dir: _stage_csv(spark, spread_table(spark, sf_dir, "lineitem"),
+                                             "lineitem-csv", header=False),
     run=lambda spark, sf_dir, src: jobs.positional_projection(
         spark, src, {8: "type1", 0: "region", 9: "type2"}, view=unique_name("table1")),
 )
@@ -147,7 +153,7 @@ csv_wide_positional_project = Staged(
 # --- J2 / CAT-10: filter one table into another ---------------------------------
 
 def _category(spark: SparkSession, sf_dir: str) -> str:
-    return _stage_table(spark, table(spark, sf_dir, "customer"), "category")
+    return _stage_table(spark, spread_table(spark, sf_dir, "customer"), "category")
 
 
 def _filter_copy(spark: SparkSession, src: str) -> tuple[DataFrame, DataFrame]:
@@ -189,7 +195,7 @@ LIMITS_FROM_CUSTOMER = [
 
 
 def _limits_file(spark: SparkSession, sf_dir: str) -> str:
-    rows = spread(table(spark, sf_dir, "customer")).selectExpr(*LIMITS_FROM_CUSTOMER)
+    rows = spread_table(spark, sf_dir, "customer").selectExpr(*LIMITS_FROM_CUSTOMER)
     data_file = new_work_dir(spark, "det-crit-lim-data")
     write_delimited(rows, data_file, sep="\t", charset="windows-1251")
     return data_file
@@ -231,7 +237,8 @@ def _snapshot_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
 
 snapshot_copy = Staged(
     prepare=lambda spark, sf_dir: _stage_table(
-        spark, table(spark, sf_dir, "orders").selectExpr(*_snapshot_source_exprs()), "z_main_docum"),
+        spark, spread_table(spark, sf_dir, "orders").selectExpr(*_snapshot_source_exprs()),
+        "z_main_docum"),
     run=_snapshot_copy,
 )
 
@@ -275,7 +282,8 @@ def wide_document_exprs(dialect: str) -> list[str]:
 
 wide_snapshot_copy = Staged(
     prepare=lambda spark, sf_dir: _stage_table(
-        spark, table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark")), "z_main_docum"),
+        spark, spread_table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark")),
+        "z_main_docum"),
     run=lambda spark, sf_dir, src: jobs.snapshot_copy(
         spark, src, jobs.SequenceTable(new_work_dir(spark, "z_main_docum_archive_seq"),
                                        WIDE_DOCUMENT_COLUMNS)),
@@ -283,7 +291,7 @@ wide_snapshot_copy = Staged(
 
 
 def _sequencefile_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
-    events = spread(table(spark, sf_dir, "events"))
+    events = spread_table(spark, sf_dir, "events")
     path = new_work_dir(spark, "events-seq")
     write_sequence(events, path, compression="BLOCK")
     return read_sequence(spark, path, events.schema)
@@ -294,7 +302,7 @@ sequencefile_copy = Staged(run=_sequencefile_copy)
 
 def _sequencefile_hive_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
     """SNK-5 in the Hive layout: unquoted tab-separated records, ``\\N`` for null."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = spread_table(spark, sf_dir, "events")
     path = new_work_dir(spark, "events-seq-hive")
     write_sequence(events, path, compression="BLOCK", record_format="hive")
     return read_sequence(spark, path, events.schema, record_format="hive")
@@ -307,7 +315,7 @@ sequencefile_hive_copy = Staged(run=_sequencefile_hive_copy)
 
 def _part_avro(spark: SparkSession, sf_dir: str) -> str:
     path = new_work_dir(spark, "episodes-avro")
-    write_avro(spread(table(spark, sf_dir, "part")), path)
+    write_avro(spread_table(spark, sf_dir, "part"), path)
     return path
 
 

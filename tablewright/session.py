@@ -75,21 +75,43 @@ def has_avro(spark: SparkSession) -> bool:
         return not ("DATA_SOURCE_NOT_FOUND" in text or "Failed to find data source" in text)
 
 
-def spread(df):
-    """Use every core when the input arrives in fewer splits than cores.
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def _input_bytes(df) -> int | None:
+    """Total size of the files ``df`` reads, or None if it reads no files."""
+    sc = spark_context(df.sparkSession)
+    files = df.inputFiles()
+    if sc is None or not files:
+        return None
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread(df, max_bytes: int = SPREAD_MAX_BYTES):
+    """Use every core when a small input arrives in fewer splits than cores.
 
     A small input stored as one file and one row group is read by a single
-    task, and so is everything narrow after it (deriving, encoding, writing).
-    When the input has at most a quarter as many splits as the session has
-    cores, the rows are dealt round-robin over all cores.  Above that the
-    extra shuffle would cost more than the parallelism it buys (a cluster
-    with 8,000 cores reading 5,000 splits is left alone).  Not for frames
-    whose row order must be kept.
+    task, and so is everything narrow after it (deriving, encoding, writing);
+    the split count does not show it (a file is cut into byte ranges, but
+    only the range holding the row group has rows).  When there are fewer
+    splits than cores and the input is at most ``max_bytes``, the rows are
+    dealt round-robin over all cores — cheap at that size.  Larger inputs are
+    left alone: there the extra shuffle would cost more than it buys, and
+    they come in many splits anyway.  File sizes are only looked up in the
+    few-splits case.  Not for frames whose row order must be kept.
     """
     sc = spark_context(df.sparkSession)
     if sc is None:
         return df
     cores = sc.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 <= cores:
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = _input_bytes(df)
+    if size is not None and size <= max_bytes:
         return df.repartition(cores)
     return df
