@@ -113,7 +113,7 @@ def _csv_overwrite_roundtrip(spark: SparkSession, sf_dir: str, _: Any) -> DataFr
     path = new_work_dir(spark, "events-csv")
     write_csv(events, path)
     write_csv(events, path)  # overwrite of an existing target
-    return read_csv_typed(spark, path, events.schema, line_sep="\n")
+    return read_csv_typed(spark, path, events.schema, multiline=True, line_sep="\n")
 
 
 csv_overwrite_roundtrip = Staged(run=_csv_overwrite_roundtrip)

@@ -13,14 +13,19 @@ from pyspark.sql.types import StructType
 from tablewright.functions.text import csv_options
 
 
-def read_csv_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Names from the first line, all values strings (``_c`` names never appear)."""
-    return spark.read.options(**csv_options(header=True)).csv(path)
+def read_csv_header(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+    """Names from the first line, all values strings (``_c`` names never appear).
+
+    ``multiline=True`` is needed when quoted values hold line breaks; it
+    makes every file one task (a record may cross any byte offset), so it is
+    off by default and large files stay splittable.
+    """
+    return spark.read.options(**csv_options(header=True)).option("multiLine", str(multiline).lower()).csv(path)
 
 
-def read_csv_positional(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_csv_positional(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
     """No header: columns are ``_c0 … _cN`` and a header line, if any, is data."""
-    return spark.read.options(**csv_options(header=False)).csv(path)
+    return spark.read.options(**csv_options(header=False)).option("multiLine", str(multiline).lower()).csv(path)
 
 
 def read_csv_typed(

@@ -30,6 +30,12 @@ def test_header_filter_is_exact_and_drops_nulls(spark, workdir):
     assert src
 
 
+def test_header_filter_keeps_line_breaks_in_values(spark, workdir):
+    write_text(f"{workdir}/nl/a.csv", 'Code,Name\nCAE,"two\nlines"\nXYZ,x\n')
+    out = jobs.filter_csv_copy(spark, f"{workdir}/nl", f"{workdir}/nl_out", view="t_nl", multiline=True)
+    assert [tuple(r) for r in out.collect()] == [("CAE", "two\nlines")]
+
+
 def test_header_filter_default_value_and_param_override(spark, workdir):
     write_text(f"{workdir}/in/a.csv", "Code,v\nCAE,1\nXYZ,2\n")
     assert jobs.filter_csv_copy(spark, f"{workdir}/in", f"{workdir}/o1", view="t_p1").count() == 1
