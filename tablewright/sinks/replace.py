@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 from tablewright.session import require_context
 from tablewright.sinks.guards import qualify
 
-_VERSION = re.compile(r"\.(staging|old)-[0-9a-f]{12}$|-v[0-9a-f]{12}$")
+_VERSION = re.compile(r"-v[0-9a-f]{12}$")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -32,21 +32,29 @@ def _fs(spark: SparkSession, path: str):
 
 
 def sibling(path: str, tag: str) -> str:
-    """``path`` with a fresh suffix, in the same parent folder."""
+    """A fresh version folder next to ``path`` (``name-v<id>``)."""
     base = _VERSION.sub("", path.rstrip("/"))
     return f"{base}{tag}{uuid.uuid4().hex[:12]}"
 
 
+def hidden_sibling(path: str, tag: str) -> str:
+    """A fresh folder next to ``path`` whose name starts with a dot, so that
+    readers listing the parent folder (Spark skips ``.``/``_`` names) never
+    see half-written or outgoing data."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{tag}-{uuid.uuid4().hex[:12]}"
+
+
 def replace_path(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
     """Run ``write(staging)``, then make ``staging`` the new ``target``."""
     tgt = qualify(spark, target)
-    staging = sibling(tgt, ".staging-")
+    staging = hidden_sibling(tgt, "staging")
     write(staging)
     src_p, fs = _fs(spark, staging)
     dst_p, _ = _fs(spark, tgt)
     backup = None
     if fs.exists(dst_p):
-        backup = sibling(tgt, ".old-")
+        backup = hidden_sibling(tgt, "old")
         if not fs.rename(dst_p, _fs(spark, backup)[0]):
             raise OSError(f"could not move {tgt} aside")
     if not fs.rename(src_p, dst_p):
