@@ -1,0 +1,26 @@
+from conftest import SF001
+from tablewright.session import has_avro, new_work_dir, shared_dir, spread, unique_name
+
+
+def test_work_dirs_live_under_the_shared_folder(spark):
+    base = shared_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert base == configured.rstrip("/")
+    a, b = new_work_dir(spark, "x"), new_work_dir(spark, "x")
+    assert a != b and a.startswith(base + "/") and b.startswith(base + "/")
+    assert unique_name("t") != unique_name("t")
+
+
+def test_spread_only_small_inputs_with_few_splits(spark):
+    one_group = spark.read.parquet(f"{SF001}/lineitem.parquet")  # one row group
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(one_group).rdd.getNumPartitions() == cores
+    many = spark.range(0, 1000, 1, cores * 2)
+    assert spread(many) is many  # already spread
+    assert spread(one_group, max_bytes=1) is not None
+    assert spread(one_group, max_bytes=1).rdd.getNumPartitions() == one_group.rdd.getNumPartitions()
+
+
+def test_avro_probe(spark):
+    assert has_avro(spark) is False  # spark-avro is not on this classpath
