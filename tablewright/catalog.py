@@ -13,16 +13,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.schemas import ddl
+from tablewright.sqltext import string
 from tablewright.sinks.tables import insert_overwrite, table_meta
 from tablewright.sources.delimited import delimited_options, enable_charset, read_delimited
 
 
-def _quote(value: str) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _options_sql(options: Mapping[str, str]) -> str:
-    return ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in options.items())
+    return ", ".join(f"{string(k)} = {string(v)}" for k, v in options.items())
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -50,7 +47,7 @@ def create_table(
     if options:
         sql += f" OPTIONS ({_options_sql(options)})"
     if location:
-        sql += f" LOCATION {_quote(location)}"
+        sql += f" LOCATION {string(location)}"
     spark.sql(sql)
 
 

@@ -62,7 +62,7 @@ def _canon(uri: str) -> str:
     return f"{parts.scheme}://{parts.netloc}{unquote(parts.path)}".rstrip("/")
 
 
-def _overlaps(a: str, b: str) -> bool:
+def overlaps(a: str, b: str) -> bool:
     a, b = _canon(a), _canon(b)
     return a == b or a.startswith(b + "/") or b.startswith(a + "/")
 
@@ -80,11 +80,11 @@ def assert_not_reading(spark: SparkSession, df: DataFrame | None, target: str,
     if not _exists(spark, tgt):
         return  # nothing there to delete: no listing of the plan's inputs needed
     for s in sources:
-        if _overlaps(qualify(spark, s), tgt):
+        if overlaps(qualify(spark, s), tgt):
             raise SelfOverwriteError(f"refusing to overwrite {tgt}: it is read by this job ({s})")
     if df is not None:
         for f in df.inputFiles():
-            if _overlaps(f.rstrip("/"), tgt):
+            if overlaps(f.rstrip("/"), tgt):
                 raise SelfOverwriteError(f"refusing to overwrite {tgt}: the data being written reads {f}")
 
 
