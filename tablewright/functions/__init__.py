@@ -8,13 +8,13 @@ from tablewright.functions.charset import (
 from tablewright.functions.checks import fail_if
 from tablewright.functions.text import (
     csv_options,
-    decode_record,
+    decode_records,
     encode_record,
 )
 
 __all__ = [
     "csv_options",
-    "decode_record",
+    "decode_records",
     "encode_record",
     "fail_if",
     "is_standard_charset",

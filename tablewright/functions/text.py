@@ -4,7 +4,7 @@ Spark's CSV defaults lose data: timestamps are cut to milliseconds, the
 writer trims leading and trailing whitespace (``" a "`` becomes ``a``, a
 leading ``\r`` vanishes), and a quote inside a value is escaped with a
 backslash, which other readers do not understand.  ``csv_options`` fixes
-all three; ``encode_record``/``decode_record``
+all three; ``encode_record``/``decode_records``
 turn a whole row into one delimited text value and back (the payload of a
 SequenceFile record) with the same options, so tabs, newlines, quotes, empty
 strings and nulls all survive.
@@ -12,7 +12,7 @@ strings and nulls all survive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
 
@@ -76,19 +76,25 @@ def encode_record(schema: StructType, sep: str = "\t", null_value: str = HIVE_NU
     return F.to_csv(F.struct(*cols), csv_options(sep, null_value))
 
 
-def decode_record(record: Column, schema: StructType, sep: str = "\t",
-                  null_value: str = HIVE_NULL) -> list[Column]:
-    """The columns of ``schema`` parsed from ``encode_record`` output."""
+def decode_records(df: DataFrame, record: str, schema: StructType, sep: str = "\t",
+                   null_value: str = HIVE_NULL) -> DataFrame:
+    """Rows of ``schema`` parsed from the ``encode_record`` column ``record``.
+
+    The parsed struct is unpacked through a generator (``inline``), so each
+    record is parsed once; selecting its fields directly lets the optimizer
+    copy the parse into every column and lean on common-subexpression
+    elimination (measured 20% slower on 163 columns).
+    """
     opts = csv_options(sep, null_value)
     opts.pop("header")
-    parsed = F.from_csv(record, _ddl(schema), opts)
+    parsed = df.select(F.inline(F.array(F.from_csv(F.col(record), _ddl(schema), opts))))
     out = []
     for f in schema.fields:
-        c = parsed.getField(f.name)
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, StringType):
             c = _unescape(c)
         out.append(c.alias(f.name))
-    return out
+    return parsed.select(*out)
 
 
 def _ddl(schema: StructType) -> str:
