@@ -92,3 +92,14 @@ def test_insert_into_text_table_checks_values(spark, workdir):
         with pytest.raises(PySparkException):
             insert_overwrite(df, name)
     assert [tuple(r) for r in spark.table(name).collect()] == [("Привет", 1, 1.0)]
+
+
+def test_odd_column_names_and_local_timestamps(spark, workdir):
+    import datetime as dt
+    df = spark.sql("SELECT 'x' AS `a.b`, 'y' AS `c d`, "
+                   "CAST(timestamp_ntz'2024-01-01 00:00:07.179575' AS TIMESTAMP) AS ts")
+    write_delimited(df, f"{workdir}/odd")
+    assert _bytes(f"{workdir}/odd") == b"x\ty\t2024-01-01 00:00:07.179575\n"
+    back = read_delimited(spark, f"{workdir}/odd", "`a.b` string, `c d` string, ts timestamp").collect()
+    assert back[0][0] == "x" and back[0][1] == "y"
+    assert back[0][2].replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
