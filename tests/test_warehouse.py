@@ -31,3 +31,44 @@ def test_write_back_into_source_is_refused(spark):
         write_warehouse(df, URL, "public.Category", source=(URL, "public.category"))
     with pytest.raises(SelfOverwriteError):
         jobs._overwrite(df, jobs.Warehouse(URL, "public.category"), jobs.Warehouse(URL, "public.category"))
+
+
+def test_read_warehouse_options_reach_the_reader(spark, monkeypatch):
+    """The reader is stubbed at ``load``; no connection is made."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    from tablewright.sources import warehouse
+
+    calls = []
+
+    def fake_load(self, *a, **k):
+        calls.append(self)
+        return spark.createDataFrame([(1, 100)], "lo int, hi int")
+
+    monkeypatch.setattr(DataFrameReader, "load", fake_load)
+    seen = {}
+    real_options = DataFrameReader.options
+
+    def spy_options(self, **opts):
+        seen.setdefault(id(self), {}).update(opts)
+        return real_options(self, **opts)
+
+    def spy_format(self, source):
+        seen.setdefault(id(self), {})["__format"] = source
+        return self
+
+    monkeypatch.setattr(DataFrameReader, "options", spy_options)
+    monkeypatch.setattr(DataFrameReader, "format", spy_format)
+    warehouse.read_warehouse(spark, URL, "public.category", options={"user": "u"},
+                             partition_column="catid", num_partitions=4)
+    opts = [seen[id(r)] for r in calls]
+    assert opts[0]["dbtable"].startswith("(SELECT MIN(catid) AS lo, MAX(catid) AS hi FROM public.category)")
+    main = opts[1]
+    assert main["__format"] == "jdbc" and main["user"] == "u" and main["fetchsize"] == "10000"
+    assert (main["partitionColumn"], main["lowerBound"], main["upperBound"], main["numPartitions"]) == \
+        ("catid", "1", "100", "4")
+    # explicit bounds: no bounds query
+    calls.clear()
+    warehouse.read_warehouse(spark, URL, "public.category", partition_column="catid",
+                             num_partitions=2, lower_bound=0, upper_bound=9, fmt="redshift")
+    assert len(calls) == 1 and seen[id(calls[0])]["__format"] == "redshift"
