@@ -72,3 +72,28 @@ def test_read_warehouse_options_reach_the_reader(spark, monkeypatch):
     warehouse.read_warehouse(spark, URL, "public.category", partition_column="catid",
                              num_partitions=2, lower_bound=0, upper_bound=9, fmt="redshift")
     assert len(calls) == 1 and seen[id(calls[0])]["__format"] == "redshift"
+
+
+def test_write_warehouse_options_reach_the_writer(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = {}
+    real_options = DataFrameWriter.options
+    real_mode = DataFrameWriter.mode
+
+    def spy_options(self, **opts):
+        seen.update(opts)
+        return real_options(self, **opts)
+
+    def spy_mode(self, m):
+        seen["__mode"] = m
+        return real_mode(self, m)
+
+    monkeypatch.setattr(DataFrameWriter, "options", spy_options)
+    monkeypatch.setattr(DataFrameWriter, "mode", spy_mode)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: seen.setdefault("__saved", True))
+    write_warehouse(spark.range(3), URL, "public.category_after", options={"user": "u"},
+                    num_partitions=8, source=(URL, "public.category"))
+    assert seen["dbtable"] == "public.category_after" and seen["truncate"] == "true"
+    assert seen["batchsize"] == "10000" and seen["numPartitions"] == "8" and seen["__mode"] == "overwrite"
+    assert seen["__saved"]
