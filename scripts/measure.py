@@ -24,6 +24,7 @@ from tablewright.session import new_work_dir, spread, unique_name  # noqa: E402
 from tablewright.sinks.csv import write_csv  # noqa: E402
 from tablewright.sinks.delimited import write_delimited  # noqa: E402
 from tablewright.sinks.sequence import write_sequence  # noqa: E402
+from tablewright.sinks.tables import table_meta  # noqa: E402
 from tablewright.sources.csv import read_csv_header, read_csv_positional  # noqa: E402
 from tablewright.sources.delimited import read_delimited  # noqa: E402
 from tablewright.sources.sequence import read_sequence  # noqa: E402
@@ -92,7 +93,7 @@ def main() -> None:
     loc = new_work_dir(spark, dst)
     timed("163-column copy → Parquet table", lambda: noop(
         jobs.snapshot_copy(spark, wide_src, dst, columns=WIDE_DOCUMENT_COLUMNS, location=loc)),
-          lambda: du(loc))
+          lambda: du(table_meta(spark, dst).location))
     seq = jobs.SequenceTable(new_work_dir(spark, "m-wide-seq"), WIDE_DOCUMENT_COLUMNS)
     timed("163-column copy → SequenceFile BLOCK", lambda: noop(jobs.snapshot_copy(spark, wide_src, seq)),
           lambda: du(seq.path))
