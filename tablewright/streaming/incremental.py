@@ -69,4 +69,5 @@ def incremental_filter_csv_copy(
         raise TableJobError(f"incremental run did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise TableJobError(str(query.exception()))
-    return spark.read.schema(schema).options(**csv_options()).csv(target_dir)
+    return (spark.read.schema(schema).options(**csv_options(line_sep="\n"))
+            .option("multiLine", "true").csv(target_dir))
