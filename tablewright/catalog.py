@@ -15,7 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tablewright.schemas import ddl
 from tablewright.sqltext import string
 from tablewright.sinks.tables import insert_overwrite, table_meta
-from tablewright.sources.delimited import delimited_options, enable_charset, read_delimited
+from tablewright.sources.delimited import (
+    delimited_options,
+    enable_charset,
+    read_delimited,
+    require_line_based,
+)
 
 
 def _options_sql(options: Mapping[str, str]) -> str:
@@ -67,6 +72,8 @@ def set_table_options(spark: SparkSession, name: str, options: Mapping[str, str]
 
     On a data-source table the properties are its reader/writer options.
     """
+    if "encoding" in options:
+        require_line_based(options["encoding"])
     spark.sql(f"ALTER TABLE {name} SET SERDEPROPERTIES ({_options_sql(options)})")
     if "encoding" in options:
         enable_charset(spark, options["encoding"])
@@ -82,6 +89,7 @@ def create_delimited_table(
     charset: str = "UTF-8",
 ) -> None:
     """Text table: ``ROW FORMAT DELIMITED FIELDS TERMINATED BY sep``."""
+    require_line_based(charset)
     opts = delimited_options(sep, charset)
     create_table(spark, name, columns, provider="csv", location=location, options=opts)
     enable_charset(spark, charset)

@@ -103,3 +103,13 @@ def test_odd_column_names_and_local_timestamps(spark, workdir):
     back = read_delimited(spark, f"{workdir}/odd", "`a.b` string, `c d` string, ts timestamp").collect()
     assert back[0][0] == "x" and back[0][1] == "y"
     assert back[0][2].replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+
+
+def test_multibyte_line_breaks_are_refused(spark, workdir):
+    from tablewright.errors import CapabilityError
+    df = spark.createDataFrame([("a", 1, 1.0)], "crit string, up int, low double")
+    for cs in ("utf-16", "utf-32"):
+        with pytest.raises(CapabilityError):
+            write_delimited(df, f"{workdir}/mb", charset=cs)
+        with pytest.raises(CapabilityError):
+            read_delimited(spark, f"{workdir}/mb", df.schema, charset=cs)
