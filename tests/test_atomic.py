@@ -62,3 +62,20 @@ def test_replace_table_refuses_views(spark):
     spark.range(2).createOrReplaceTempView("tw_a_view")
     with pytest.raises(TableJobError):
         replace_table(spark.range(3), "tw_a_view")
+
+
+def test_empty_inputs_through_every_sink(spark, workdir):
+    from tablewright.sinks.delimited import write_delimited
+    from tablewright.sources.delimited import read_delimited
+    empty = spark.createDataFrame([], "id bigint, s string")
+    write_csv(empty, f"{workdir}/e_csv")
+    assert read_csv_typed(spark, f"{workdir}/e_csv", empty.schema).count() == 0
+    write_delimited(empty, f"{workdir}/e_txt", charset="windows-1251")
+    assert read_delimited(spark, f"{workdir}/e_txt", empty.schema, charset="windows-1251").count() == 0
+    write_sequence(empty, f"{workdir}/e_seq")
+    assert read_sequence(spark, f"{workdir}/e_seq", empty.schema).count() == 0
+    name = unique_name("e_tbl")
+    catalog.create_table(spark, name, [("id", "bigint"), ("s", "string")], location=f"{workdir}/{name}")
+    insert_overwrite(spark.createDataFrame([(1, "x")], empty.schema), name)
+    insert_overwrite(empty, name)
+    assert spark.table(name).count() == 0
