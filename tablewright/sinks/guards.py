@@ -34,8 +34,9 @@ from pyspark.sql.types import (
 from tablewright.errors import SelfOverwriteError
 from tablewright.session import spark_context
 
-# Decimal digits needed to hold every value of each integral type.
-_INT_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
+# Decimal digits of the largest value of each integral type
+# (127, 32767, 2147483647, 9223372036854775807).
+_INT_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
 
 
 def qualify(spark: SparkSession, path: str) -> str:
@@ -99,7 +100,7 @@ def _widens(src: DataType, dst: DataType) -> str | None:
     if type(src) in _INT_DIGITS and type(dst) in _INT_DIGITS:
         return None if _INT_DIGITS[type(src)] <= _INT_DIGITS[type(dst)] else "integer narrowed"
     if type(src) in _INT_DIGITS and isinstance(dst, DecimalType):
-        need = _INT_DIGITS[type(src)] - 1
+        need = _INT_DIGITS[type(src)]
         return None if dst.precision - dst.scale >= need else "integer digits exceed the decimal"
     if isinstance(src, DecimalType) and isinstance(dst, DecimalType):
         if src.scale > dst.scale:
