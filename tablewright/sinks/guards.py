@@ -110,6 +110,10 @@ def _widens(src: DataType, dst: DataType) -> str | None:
         return None
     if isinstance(src, FloatType) and isinstance(dst, DoubleType):
         return None
+    if type(src) in _INT_DIGITS and isinstance(dst, (FloatType, DoubleType)):
+        # exact while the integer fits the mantissa (24 / 53 bits)
+        exact = {FloatType: (ByteType, ShortType), DoubleType: (ByteType, ShortType, IntegerType)}
+        return None if type(src) in exact[type(dst)] else "integer may lose precision as floating point"
     if isinstance(src, DateType) and isinstance(dst, (TimestampType, TimestampNTZType)):
         return None
     if isinstance(src, (TimestampType, TimestampNTZType)) and isinstance(dst, (TimestampType, TimestampNTZType)):

@@ -57,7 +57,7 @@ def widened(t, draw):
         digits = len(str(INTS[t] - 1))
         return draw(st.sampled_from([u for u in INTS if INTS[u] >= INTS[t]]
                                     + [DecimalType(digits, 0), DecimalType(digits - 1, 0),
-                                       DecimalType(min(38, digits + 2), 2)]))
+                                       DecimalType(min(38, digits + 2), 2), FloatType(), DoubleType()]))
     if isinstance(t, FloatType):
         return DoubleType()
     return t
@@ -89,3 +89,6 @@ def test_widenings_are_accepted(spark):
     assert ok(IntegerType(), DecimalType(10, 0)) and not ok(IntegerType(), DecimalType(9, 0))
     assert ok(LongType(), DecimalType(19, 0)) and not ok(LongType(), DecimalType(18, 0))
     assert not ok(LongType(), DecimalType(20, 2))
+    # integers into floating point: exact only within the mantissa
+    assert ok(IntegerType(), DoubleType()) and ok(ShortType(), FloatType())
+    assert not ok(LongType(), DoubleType()) and not ok(IntegerType(), FloatType())
