@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -45,10 +46,14 @@ def incremental_filter_csv_copy(
     far) as a batch frame.
     """
     if names is None:
-        clashes = header_clashes(spark, source_dir)
+        try:
+            clashes = header_clashes(spark, source_dir)
+            names = read_csv_header(spark, source_dir).columns
+        except AnalysisException as e:
+            raise TableJobError(f"no CSV file in {source_dir} to take the header from yet; "
+                                "pass names=[...]") from e
         if any(c.lower() == column.lower() for c in clashes):
             raise TableJobError(f"header names {clashes} differ only in case; `{column}` is ambiguous")
-        names = read_csv_header(spark, source_dir).columns
     schema = StructType([StructField(n, StringType()) for n in names])
     value = bind(FILTER_PARAMS, params)["value"]
     reader = spark.readStream.schema(schema).options(**csv_options(header=True))
