@@ -12,8 +12,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.schemas import ddl
+from tablewright.schemas import ddl, struct
 from tablewright.sqltext import string
+from tablewright.sinks.guards import qualify
+from tablewright.sinks.replace import delete_path, sibling
 from tablewright.sinks.tables import insert_overwrite, table_meta
 from tablewright.sources.delimited import (
     delimited_options,
@@ -56,6 +58,38 @@ def create_table(
     spark.sql(sql)
 
 
+def ensure_table(
+    spark: SparkSession,
+    name: str,
+    columns: list[tuple[str, str]],
+    *,
+    provider: str = "parquet",
+    location: str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> str | None:
+    """``DROP TABLE IF EXISTS`` + ``CREATE TABLE``, without losing data early
+    or leaving it behind.
+
+    A table that already has exactly these columns, this provider and these
+    options is kept as it is (the following insert replaces its content atomically and
+    removes the old files).  Otherwise a table of another shape is dropped
+    and re-created over a fresh folder; its old folder is returned, for the
+    caller to delete once the new content is in place (dropping an external
+    table keeps its files, so they would otherwise be orphaned on every run).
+    """
+    if spark.catalog.tableExists(name):
+        meta = table_meta(spark, name)
+        same_options = all(meta.options.get(k) == str(v) for k, v in (options or {}).items())
+        if meta.provider == provider and same_options and spark.table(name).schema == struct(columns):
+            return None
+        spark.sql(f"DROP TABLE {name}")
+        fresh = sibling(qualify(spark, meta.location), "-v") if meta.location else location
+        create_table(spark, name, columns, provider=provider, location=fresh, options=options)
+        return meta.location
+    create_table(spark, name, columns, provider=provider, location=location, options=options)
+    return None
+
+
 def connector_table(spark: SparkSession, name: str, provider: str,
                     options: Mapping[str, str]) -> DataFrame:
     """External table over a data source (``USING jdbc``, ``csv``, …).
@@ -87,12 +121,17 @@ def create_delimited_table(
     *,
     sep: str = "\t",
     charset: str = "UTF-8",
-) -> None:
-    """Text table: ``ROW FORMAT DELIMITED FIELDS TERMINATED BY sep``."""
+) -> str | None:
+    """Text table: ``ROW FORMAT DELIMITED FIELDS TERMINATED BY sep``.
+
+    Kept if it already has these columns (see ``ensure_table``); returns the
+    folder of a replaced table of another shape, to delete after loading.
+    """
     require_line_based(charset)
     opts = delimited_options(sep, charset)
-    create_table(spark, name, columns, provider="csv", location=location, options=opts)
+    old = ensure_table(spark, name, columns, provider="csv", location=location, options=opts)
     enable_charset(spark, charset)
+    return old
 
 
 def load_file_overwrite(spark: SparkSession, table: str, path: str, *,

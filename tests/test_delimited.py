@@ -78,6 +78,9 @@ def test_limits_load_replaces_content(spark, workdir):
     assert bytes.fromhex("CFF0E8E2E5F2") in _bytes(table_meta(spark, name).location)
     again = jobs.limits_load(spark, name, f"{workdir}/data", f"{workdir}/tbl", columns=LIMITS_COLUMNS)
     assert again.count() == 2
+    import os
+    from conftest import local_path
+    assert len([d for d in os.listdir(local_path(workdir)) if d.startswith("tbl")]) == 1
 
 
 def test_insert_into_text_table_checks_values(spark, workdir):

@@ -123,3 +123,23 @@ def test_view_rebinding_keeps_old_plans(spark):
     first = spark.sql("SELECT * FROM tw_rebind")
     catalog.register_view(spark.range(10), "tw_rebind")
     assert first.count() == 3 and spark.table("tw_rebind").count() == 10
+
+
+def _versions(spark, workdir, name):
+    import os
+    from conftest import local_path
+    return sorted(d for d in os.listdir(local_path(workdir)) if d.startswith(name))
+
+
+def test_reruns_leave_no_data_behind(spark, workdir):
+    src = _table(spark, workdir, [(decimal.Decimal(1), "a", decimal.Decimal("1.00"))], label="src")
+    dst = unique_name("dst")
+    for _ in range(3):
+        jobs.snapshot_copy(spark, src, dst, columns=COLS, location=f"{workdir}/{dst}")
+    assert len(_versions(spark, workdir, dst)) == 1
+    # a new shape: the table is re-created, the old data removed after the load
+    narrow = unique_name("narrow")
+    spark.table(src).select("id", "name").write.option("path", f"{workdir}/{narrow}").saveAsTable(narrow)
+    out = jobs.snapshot_copy(spark, narrow, dst, columns=COLS[:2], location=f"{workdir}/{dst}")
+    assert out.columns == ["id", "name"] and out.count() == 1
+    assert len(_versions(spark, workdir, dst)) == 1
