@@ -49,7 +49,11 @@ def replace_path(spark: SparkSession, target: str, write: Callable[[str], None])
     """Run ``write(staging)``, then make ``staging`` the new ``target``."""
     tgt = qualify(spark, target)
     staging = hidden_sibling(tgt, "staging")
-    write(staging)
+    try:
+        write(staging)
+    except BaseException:
+        delete_path(spark, staging)  # the failed attempt leaves nothing behind
+        raise
     src_p, fs = _fs(spark, staging)
     dst_p, _ = _fs(spark, tgt)
     backup = None

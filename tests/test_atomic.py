@@ -20,10 +20,14 @@ def _failing(spark):
 
 
 def test_failed_csv_overwrite_keeps_old_files(spark, workdir):
+    import os
+
+    from conftest import local_path
     write_csv(spark.range(5), f"{workdir}/c")
     with pytest.raises(PySparkException, match="boom"):
         write_csv(_failing(spark), f"{workdir}/c")
     assert read_csv_typed(spark, f"{workdir}/c", "id long").count() == 5
+    assert os.listdir(local_path(workdir)) == ["c"]  # no staging folder left
     write_csv(spark.range(7), f"{workdir}/c")
     assert read_csv_typed(spark, f"{workdir}/c", "id long").count() == 7
 
@@ -43,6 +47,10 @@ def test_failed_insert_overwrite_keeps_table(spark, workdir):
     with pytest.raises(PySparkException, match="boom"):
         insert_overwrite(_failing(spark), name)
     assert spark.table(name).count() == 5
+    import os
+
+    from conftest import local_path
+    assert len([d for d in os.listdir(local_path(workdir)) if d.startswith(name)]) == 1
     insert_overwrite(spark.range(9), name)
     assert spark.table(name).count() == 9
     assert table_meta(spark, name).location != first  # switched, old folder removed
