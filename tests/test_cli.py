@@ -1,0 +1,49 @@
+from conftest import write_text
+from tablewright import catalog
+from tablewright.cli import main
+from tablewright.schemas import WIDE_DOCUMENT_COLUMNS
+from tablewright.session import unique_name
+from tablewright.sinks.delimited import write_delimited
+
+
+def _last(capsys):
+    return capsys.readouterr().out.strip().splitlines()[-1]
+
+
+def test_filter_csv_and_positional(spark, workdir, capsys):
+    write_text(f"{workdir}/in/a.csv", "Code,Name\nCAE,one\nXYZ,two\n")
+    assert main(["filter-csv", "--source", f"{workdir}/in", "--target", f"{workdir}/out"], spark) == 0
+    assert _last(capsys).endswith("\t1 rows")
+    write_text(f"{workdir}/p/a.csv", "a,b,c\nd,e,f\n")
+    main(["positional", "--source", f"{workdir}/p", "--target", f"{workdir}/po",
+          "--position", "2=type2", "--position", "0=type1"], spark)
+    assert _last(capsys).endswith("\t2 rows")
+    assert spark.read.option("header", "true").csv(f"{workdir}/po").columns == ["type2", "type1"]
+
+
+def test_filter_table_and_limits_load(spark, workdir, capsys):
+    src = unique_name("category")
+    spark.range(10).withColumnRenamed("id", "catid").write.option("path", f"{workdir}/{src}").saveAsTable(src)
+    main(["filter-table", "--source", src, "--target", unique_name("after"), "--location",
+          f"{workdir}/after", "--param", "limit=7"], spark)
+    assert _last(capsys).endswith("\t7 rows")
+    rows = spark.createDataFrame([("Привет", 1, 0.5)], "crit string, up int, low double")
+    write_delimited(rows, f"{workdir}/lim", charset="windows-1251")
+    main(["limits-load", "--table", unique_name("det_crit_lim"), "--data-file", f"{workdir}/lim",
+          "--location", f"{workdir}/limtbl"], spark)
+    assert _last(capsys).endswith("\t1 rows")
+
+
+def test_snapshot_to_sequencefile(spark, workdir, capsys):
+    exprs = [f"CAST(id AS {'timestamp_ntz' if t == 'timestamp' else t}) AS {n}" if t not in ("string", "timestamp")
+             else (f"CAST(id AS STRING) AS {n}" if t == "string" else f"timestamp_ntz'2024-01-01 00:00:00' AS {n}")
+             for n, t in WIDE_DOCUMENT_COLUMNS]
+    src = unique_name("z_main_docum")
+    spark.range(3).selectExpr(*exprs).write.option("path", f"{workdir}/{src}").saveAsTable(src)
+    main(["snapshot", "--source", src, "--target", f"{workdir}/seq", "--sequence"], spark)
+    assert _last(capsys).endswith("\t3 rows")
+    tbl = unique_name("archive")
+    main(["snapshot", "--source", src, "--target", tbl, "--location", f"{workdir}/{tbl}",
+          "--compression", "zstd"], spark)
+    assert _last(capsys).endswith("\t3 rows")
+    assert catalog.table_meta(spark, tbl).options.get("compression") == "zstd"
