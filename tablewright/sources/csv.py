@@ -56,18 +56,19 @@ def read_csv_typed(
     )
 
 
-def header_clashes(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Header names that differ only in case.
+def header_clashes(df: DataFrame) -> list[str]:
+    """Header names that differ only in case, as read into ``df``.
 
-    Spark renames such columns (``Code`` and ``code`` become ``Code0`` and
-    ``code1``) without a word; a job that filters on ``Code`` would then
-    fail or pick the wrong column.  Reads the first line only.
+    Spark renames such columns by appending their position (``Code`` and
+    ``code`` in columns 0 and 1 become ``Code0`` and ``code1``) without a
+    word; a job that filters on ``Code`` would then fail or pick the wrong
+    column.  Read off the inferred names, so no second listing of the input
+    and no extra job is needed.
     """
-    first = spark.read.options(**csv_options(header=False)).csv(path).limit(1).collect()
-    if not first:
-        return []
-    names = [v for v in first[0] if v is not None]
-    seen: dict[str, list[str]] = {}
-    for n in names:
-        seen.setdefault(n.lower(), []).append(n)
-    return sorted(n for group in seen.values() if len(group) > 1 for n in group)
+    groups: dict[str, list[str]] = {}
+    for i, name in enumerate(df.columns):
+        suffix = str(i)
+        if len(name) > len(suffix) and name.endswith(suffix):
+            base = name[: -len(suffix)]
+            groups.setdefault(base.lower(), []).append(base)
+    return sorted(b for bases in groups.values() if len(bases) > 1 for b in bases)

@@ -47,8 +47,8 @@ def incremental_filter_csv_copy(
     """
     if names is None:
         try:
-            clashes = header_clashes(spark, source_dir)
-            names = read_csv_header(spark, source_dir).columns
+            header = read_csv_header(spark, source_dir)
+            clashes, names = header_clashes(header), header.columns
         except AnalysisException as e:
             raise TableJobError(f"no CSV file in {source_dir} to take the header from yet; "
                                 "pass names=[...]") from e

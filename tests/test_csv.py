@@ -57,8 +57,13 @@ def test_ragged_rows_pad_and_cut(spark, workdir):
 
 def test_header_names_differing_in_case_are_reported(spark, workdir):
     write_text(f"{workdir}/h/a.csv", "Code,code,A B\n1,2,3\n")
-    assert header_clashes(spark, f"{workdir}/h") == ["Code", "code"]
-    assert read_csv_header(spark, f"{workdir}/h").columns == ["Code0", "code1", "A B"]
+    df = read_csv_header(spark, f"{workdir}/h")
+    assert df.columns == ["Code0", "code1", "A B"]
+    assert header_clashes(df) == ["Code", "code"]
+    write_text(f"{workdir}/h2/a.csv", "a,b,A,c,B\n1,2,3,4,5\n")
+    assert header_clashes(read_csv_header(spark, f"{workdir}/h2")) == ["A", "B", "a", "b"]
+    write_text(f"{workdir}/h3/a.csv", "x0,y,Code\n1,2,3\n")  # a lone "x0" is not a clash
+    assert header_clashes(read_csv_header(spark, f"{workdir}/h3")) == []
     with pytest.raises(TableJobError):
         jobs.filter_csv_copy(spark, f"{workdir}/h", f"{workdir}/o", column="Code")
 
