@@ -14,7 +14,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 MICROS_TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MICROS_TS_LTZ = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
@@ -110,10 +118,14 @@ def join_fields(schema: StructType, sep: str = "\t", null_value: str = HIVE_NULL
     parts = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            raise ValueError(f"column {f.name}: {f.dataType.simpleString()} has no delimited text form here")
         if isinstance(f.dataType, (TimestampNTZType, TimestampType)):
             text = F.date_format(c, MICROS_TS)
         elif isinstance(f.dataType, StringType):
             text = c
+        elif isinstance(f.dataType, BinaryType):
+            text = F.base64(c)  # as Hive stores binary in text tables
         else:
             text = c.cast("string")
         parts.append(F.coalesce(text, F.lit(null_value)))
@@ -131,6 +143,11 @@ def split_fields(text: Column, schema: StructType, sep: str = "\t",
     for i, f in enumerate(schema.fields, start=1):
         raw = F.try_element_at(fields, F.lit(i))
         raw = F.when(raw == F.lit(null_value), F.lit(None)).otherwise(raw)
-        value = raw if isinstance(f.dataType, StringType) else raw.try_cast(f.dataType)
+        if isinstance(f.dataType, StringType):
+            value = raw
+        elif isinstance(f.dataType, BinaryType):
+            value = F.try_to_binary(raw, F.lit("base64"))
+        else:
+            value = raw.try_cast(f.dataType)
         cols.append(value.alias(f.name))
     return cols
