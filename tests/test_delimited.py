@@ -35,6 +35,9 @@ def test_windows_1251_bytes_and_roundtrip(spark, workdir):
 def test_unmappable_characters_fail_or_are_counted(spark, workdir):
     df = spark.createDataFrame([("é中",), ("Привет",)], "crit string")
     assert count_unwritable(df, "windows-1251").collect()[0]["unmappable_values"] == 1
+    report = count_unwritable(spark.createDataFrame([("a\tb", "\\N"), ("ok", None)], "x string, y string"),
+                              "windows-1251").collect()[0]
+    assert (report["unmappable_values"], report["embedded_delimiters"], report["null_marker_values"]) == (0, 1, 1)
     with pytest.raises(PySparkException, match="not representable in windows-1251"):
         write_delimited(df, f"{workdir}/um", charset="windows-1251")
     write_delimited(df, f"{workdir}/um2", charset="windows-1251", on_unmappable="replace")
