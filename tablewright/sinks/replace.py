@@ -73,3 +73,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p)
