@@ -12,13 +12,22 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
+def _boolean(text: str) -> bool:
+    value = text.strip().lower()
+    if value in ("1", "true", "yes"):
+        return True
+    if value in ("0", "false", "no"):
+        return False
+    raise ValueError(f"not a boolean: {text!r}")
+
+
 _PARSERS = {
     "string": str,
     "int": int,
     "bigint": int,
     "double": float,
     "decimal": _dec.Decimal,
-    "boolean": lambda v: v if isinstance(v, bool) else str(v).strip().lower() in ("1", "true", "yes"),
+    "boolean": lambda v: v if isinstance(v, bool) else _boolean(str(v)),
     "date": lambda v: v if isinstance(v, _dt.date) else _dt.date.fromisoformat(str(v)),
 }
 
