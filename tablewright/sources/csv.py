@@ -13,19 +13,28 @@ from pyspark.sql.types import StructType
 from tablewright.functions.text import csv_options
 
 
-def read_csv_header(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+def _reader(spark: SparkSession, header: bool, multiline: bool, escape: str):
+    return (spark.read.options(**csv_options(header=header))
+            .option("multiLine", str(multiline).lower()).option("escape", escape))
+
+
+def read_csv_header(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
+                    escape: str = '"') -> DataFrame:
     """Names from the first line, all values strings (``_c`` names never appear).
 
     ``multiline=True`` is needed when quoted values hold line breaks; it
     makes every file one task (a record may cross any byte offset), so it is
-    off by default and large files stay splittable.
+    off by default and large files stay splittable.  ``escape='"'`` reads
+    RFC-4180 files (quotes doubled); files from Spark's default CSV writer
+    escape quotes with a backslash and need ``escape="\\"``.
     """
-    return spark.read.options(**csv_options(header=True)).option("multiLine", str(multiline).lower()).csv(path)
+    return _reader(spark, True, multiline, escape).csv(path)
 
 
-def read_csv_positional(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+def read_csv_positional(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
+                        escape: str = '"') -> DataFrame:
     """No header: columns are ``_c0 … _cN`` and a header line, if any, is data."""
-    return spark.read.options(**csv_options(header=False)).option("multiLine", str(multiline).lower()).csv(path)
+    return _reader(spark, False, multiline, escape).csv(path)
 
 
 def read_csv_typed(

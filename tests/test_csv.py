@@ -128,3 +128,10 @@ def test_typed_filter_on_text_ansi_vs_try_cast(spark):
         df.where(typed("catid", "int") < 7).collect()
     got = df.where(typed("catid", "int", on_bad_value="null") < 7).collect()
     assert [r[0] for r in got] == ["3"]
+
+
+def test_escape_styles(spark, workdir):
+    write_text(f"{workdir}/rfc/a.csv", 'k,v\n1,"say ""hi"""\n')
+    write_text(f"{workdir}/bs/a.csv", 'k,v\n1,"say \\"hi\\""\n')
+    assert read_csv_header(spark, f"{workdir}/rfc").first()["v"] == 'say "hi"'
+    assert read_csv_header(spark, f"{workdir}/bs", escape="\\").first()["v"] == 'say "hi"'
