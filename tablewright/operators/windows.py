@@ -48,7 +48,7 @@ def _total_type(df: DataFrame, value: str) -> str:
 
 def ranked_running_total(
     df: DataFrame,
-    key: str,
+    key: str | list[str],
     order: list[str | Column],
     value: str,
     *,
@@ -56,7 +56,17 @@ def ranked_running_total(
     total_col: str = "running_total",
     num_ranges: int | None = None,
 ) -> DataFrame:
-    """Add ``rank_col`` (1-based row number) and ``total_col`` (running sum)."""
+    """Add ``rank_col`` (1-based row number) and ``total_col`` (running sum).
+
+    ``key`` is one column or several (``PARTITION BY a, b``); several are
+    carried as one struct, which orders and compares field by field with
+    nulls first and null equal to null, as a window's partitioning does.
+    """
+    if not isinstance(key, str):
+        keys = list(key)
+        packed = ranked_running_total(df.withColumn("__keys", F.struct(*keys)), "__keys", order, value,
+                                      rank_col=rank_col, total_col=total_col, num_ranges=num_ranges)
+        return packed.drop("__keys")
     spark = df.sparkSession
     n = num_ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     out_type = _total_type(df, value)

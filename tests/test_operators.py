@@ -77,3 +77,16 @@ def test_preview_and_schema_report(spark):
     rep = schema_report(df).collect()
     assert [(r.ordinal, r.name, r.type, r.nullable) for r in rep] == [
         (1, "id", "bigint", False), (2, "s", "string", False)]
+
+
+def test_running_total_several_keys(spark):
+    rows = [(i, i % 2 if i % 5 else None, i % 3, dt.datetime(2022, 1, 1) + dt.timedelta(hours=i % 17),
+             decimal.Decimal(i) / 4) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, a long, b long, t timestamp_ntz, v decimal(17,2)")
+    w = Window.partitionBy("a", "b").orderBy("t", "id")
+    want = df.select("id", F.row_number().over(w).cast("bigint").alias("rn"),
+                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("decimal(38,2)")
+                     .alias("running_total"))
+    got = ranked_running_total(df, ["a", "b"], ["t", "id"], "v", num_ranges=8)
+    assert got.columns == df.columns + ["rn", "running_total"]
+    assert sorted(got.select("id", "rn", "running_total").collect()) == sorted(want.collect())
