@@ -35,9 +35,6 @@ from tablewright.sources.csv import read_csv_typed
 from tablewright.sources.sequence import read_sequence
 from tablewright.streaming import incremental_filter_csv_copy
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
 @dataclass(frozen=True)
 class Staged:
     """A registered query: staging of its input, then the job."""
