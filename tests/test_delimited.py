@@ -119,3 +119,14 @@ def test_multibyte_line_breaks_are_refused(spark, workdir):
             write_delimited(df, f"{workdir}/mb", charset=cs)
         with pytest.raises(CapabilityError):
             read_delimited(spark, f"{workdir}/mb", df.schema, charset=cs)
+
+
+def test_replace_text_table_checks_values(spark, workdir):
+    from tablewright import catalog
+    from tablewright.sinks.tables import replace_table
+    name = unique_name("lim_text2")
+    catalog.create_delimited_table(spark, name, LIMITS_COLUMNS, f"{workdir}/{name}", charset="windows-1251")
+    replace_table(spark.createDataFrame([("ok", 1, 1.0)], "crit string, up int, low double"), name)
+    with pytest.raises(PySparkException):
+        replace_table(spark.createDataFrame([("a\tb", 2, 2.0)], "crit string, up int, low double"), name)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("ok", 1, 1.0)]
