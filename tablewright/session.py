@@ -104,9 +104,13 @@ def spread(df, max_bytes: int = SPREAD_MAX_BYTES):
     left alone: there the extra shuffle would cost more than it buys, and
     they come in many splits anyway.  File sizes are only looked up in the
     few-splits case.  Not for frames whose row order must be kept.
+
+    Meant for frames read straight from files: the split count of a frame
+    with a shuffle is only known after adaptive execution has run that
+    shuffle, so such frames are returned unchanged.
     """
     sc = spark_context(df.sparkSession)
-    if sc is None:
+    if sc is None or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df
     cores = sc.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

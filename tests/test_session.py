@@ -24,3 +24,9 @@ def test_spread_only_small_inputs_with_few_splits(spark):
 
 def test_avro_probe(spark):
     assert has_avro(spark) is False  # spark-avro is not on this classpath
+
+
+def test_spread_leaves_shuffled_frames_alone(spark):
+    one_group = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    grouped = one_group.groupBy("l_returnflag").count()
+    assert spread(grouped) is grouped
