@@ -3,11 +3,17 @@ import sys
 import tempfile
 
 import pytest
+from hypothesis import settings
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+# Property tests are reproducible by default; HYPOTHESIS_PROFILE=explore draws fresh inputs.
+settings.register_profile("repeatable", derandomize=True)
+settings.register_profile("explore", derandomize=False)
+settings.load_profile(os.environ.get("HYPOTHESIS_PROFILE", "repeatable"))
+
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
 

@@ -37,9 +37,10 @@ def values_of(t):
         b = INTS[t]
         return st.integers(-b, b - 1)
     if isinstance(t, DecimalType):
-        bound = decimal.Decimal(10) ** (t.precision - t.scale) - decimal.Decimal(10) ** -t.scale
-        return st.decimals(min_value=-bound, max_value=bound, places=t.scale,
-                           allow_nan=False, allow_infinity=False)
+        # largest value of the type, built exactly (the default decimal context keeps 28 digits)
+        text = ("9" * (t.precision - t.scale) or "0") + ("." + "9" * t.scale if t.scale else "")
+        return st.decimals(min_value=decimal.Decimal("-" + text), max_value=decimal.Decimal(text),
+                           places=t.scale, allow_nan=False, allow_infinity=False)
     if isinstance(t, FloatType):
         return st.floats(width=32, allow_nan=False, allow_infinity=False)
     if isinstance(t, DoubleType):
