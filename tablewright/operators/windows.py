@@ -74,19 +74,23 @@ def ranked_running_total(
     ranged = df.repartitionByRange(n, F.col(key), *order_cols).withColumn(_PIECE, F.spark_partition_id())
 
     w = Window.partitionBy(key, _PIECE).orderBy(*order_cols)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (
         ranged.withColumn("__lrank", F.row_number().over(w))
-        .withColumn("__lsum", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("__lsum", F.sum(value).over(upto))
+        .withColumn("__lnn", F.count(value).over(upto))  # non-null values so far (SQL: null sum if none)
     )
 
     # one row per range: its first key, and its last key with that key's local count and sum
     sort_key = [F.col(key).alias("k")] + [c.alias(f"o{i}") for i, c in enumerate(order_cols)]
     summary = local.groupBy(_PIECE).agg(
         F.min(F.struct(*sort_key)).getField("k").alias("first_key"),
-        F.max(F.struct(*sort_key, F.col("__lrank").alias("cnt"), F.col("__lsum").alias("sm"))).alias("last"),
+        F.max(F.struct(*sort_key, F.col("__lrank").alias("cnt"), F.col("__lsum").alias("sm"),
+                       F.col("__lnn").alias("nn"))).alias("last"),
     ).select(
         _PIECE, "first_key",
-        F.col("last.k").alias("last_key"), F.col("last.cnt").alias("last_cnt"), F.col("last.sm").alias("last_sum"),
+        F.col("last.k").alias("last_key"), F.col("last.cnt").alias("last_cnt"),
+        F.col("last.sm").alias("last_sum"), F.col("last.nn").alias("last_nn"),
     )
     # rows of a key in earlier ranges = running totals of "last key" pieces of that key
     by_last = Window.partitionBy("last_key").orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, 0)
@@ -94,19 +98,25 @@ def ranked_running_total(
     offsets = (
         summary.withColumn("cum_cnt", F.sum("last_cnt").over(by_last))
         .withColumn("cum_sum", F.sum("last_sum").over(by_last))
+        .withColumn("cum_nn", F.sum("last_nn").over(by_last))
         .withColumn("prev_last", F.lag("last_key").over(ranges))
         .withColumn("prev_cnt", F.lag("cum_cnt").over(ranges))
         .withColumn("prev_sum", F.lag("cum_sum").over(ranges))
+        .withColumn("prev_nn", F.lag("cum_nn").over(ranges))
         .withColumn("prev_piece", F.lag(_PIECE).over(ranges))
         .where(F.col("prev_piece").isNotNull() & F.col("prev_last").eqNullSafe(F.col("first_key")))
         .select(F.col(_PIECE).alias("__opiece"), F.col("first_key").alias("__okey"),
-                F.col("prev_cnt").alias("__n0"), F.col("prev_sum").cast(out_type).alias("__s0"))
+                F.col("prev_cnt").alias("__n0"), F.col("prev_sum").cast(out_type).alias("__s0"),
+                F.col("prev_nn").alias("__nn0"))
     )
     on = (F.col(_PIECE) == F.col("__opiece")) & F.col(key).eqNullSafe(F.col("__okey"))
     return (
         local.join(F.broadcast(offsets), on, "left")
         .withColumn(rank_col, (F.col("__lrank") + F.coalesce(F.col("__n0"), F.lit(0))).cast("bigint"))
-        .withColumn(total_col, (F.col("__lsum").cast(out_type)
-                                + F.coalesce(F.col("__s0"), F.lit(0).cast(out_type))).cast(out_type))
-        .drop(_PIECE, "__opiece", "__okey", "__lrank", "__lsum", "__n0", "__s0")
+        .withColumn(total_col, F.when(
+            F.col("__lnn") + F.coalesce(F.col("__nn0"), F.lit(0)) == 0, F.lit(None).cast(out_type)
+        ).otherwise(
+            (F.coalesce(F.col("__lsum").cast(out_type), F.lit(0).cast(out_type))
+             + F.coalesce(F.col("__s0"), F.lit(0).cast(out_type))).cast(out_type)))
+        .drop(_PIECE, "__opiece", "__okey", "__lrank", "__lsum", "__lnn", "__n0", "__s0", "__nn0")
     )

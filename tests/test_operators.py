@@ -90,3 +90,14 @@ def test_running_total_several_keys(spark):
     got = ranked_running_total(df, ["a", "b"], ["t", "id"], "v", num_ranges=8)
     assert got.columns == df.columns + ["rn", "running_total"]
     assert sorted(got.select("id", "rn", "running_total").collect()) == sorted(want.collect())
+
+
+def test_running_total_with_null_values_across_ranges(spark):
+    # a hot key whose values are null in long stretches, so ranges start with nulls
+    rows = [(i, 1 if i % 3 else 2, dt.datetime(2023, 1, 1) + dt.timedelta(minutes=i),
+             None if (i // 40) % 2 or i % 7 == 0 else decimal.Decimal(i) / 10)
+            for i in range(1200)]
+    rows += [(5000 + i, 3, dt.datetime(2023, 1, 1), None) for i in range(50)]  # all-null key
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz, v decimal(17,2)")
+    got = ranked_running_total(df, "k", ["t", "id"], "v", num_ranges=24)
+    assert sorted(got.select("id", "k", "rn", "running_total").collect()) == sorted(_naive(df).collect())
