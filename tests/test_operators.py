@@ -101,3 +101,24 @@ def test_running_total_with_null_values_across_ranges(spark):
     df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz, v decimal(17,2)")
     got = ranked_running_total(df, "k", ["t", "id"], "v", num_ranges=24)
     assert sorted(got.select("id", "k", "rn", "running_total").collect()) == sorted(_naive(df).collect())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.data())
+def test_running_total_matches_plain_window_property(spark, data):
+    n = data.draw(st.integers(1, 300))
+    keys = st.one_of(st.none(), st.integers(0, data.draw(st.integers(0, 4))))
+    minutes = st.one_of(st.none(), st.integers(0, 20))
+    values = st.one_of(st.none(), st.integers(-10**6, 10**6))
+    rows = [(i, data.draw(keys), None if (m := data.draw(minutes)) is None
+             else dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m),
+             None if (v := data.draw(values)) is None else decimal.Decimal(v) / 100)
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz, v decimal(17,2)")
+    ranges = data.draw(st.integers(1, 40))
+    got = ranked_running_total(df, "k", ["t", "id"], "v", num_ranges=ranges)
+    assert sorted(got.select("id", "k", "rn", "running_total").collect()) == sorted(_naive(df).collect())
