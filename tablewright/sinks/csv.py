@@ -29,6 +29,11 @@ def write_csv(
     was (``sinks.replace``).
     """
     opts = csv_options(sep, null_value, header, line_sep="\n")
+    if len(df.columns) == 1:
+        # Spark's CSV reader skips lines that are blank after trimming, so a
+        # one-column row holding null, "" or only whitespace would vanish;
+        # quoting every value keeps each such line non-blank
+        opts["quoteAll"] = "true"
     if compression:
         opts["compression"] = compression
     if mode != "overwrite":

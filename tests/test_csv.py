@@ -135,3 +135,21 @@ def test_escape_styles(spark, workdir):
     write_text(f"{workdir}/bs/a.csv", 'k,v\n1,"say \\"hi\\""\n')
     assert read_csv_header(spark, f"{workdir}/rfc").first()["v"] == 'say "hi"'
     assert read_csv_header(spark, f"{workdir}/bs", escape="\\").first()["v"] == 'say "hi"'
+
+
+def test_one_column_rows_never_vanish(spark, workdir):
+    df = spark.createDataFrame([(" ",), (None,), ("",), ("a",)], "s string")
+    write_csv(df, f"{workdir}/one")
+    back = read_csv_typed(spark, f"{workdir}/one", "s string", line_sep="\n").collect()
+    assert sorted(r["s"] or "" for r in back) == ["", "", " ", "a"]  # "" and null both read as null
+    from tablewright.sinks.delimited import write_delimited
+    from tablewright.sources.delimited import read_delimited
+    import pytest as _pytest
+    from pyspark.errors import PySparkException
+    with _pytest.raises(PySparkException, match="one-column unquoted"):
+        write_delimited(df, f"{workdir}/one_bad")
+    no_empty = df.where("s IS NULL OR s <> ''")
+    for quoted in (False, True):
+        write_delimited(no_empty, f"{workdir}/one_t{quoted}", quoted=quoted)
+        got = read_delimited(spark, f"{workdir}/one_t{quoted}", "s string", quoted=quoted).collect()
+        assert sorted(r["s"] or "" for r in got) == ["", " ", "a"]
