@@ -130,3 +130,27 @@ def test_replace_text_table_checks_values(spark, workdir):
     with pytest.raises(PySparkException):
         replace_table(spark.createDataFrame([("a\tb", 2, 2.0)], "crit string, up int, low double"), name)
     assert [tuple(r) for r in spark.table(name).collect()] == [("ok", 1, 1.0)]
+
+
+def test_crlf_files_read_like_hive(spark, workdir):
+    data = "Привет\t1\t0.5\r\nмир\t2\t1.5\r\n".encode("cp1251")
+    import os
+
+    from conftest import local_path
+    os.makedirs(local_path(f"{workdir}/crlf"))
+    with open(local_path(f"{workdir}/crlf/det_crit_lim.data"), "wb") as f:
+        f.write(data)
+    rows = read_delimited(spark, f"{workdir}/crlf", "crit string, up int, low double",
+                          charset="windows-1251").collect()
+    assert sorted(tuple(r) for r in rows) == [("Привет", 1, 0.5), ("мир", 2, 1.5)]
+
+
+def test_crlf_files_string_last_column(spark, workdir):
+    import os
+
+    from conftest import local_path
+    os.makedirs(local_path(f"{workdir}/crlf2"))
+    with open(local_path(f"{workdir}/crlf2/a.data"), "wb") as f:
+        f.write("1\tПривет\r\n2\tмир\r\n".encode("cp1251"))
+    rows = read_delimited(spark, f"{workdir}/crlf2", "up int, crit string", charset="windows-1251").collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "Привет"), (2, "мир")]
