@@ -153,3 +153,13 @@ def test_one_column_rows_never_vanish(spark, workdir):
         write_delimited(no_empty, f"{workdir}/one_t{quoted}", quoted=quoted)
         got = read_delimited(spark, f"{workdir}/one_t{quoted}", "s string", quoted=quoted).collect()
         assert sorted(r["s"] or "" for r in got) == ["", " ", "a"]
+
+
+def test_excel_style_csv_with_bom_and_crlf(spark, workdir):
+    import os
+
+    os.makedirs(local_path(f"{workdir}/xl"))
+    with open(local_path(f"{workdir}/xl/affiliates.csv"), "wb") as f:
+        f.write("﻿Code,Name\r\nCAE,one\r\nXYZ,two\r\n".encode("utf-8"))
+    out = jobs.filter_csv_copy(spark, f"{workdir}/xl", f"{workdir}/xl_out", view="t_xl")
+    assert out.columns == ["Code", "Name"] and [tuple(r) for r in out.collect()] == [("CAE", "one")]
