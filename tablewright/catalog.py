@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablewright.schemas import ddl, struct
 from tablewright.sqltext import string
 from tablewright.sinks.guards import qualify
-from tablewright.sinks.replace import delete_path, make_dirs, sibling
+from tablewright.sinks.replace import make_dirs, sibling
 from tablewright.sinks.tables import insert_overwrite, table_meta
 from tablewright.sources.delimited import (
     delimited_options,
