@@ -1,6 +1,6 @@
 """Run the table jobs from the command line (``spark-submit`` friendly).
 
-    spark-submit -m tablewright.cli filter-csv --source s3a://b/in --target s3a://b/out \
+    spark-submit --py-files tablewright.zip tablewright/cli.py filter-csv --source s3a://b/in --target s3a://b/out \
         --column Code --value CAE
     python -m tablewright.cli positional --source in/ --position 20=type1 --position 31=region \
         --position 61=type2 --target out/
@@ -75,6 +75,8 @@ def _parser() -> argparse.ArgumentParser:
     j7.add_argument("--sequence", action="store_true", help="block-compressed SequenceFile target")
     j7.add_argument("--hive-records", action="store_true", help="Hive text layout in the SequenceFile")
     j7.add_argument("--compression", help="Parquet table compression, e.g. zstd")
+    j7.add_argument("--by-position", action="store_true",
+                    help="pair columns by position even where names differ (types are still checked)")
     return p
 
 
@@ -113,10 +115,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         if args.sequence:
             dest = jobs.SequenceTable(args.target, WIDE_DOCUMENT_COLUMNS,
                                       record_format="hive" if args.hive_records else "csv")
-            out = jobs.snapshot_copy(spark, args.source, dest)
+            out = jobs.snapshot_copy(spark, args.source, dest, match_names=not args.by_position)
         else:
             out = jobs.snapshot_copy(spark, args.source, args.target, columns=WIDE_DOCUMENT_COLUMNS,
-                                     location=args.location, compression=args.compression)
+                                     location=args.location, compression=args.compression,
+                                     match_names=not args.by_position)
         target = args.target
     print(f"{target}\t{out.count()} rows")
     return 0

@@ -47,3 +47,18 @@ def test_snapshot_to_sequencefile(spark, workdir, capsys):
           "--compression", "zstd"], spark)
     assert _last(capsys).endswith("\t3 rows")
     assert catalog.table_meta(spark, tbl).options.get("compression") == "zstd"
+
+
+def test_snapshot_by_position(spark, workdir, capsys):
+    import pytest as _pytest
+
+    from tablewright.errors import SchemaMismatchError
+    exprs = [f"CAST(id AS {'timestamp_ntz' if t == 'timestamp' else t}) AS x{i}" if t not in ("string", "timestamp")
+             else (f"CAST(id AS STRING) AS x{i}" if t == "string" else f"timestamp_ntz'2024-01-01 00:00:00' AS x{i}")
+             for i, (n, t) in enumerate(WIDE_DOCUMENT_COLUMNS)]
+    src = unique_name("renamed_src")
+    spark.range(2).selectExpr(*exprs).write.option("path", f"{workdir}/{src}").saveAsTable(src)
+    with _pytest.raises(SchemaMismatchError):
+        main(["snapshot", "--source", src, "--target", f"{workdir}/seq2", "--sequence"], spark)
+    main(["snapshot", "--source", src, "--target", f"{workdir}/seq2", "--sequence", "--by-position"], spark)
+    assert _last(capsys).endswith("\t2 rows")
