@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tablewright.schemas import ddl, struct
 from tablewright.sqltext import string
 from tablewright.sinks.guards import qualify
-from tablewright.sinks.replace import make_dirs, sibling
+from tablewright.session import new_work_dir
+from tablewright.sinks.replace import make_dirs, sibling, upload_local_file
 from tablewright.sinks.tables import insert_overwrite, table_meta
 from tablewright.sources.delimited import (
     delimited_options,
@@ -136,14 +137,22 @@ def create_delimited_table(
 
 
 def load_file_overwrite(spark: SparkSession, table: str, path: str, *,
-                        charset: str | None = None) -> None:
-    """``LOAD DATA INPATH path OVERWRITE INTO TABLE table`` for any session.
+                        charset: str | None = None, local: bool = False) -> None:
+    """``LOAD DATA [LOCAL] INPATH path OVERWRITE INTO TABLE table`` for any session.
 
     A plain session refuses LOAD DATA on data-source tables, so the file is
     read with the table's own schema and options and the table's content is
     replaced by an insert.  The file is validated by the read, which LOAD
     DATA (a byte copy) never did; the source file is left in place.
+
+    ``local=True`` is ``LOAD DATA LOCAL``: ``path`` is on the driver's own
+    disk, which executors of a cluster cannot see, so it is first uploaded
+    into the shared folder (as the client-side upload of LOAD DATA LOCAL).
     """
+    if local:
+        staged = new_work_dir(spark, "load-data-local")
+        upload_local_file(spark, path, staged)
+        path = staged
     meta = table_meta(spark, table)
     sep = meta.options.get("sep", "\t")
     enc = charset or meta.options.get("encoding", "UTF-8")

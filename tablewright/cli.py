@@ -67,6 +67,7 @@ def _parser() -> argparse.ArgumentParser:
     j6.add_argument("--data-file", required=True)
     j6.add_argument("--location", required=True)
     j6.add_argument("--charset", default="windows-1251")
+    j6.add_argument("--local", action="store_true", help="the data file is on this machine (LOAD DATA LOCAL)")
 
     j7 = sub.add_parser("snapshot", help="J7: positional overwrite of the archive table")
     j7.add_argument("--source", required=True)
@@ -109,7 +110,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         target = args.target
     elif args.job == "limits-load":
         out = jobs.limits_load(spark, args.table, args.data_file, args.location,
-                               charset=args.charset, columns=LIMITS_COLUMNS)
+                               charset=args.charset, columns=LIMITS_COLUMNS, local=args.local)
         target = args.table
     else:  # snapshot
         if args.sequence:

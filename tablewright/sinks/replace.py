@@ -13,6 +13,7 @@ altogether by switching their location instead (``sinks.tables``).
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Callable
@@ -78,3 +79,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def make_dirs(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def upload_local_file(spark: SparkSession, local_path: str, folder: str) -> None:
+    """Copy a file from the driver's disk into ``folder`` (shared storage)."""
+    src, _ = _fs(spark, "file:" + os.path.abspath(local_path))
+    dst, fs = _fs(spark, folder)
+    fs.mkdirs(dst)
+    fs.copyFromLocalFile(False, True, src, dst)

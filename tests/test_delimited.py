@@ -154,3 +154,16 @@ def test_crlf_files_string_last_column(spark, workdir):
         f.write("1\tПривет\r\n2\tмир\r\n".encode("cp1251"))
     rows = read_delimited(spark, f"{workdir}/crlf2", "up int, crit string", charset="windows-1251").collect()
     assert sorted(tuple(r) for r in rows) == [(1, "Привет"), (2, "мир")]
+
+
+def test_load_data_local_uploads_the_driver_file(spark, workdir):
+    import tempfile
+
+    from tablewright import catalog
+    local_dir = tempfile.mkdtemp(prefix="tw-local-")
+    with open(f"{local_dir}/det_crit_lim.data", "wb") as f:
+        f.write("Привет\t1\t0.5\r\n".encode("cp1251"))
+    name = unique_name("lim_local")
+    catalog.create_delimited_table(spark, name, LIMITS_COLUMNS, f"{workdir}/{name}", charset="windows-1251")
+    catalog.load_file_overwrite(spark, name, f"{local_dir}/det_crit_lim.data", local=True)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("Привет", 1, 0.5)]
