@@ -13,7 +13,20 @@ from pyspark.sql.types import StructType
 from tablewright.functions.text import csv_options
 
 
+def exact_quote_parsing(spark: SparkSession, escape: str) -> None:
+    """With quote doubling (escape equals the quote character), the CSV
+    parser's own column pruning mis-reads a field that follows a quoted
+    value holding a doubled quote (it returned the quote character instead
+    of a quoted comma when only that field was selected).  Parsing every
+    field of the line is exact; the plan still reads only the needed
+    columns.  A session setting, left on because returned frames run later.
+    """
+    if escape == '"':
+        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+
+
 def _reader(spark: SparkSession, header: bool, multiline: bool, escape: str):
+    exact_quote_parsing(spark, escape)
     return (spark.read.options(**csv_options(header=header))
             .option("multiLine", str(multiline).lower()).option("escape", escape))
 
@@ -56,6 +69,7 @@ def read_csv_typed(
     ``line_sep="\\n"`` for files this library wrote, to keep ``\\r`` inside
     values exact.
     """
+    exact_quote_parsing(spark, '"')
     return (
         spark.read.schema(schema)
         .options(**csv_options(sep, null_value, header, line_sep))

@@ -163,3 +163,9 @@ def test_excel_style_csv_with_bom_and_crlf(spark, workdir):
         f.write("﻿Code,Name\r\nCAE,one\r\nXYZ,two\r\n".encode("utf-8"))
     out = jobs.filter_csv_copy(spark, f"{workdir}/xl", f"{workdir}/xl_out", view="t_xl")
     assert out.columns == ["Code", "Name"] and [tuple(r) for r in out.collect()] == [("CAE", "one")]
+
+
+def test_selected_field_after_escaped_quote(spark, workdir):
+    write_text(f"{workdir}/q/a.csv", ',,\n,"""",","\n')
+    got = read_csv_positional(spark, f"{workdir}/q").select("_c2").collect()
+    assert [r[0] for r in got] == [None, ","]
