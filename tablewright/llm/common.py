@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def slices(batch: pa.RecordBatch, column: int, max_bytes: int = SLICE_BYTES) ->
     n = batch.num_rows
     if not n:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = used = 0
     for i, b in enumerate(sizes):
         if i > start and used + b > max_bytes:

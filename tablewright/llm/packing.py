@@ -167,7 +167,7 @@ def pack_windows(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text
 
     first = keep_table(src.mapInArrow(pack, PIECES), "packed")
 
-    def merge(key, table: pa.Table) -> pa.Table:
+    def merge(key, table):
         packer = Packer(window, open_windows, (key[0].as_py() + 1 << _NUMBERS) - (1 << (_NUMBERS - 1)))
         table = table.sort_by([("part", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
         for row in table.to_pylist():
