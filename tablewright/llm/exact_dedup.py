@@ -44,7 +44,7 @@ def ascii_lower(text: Column) -> Column:
 def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
                 fan_in: int = FAN_IN) -> DataFrame:
     """One row per row of ``df``: ``id_col``, ``keep_id``, ``group_size``,
-    ``kept``, ``text_sha256``.
+    ``kept``, ``text_sha256``, ``text_md5`` (of the text as it is).
 
     Texts are equal when identical after lower-casing A-Z; a null text counts
     as empty.  The row with the largest (``keep="min"``: smallest) identifier
@@ -58,8 +58,9 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     best = F.max if keep == "max" else F.min
     sign = 1 if keep == "max" else -1
     rows = (
-        df.select(F.col(id_col).cast("long").alias("id"), norm.alias("norm"))
-        .select("id", F.unhex(F.sha2("norm", 256)).alias("digest"),
+        df.select(F.col(id_col).cast("long").alias("id"), norm.alias("norm"),
+                  F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_md5"))
+        .select("id", "text_md5", F.unhex(F.sha2("norm", 256)).alias("digest"),
                 F.struct(F.length("norm").alias("n"), F.xxhash64("norm").alias("h")).alias("check"),
                 F.spark_partition_id().cast("long").alias("run"),
                 F.monotonically_increasing_id().alias("row"))
@@ -93,12 +94,13 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         F.col("n").cast("long").alias("group_size"),
         (F.col("row") == F.lit(-sign) * F.col("best.row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "text_md5",
     )
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text."""
-    return exact_dedup(read_table(spark, sf_dir, "documents"))
+    return exact_dedup(read_table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 OP5_SQL = f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tablewright.llm.bpe import op1_bpe
 from tablewright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from tablewright.llm.minhash import op3_near_duplicates
 from tablewright.llm.packing import op2_pack
 from tablewright.llm.quality import op10_quality
 from tablewright.llm.secret_scan import op9_secrets
@@ -11,6 +12,7 @@ from tablewright.llm.secret_scan import op9_secrets
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pack": op2_pack,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
