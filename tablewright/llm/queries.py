@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tablewright.llm.bpe import op1_bpe
 from tablewright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from tablewright.llm.license_scan import OP4_SQL, op4_licenses
 from tablewright.llm.minhash import op3_near_duplicates
 from tablewright.llm.packing import op2_pack
 from tablewright.llm.quality import op10_quality
@@ -13,11 +14,13 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pack": op2_pack,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_licenses": op4_licenses,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_licenses": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
