@@ -135,6 +135,21 @@ def _raw(good: np.ndarray, lines: Lines) -> np.ndarray:
     return np.bincount(lines.doc, weight * good, n) / np.maximum(np.bincount(lines.doc, weight, n), 1e-9)
 
 
+def best_cut(raw: np.ndarray, y: np.ndarray) -> float:
+    """The cut with the fewest errors; the middle, where several are as good."""
+    cuts = np.unique(np.concatenate([np.quantile(raw, np.linspace(0, 1, 400)), raw[y > 0][:400], [0.5]]))
+    wrong = [np.sum(raw[y > 0] < c) + np.sum(raw[y == 0] >= c) for c in cuts]
+    best = cuts[np.array(wrong) == min(wrong)]
+    return float(np.clip((best[0] + best[-1]) / 2, 1e-6, 1 - 1e-6))
+
+
+def at_threshold(raw: np.ndarray, cut: float, threshold: float) -> np.ndarray:
+    """Raw values in 0 to 1 stretched in two straight parts so that ``cut`` becomes ``threshold``."""
+    low = threshold * raw / cut
+    high = threshold + (1 - threshold) * (raw - cut) / (1 - cut)
+    return np.clip(np.where(raw < cut, low, high), 0.0, 1.0)
+
+
 def fit(texts: list[str], labels: list[int], *, rounds: int = 2, steps: int = 120, rate: float = 0.15,
         ridge: float = 1e-3) -> dict:
     """The model: unary weights, transitions, scaling and the cut.
@@ -177,11 +192,7 @@ def fit(texts: list[str], labels: list[int], *, rounds: int = 2, steps: int = 12
         theta = theta + rate / 3 * (m1 / (1 - 0.9**k)) / (np.sqrt(v1 / (1 - 0.999**k)) + 1e-8)
     model = {"mean": mean, "std": std, "w": theta[:-4], "trans": theta[-4:].reshape(2, 2)}
     raw = raw_quality(model, lines)
-    # the cut on the raw quality with the fewest errors; the middle, where several are as good
-    cuts = np.unique(np.quantile(raw, np.linspace(0, 1, 400)))
-    wrong = [np.sum(raw[y > 0] < c) + np.sum(raw[y == 0] >= c) for c in cuts]
-    best = [c for c, e in zip(cuts, wrong) if e <= min(wrong) + 1e-9]
-    model["cut"] = float((best[0] + best[-1]) / 2)
+    model["cut"] = best_cut(raw, y)
     return model
 
 
@@ -197,11 +208,7 @@ def scores(model: dict, texts: list[str], threshold: float = THRESHOLD) -> np.nd
         return np.empty(0)
     if "constant" in model:
         return np.full(len(texts), model["constant"])
-    raw, cut = raw_quality(model, Lines(texts)), model["cut"]
-    # two straight parts that meet at the cut
-    low = threshold * raw / max(cut, 1e-9)
-    high = threshold + (1 - threshold) * (raw - cut) / max(1 - cut, 1e-9)
-    return np.clip(np.where(raw < cut, low, high), 0.0, 1.0)
+    return at_threshold(raw_quality(model, Lines(texts)), model["cut"], threshold)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held_out: int, *,

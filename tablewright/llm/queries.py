@@ -9,6 +9,7 @@ from tablewright.llm.minhash import op3_near_duplicates
 from tablewright.llm.packing import op2_pack
 from tablewright.llm.quality import op10_quality
 from tablewright.llm.secret_scan import op9_secrets
+from tablewright.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_licenses": op4_licenses,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
