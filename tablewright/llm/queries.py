@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tablewright.llm.ann import op6_neighbours
 from tablewright.llm.bpe import op1_bpe
 from tablewright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tablewright.llm.license_scan import OP4_SQL, op4_licenses
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_licenses": op4_licenses,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
