@@ -11,6 +11,7 @@ from tablewright.llm.packing import op2_pack
 from tablewright.llm.quality import op10_quality
 from tablewright.llm.secret_scan import op9_secrets
 from tablewright.llm.toxicity import op7_toxicity
+from tablewright.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_bpe": op1_bpe,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
@@ -27,4 +29,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op4_licenses": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op8_warc": OP8_SQL,
 }
