@@ -325,9 +325,8 @@ def bpe_decode(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", ids_co
             step = 256  # rows at a time: the text of a few rows, not of the batch
             for k in range(0, batch.num_rows, step):
                 part = batch.slice(k, step)
-                texts = [dec.decode(np.asarray(x or [], np.int64)).decode() if x else ""
-                         for x in (v.values.to_numpy(zero_copy_only=False) if v.is_valid else None
-                                   for v in part.column(1))]
+                ids = (np.array(v.as_py() or [], np.int32) for v in part.column(1))
+                texts = [dec.decode(x).decode() if len(x) else "" for x in ids]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
                                                  names=[id_col, ids_col, "text"])
 

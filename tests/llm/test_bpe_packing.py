@@ -1,0 +1,111 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tablewright.errors import CapabilityError
+from tablewright.llm import bpe, packing
+from tests.llm.conftest import TEXTS
+
+PATH = bpe.tokenizer_path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(bpe.read_vocabulary(PATH))
+
+
+def strange_texts():
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzéßñΣσİK😀漢字ا́ \t\n\x1c\x85​'!?.-_0123456789ABC'sL"
+    return ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 80))) for _ in range(1500)] + [
+        "", "x" * 3000, "!" * 2000, "ab" * 2000, "a<|startoftext|>B<|endoftext|>", "ΑΣ ΑΣΑ", "it's we'll '''s"]
+
+
+def test_encoding_equals_the_library(encoder, reference):
+    texts = strange_texts() + [t for _, t in TEXTS if t]
+    for text, want in zip(texts, reference.encode_batch(texts, add_special_tokens=False)):
+        assert encoder.encode(text).tolist() == want.ids, text[:80]
+
+
+def test_decoding_equals_the_library(encoder, reference):
+    dec = bpe.Decoder(bpe.read_vocabulary(PATH))
+    for text in strange_texts():
+        ids = encoder.encode(text)
+        assert dec.decode(ids).decode() == reference.decode(ids.tolist(), skip_special_tokens=False)
+
+
+def test_full_tables_change_nothing(monkeypatch, reference):
+    monkeypatch.setattr(bpe, "WORD_TABLE", 7)
+    monkeypatch.setattr(bpe, "PAIR_TABLE", 5)
+    enc = bpe.Encoder(bpe.read_vocabulary(PATH))
+    for text in strange_texts()[:200]:
+        assert enc.encode(text).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_other_models_are_refused():
+    with pytest.raises(CapabilityError):
+        bpe.read_vocabulary(bpe.tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_edge_rows(edge_docs, no_docs, reference):
+    rows = bpe.bpe_round_trip(edge_docs, PATH).collect()
+    assert len(rows) == len(TEXTS)
+    want = sorted((str(i), reference.encode(t or "", add_special_tokens=False).ids) for i, t in TEXTS)
+    assert sorted((str(r.doc_id), r.ids) for r in rows) == want
+    split = bpe.bpe_decode(bpe.bpe_encode(edge_docs, PATH), PATH).collect()
+    assert sorted((str(r.doc_id), r.text) for r in split) == sorted((str(r.doc_id), r.decoded) for r in rows)
+    assert bpe.bpe_round_trip(no_docs, PATH).collect() == []
+
+
+def check_packing(rows, want, window):
+    """Every id in exactly one piece, sequences gapless and padded by nothing."""
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == window or at < window and at & (at - 1) == 0
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(str(r.doc_id), []).append(r)
+    assert sorted(by_doc) == sorted({str(i) for i, _ in want})
+    for key, pieces in by_doc.items():
+        copies = [ids for i, ids in want if str(i) == key]
+        assert sum(r.length for r in pieces) == sum(map(len, copies))
+        if len(copies) == 1:
+            at, ids = 0, copies[0]
+            for r in sorted(pieces, key=lambda r: r.start):
+                assert (r.start, r.doc_tokens) == (at, len(ids))
+                assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+                at += r.length
+
+
+@pytest.mark.parametrize("window, open_windows", [(4096, 32), (64, 2), (8, 1)])
+def test_packing_edge_rows(edge_docs, encoder, window, open_windows):
+    rows = packing.pack_windows(edge_docs, PATH, window=window, open_windows=open_windows).collect()
+    check_packing(rows, [(i, [*encoder.encode(t or "").tolist(), 2]) for i, t in TEXTS], window)
+
+
+def test_packing_of_nothing(no_docs):
+    assert packing.pack_windows(no_docs, PATH).collect() == []
+
+
+def test_packing_keeps_few_windows_open():
+    packer = packing.Packer(100, 4, 0)
+    rnd = np.random.default_rng(0)
+    for doc in range(500):
+        packer.add(doc, 0, np.arange(rnd.integers(1, 250), dtype="<i4"), 0)
+        assert len(packer.open) <= 4
+        assert [u for u, _ in packer.open] == sorted(u for u, _ in packer.open)
