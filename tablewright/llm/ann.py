@@ -18,7 +18,8 @@ so a step is a few array operations.  Queries come in blocks, and a task
 holds one shard and one block; merging keeps the k best of each shard only.
 
 The last pass is exact: the cosines of the reported pairs are computed in
-double precision on the original vectors.
+double precision on the original vectors.  Of equal vectors one is indexed,
+and the k + 1 smallest ids stand behind it.
 """
 
 from __future__ import annotations
@@ -193,6 +194,15 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
             .where(F.col("id").isNotNull() & F.col("v").isNotNull() & fine & F.exists("v", lambda e: e != 0)))
 
 
+def first_twins(vectors: DataFrame, most: int) -> DataFrame:
+    """``id``, ``v``, ``rep``: of equal vectors the ``most`` smallest ids, and the
+    smallest of them.  Ties go to smaller ids, so no other can be reported;
+    Spark drops the rest of a large group before it is shuffled."""
+    twin = Window.partitionBy("v").orderBy("id")
+    few = vectors.withColumn("nth", F.row_number().over(twin)).where(F.col("nth") <= most)
+    return few.withColumn("rep", F.min("id").over(Window.partitionBy("v"))).drop("nth")
+
+
 def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``id``, ``v`` to one row per shard: ids, levels, unit vectors and the
     flat neighbour arrays, all as bytes; written to the shared folder."""
@@ -216,11 +226,12 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return keep_table(graph, "ann-index")
 
 
-def nearest(index: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
+def nearest(index: DataFrame, queries: DataFrame, twins: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest found, the
     query's own id aside, nearest first, ties to the smaller id.
 
-    Queries meet every shard in blocks of ``QUERY_BLOCK``: a stated query set
+    ``twins`` names for each indexed vector (``rep``) the ids that may be
+    reported for it (``id``, ``v``).  Queries meet every shard in blocks of ``QUERY_BLOCK``: a stated query set
     against all rows."""
     # blocks of queries by a hash, of bounded expected size
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
@@ -246,9 +257,10 @@ def nearest(index: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, be
                 q = _matrix(asked.field("v"))
                 nodes, sims = g.search(q, beam)
                 found = np.where(nodes >= 0, ids[nodes], -1)
-                ok = (nodes >= 0) & (found != own[:, None])
                 # ties in single precision are settled below: a margin of candidates goes on
-                ok &= np.cumsum(ok, 1) <= 2 * k
+                first = np.lexsort((found, -sims), axis=-1)[:, : 2 * k + 1]
+                nodes, sims, found = (np.take_along_axis(a, first, 1) for a in (nodes, sims, found))
+                ok = nodes >= 0
                 who = np.broadcast_to(own[:, None], ok.shape)
                 yield pa.RecordBatch.from_arrays([pa.array(who[ok]), pa.array(found[ok].astype(np.int64)),
                                                   pa.array(sims[ok].astype(np.float64))],
@@ -260,14 +272,14 @@ def nearest(index: DataFrame, queries: DataFrame, vectors: DataFrame, k: int, be
     # the best of all shards; those that cannot be among them go before the shuffle
     by_near = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
     short = (found.withColumn("place", F.row_number().over(by_near)).where(F.col("place") <= 4 * k)
-             .select("query_id", "vec_id"))
+             .select("query_id", F.col("vec_id").alias("rep")))
     q = queries.select(F.col("id").alias("query_id"), F.col("v").alias("qv"))
-    c = vectors.select(F.col("id").alias("vec_id"), F.col("v").alias("cv"))
+    c = twins.select("rep", F.col("id").alias("vec_id"), F.col("v").alias("cv"))
 
     def dot(a, b):
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, e: s + e)
 
-    exact = (short.join(c, "vec_id").join(q, "query_id")
+    exact = (short.join(c, "rep").where("vec_id != query_id").join(q, "query_id")
              .withColumn("score", dot("qv", "cv") / (F.sqrt(dot("qv", "qv")) * F.sqrt(dot("cv", "cv")))))
     ranked = exact.groupBy("query_id").agg(
         F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("n"))
@@ -286,7 +298,8 @@ def nearest_neighbours(df: DataFrame, is_query, *, k: int = 5, id_col: str = "ve
     """
     vectors = usable(df, id_col, vector_col).groupBy("id").agg(F.max("v").alias("v"))
     vectors = keep_table(vectors, "ann-vectors")
-    return nearest(build_index(vectors), vectors.where(is_query), vectors, k)
+    twins = keep_table(first_twins(vectors, k + 1), "ann-twins")
+    return nearest(build_index(twins.where("id = rep")), vectors.where(is_query), twins, k)
 
 
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

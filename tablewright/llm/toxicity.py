@@ -120,7 +120,7 @@ class Lexicon:
             return EXACT
         if any(e == 0 and node in self.stem_at for node, e in items):
             return STEM
-        if word not in self.spared and any(self.word_at.get(node, 0) >= e for node, e in items):
+        if word not in self.spared and any(self.word_at.get(node, -1) >= e for node, e in items):
             return FUZZY
         return 0
 

@@ -1,0 +1,93 @@
+import gzip
+import hashlib
+import base64
+
+import pytest
+
+from tablewright.llm import warc
+from tablewright.session import new_work_dir
+from tests.conftest import local_path
+
+from pyspark.sql import functions as F
+
+PAGES = [
+    (1, "http://a.example/x y", "<p>one</p>"),
+    (2, None, None),
+    (3, "http://b.example/", ""),
+    (4, "http://c.example/\n\r", "<p>one</p>"),
+    (None, "http://d.example/", "<p>one</p>"),
+    (5, "http://e.example/ü", "WARC/1.0\r\n\r\nhttp://x 0.0.0.0 1 text/html 5\n漢字 😀\n\n"),
+    (6, "http://f.example/", "x" * 300_000),
+    (7, "http://g.example/", "HTTP/1.1 200 OK\r\n\r\n"),
+    (4, "http://c.example/\n\r", "<p>one</p>"),
+]
+
+
+def test_round_trip_of_strange_pages(spark, monkeypatch):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("path", F.lit(1)).withColumn(
+        "digest", F.lit("x")).repartition(4)
+    got = warc.archive_pages(df).collect()
+    want = {}
+    for page, _, html in PAGES:
+        data = (html or "").encode()
+        want.setdefault(base64.b32encode(hashlib.sha1(data).digest()).decode(), []).append((page, len(data)))
+    assert len(got) == len(PAGES)
+    for r in got:
+        group = want[r.payload_digest]
+        best = max((p for p, _ in group if p is not None), default=None)
+        assert (r.page_id, r.payload_bytes) in group
+        assert r.refers_to == (best if r.record_type == "revisit" else None)
+        if r.record_type == "response":
+            assert r.page_id == best
+    for digest, group in want.items():  # one response a payload, for repeated rows too
+        assert sum(r.record_type == "response" and r.payload_digest == digest for r in got) == 1
+
+
+def test_smaller_payloads_are_all_responses(spark):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    got = warc.archive_pages(df, min_bytes=11).collect()
+    assert {r.record_type for r in got} == {"response"}
+
+
+def test_nothing(spark):
+    assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def arc(version, records):
+    out = warc._version_block(version, "old.arc").encode() + b"\n"
+    for line, body in records:
+        out += f"{line} {len(body)}\n".encode() + body + b"\n"
+    return out
+
+
+@pytest.mark.parametrize("version, rest", [(1, ""), (2, " 200 - - 0 old.arc")])
+def test_legacy_files(spark, version, rest):
+    body = b"HTTP/1.0 200 OK\r\n\r\nline one\nline two\n"
+    data = arc(version, [(f"http://old.example/a b 1.2.3.4 19990102030405 text/html{rest}", body),
+                         (f"http://old.example/bin 1.2.3.4 1999 image/gif{rest}", b"GIF\x0a\x0d\x0a"),
+                         (f"dns:old.example 1.2.3.4 19990102030405 text/dns{rest}", b"")])
+    records = list(warc.arc_records(data))
+    assert [(u, t) for u, _, _, t, _ in records] == [
+        ("http://old.example/a b", "text/html"), ("http://old.example/bin", "image/gif"), ("dns:old.example", "text/dns")]
+    assert records[0][4] == body and records[1][4] == b"GIF\x0a\x0d\x0a"
+    path = new_work_dir(spark, "old-arc")
+    import os
+    os.makedirs(local_path(path))
+    with gzip.open(f"{local_path(path)}/old.arc.gz", "wb") as f:
+        f.write(data)
+    out = warc.convert_arc(spark, path)
+    rows = {r.url: r for r in warc.read_warc(spark, out).collect()}
+    assert rows["http://old.example/a b"].payload_bytes == len(b"line one\nline two\n")
+    head, _ = next(x for x in warc.warc_records(b"".join(
+        gzip.open(f"{local_path(out)}/{n}").read() for n in os.listdir(local_path(out)) if n.endswith(".gz")))
+        if x[0]["WARC-Type"] == "response")
+    assert head["WARC-Date"] == "1999-01-02T03:04:05Z" and head["WARC-Record-ID"].startswith("<urn:uuid:")
+
+
+def test_broken_archives_are_refused():
+    with pytest.raises(ValueError, match="ends after"):
+        list(warc.arc_records(arc(1, [("http://x 0 0 t", b"abc")])[:-3]))
+    with pytest.raises(ValueError, match="version"):
+        list(warc.arc_records(b"http://x 0.0.0.0 1 text/html 3\nabc\n"))
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(warc.warc_records(b"GARBAGE\r\n\r\n"))
