@@ -10,13 +10,15 @@ automaton intersected with the trie: a state is the set of (trie node, edits
 so far) that the letters read can have reached.  States are made
 deterministic as they are met and their transitions kept, so that a known
 prefix costs one table look-up per letter and most words die after a few.
-Words of ``FUZZY_LENGTH`` letters or more may differ by one edit; a near
-miss that clean documents use is a word of its own and does not count.
+Words of ``FUZZY_LENGTH`` letters or more may differ by one edit, unless
+clean documents of the sample use words as near as that.
 
 Context.  Every match is seen in a window of ``WINDOW`` words: a match inside
 quotation marks counts apart from one that is not, and other matches in the
 window add to it.  A logistic regression over a document's match counts gives
-its score; what a quotation is worth is learned from the labels.
+its score; what a quotation is worth is learned from the labels.  A misspelled
+match is worth what an exact one is: labelled toxic documents are learned
+from a second time, with their exact matches counted as misspelled ones.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_texts, read_table, text_or_empty
+from tablewright.llm.minhash import WORDS, _Words, mix, shingles
 from tablewright.llm.quality import at_threshold, best_cut, fold, training_sample
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
@@ -50,17 +53,17 @@ _KNOWN = 1 << 18  # words kept per task
 class Lexicon:
     """The automaton; ``words`` maps every word seen to its kind of match."""
 
-    def __init__(self, words: list[str], stems: list[str], spared: list[str]):
+    def __init__(self, words: list[str], stems: list[str], exact: list[str]):
         self.children: list[dict[str, int]] = [{}]
         self.word_at: dict[int, int] = {}  # node -> edits allowed
         self.stem_at: set[int] = set()
         self.fuzzy: list[bool] = [False]  # does a word that allows an edit end below?
+        as_is = frozenset(exact)
         for w in words:
-            node = self._add(w, len(w) >= FUZZY_LENGTH)
-            self.word_at[node] = int(len(w) >= FUZZY_LENGTH)
+            edits = int(len(w) >= FUZZY_LENGTH and w not in as_is)
+            self.word_at[self._add(w, bool(edits))] = edits
         for s in stems:
             self.stem_at.add(self._add(s, False))
-        self.spared = frozenset(spared)
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.delta: list[dict[str, int]] = []
@@ -120,7 +123,7 @@ class Lexicon:
             return EXACT
         if any(e == 0 and node in self.stem_at for node, e in items):
             return STEM
-        if word not in self.spared and any(self.word_at.get(node, -1) >= e for node, e in items):
+        if any(self.word_at.get(node, -1) >= e for node, e in items):
             return FUZZY
         return 0
 
@@ -169,13 +172,28 @@ def _ratio(a: int, b: int, na: int, nb: int) -> float:
     return 2 * (part(a, na, a / na) + part(b, nb, b / nb) - part(a, na, p) - part(b, nb, p))
 
 
+def _own_texts(texts: list[str], labels: list[int]) -> list[tuple[str, int]]:
+    """One text of every group of near copies with a label: words that copies
+    share say nothing about the label.  Texts that share one of four least
+    shingle hashes are taken for copies."""
+    table, seen, out = _Words(), set(), []
+    for text, label in zip(texts, labels):
+        s = shingles(text, WORDS, table)
+        marks = {(k, label, int(mix(s + np.uint64(k)).min())) for k in range(4)} if len(s) else {(0, label, 0)}
+        if seen.isdisjoint(marks):
+            out.append((text, label))
+        seen |= marks
+    return out
+
+
 def fit(texts: list[str], labels: list[int]) -> dict:
     """The lexicon and the weights; without both kinds of documents, the share of toxic ones."""
     y = np.array(labels, np.float64)
     if len(set(labels)) < 2:
         return {"constant": float(y.mean()) if labels else 0.0}
     toxic, clean, forms = Counter(), Counter(), {}
-    for text, label in zip(texts, labels):
+    own = _own_texts(texts, labels)
+    for text, label in own:
         seen = {w for w in (_TRIM.sub("", c) for c in text.lower().split()) if w}
         terms = {(w, False) for w in seen}
         for w in seen:
@@ -185,7 +203,8 @@ def fit(texts: list[str], labels: list[int]) -> dict:
                     if label:
                         forms.setdefault(w[:n], set()).add(w)
         (toxic if label else clean).update(terms)
-    na, nb = int(y.sum()), int(len(y) - y.sum())
+    na = sum(label for _, label in own)
+    nb = len(own) - na
     good = []
     for (term, stem), a in toxic.items():
         b = clean[term, stem]
@@ -197,10 +216,20 @@ def fit(texts: list[str], labels: list[int]) -> dict:
     words = [t for _, t, stem in good if not stem and len(t) > 2]
     stems = sorted((t for _, t, stem in good if stem), key=len)
     stems = [s for i, s in enumerate(stems) if not any(s.startswith(t) for t in stems[:i])]
-    first = Lexicon(words, stems, [])
-    spared = sorted(w for (w, stem), n in clean.items() if not stem and first.match(w) == FUZZY)
-    lexicon = Lexicon(words, stems, spared)
+    # no edits for one ending among many of a stem, and for words that clean words come near to
+    exact = {w for w in words for t in stems if w.startswith(t) and toxic[w, False] < toxic[t, True] / 2}
+    every = Lexicon(words, stems, sorted(exact))
+    near = [w for (w, stem) in clean if not stem and every.match(w) == FUZZY]
+    for word in set(words) - exact:
+        alone = Lexicon([word], [], [])
+        if any(abs(len(w) - len(word)) < 2 and alone.match(w) == FUZZY for w in near):
+            exact.add(word)
+    lexicon = Lexicon(words, stems, sorted(exact))
     x = np.array([features(lexicon, t) for t in texts])
+    again = x[(y > 0) & (x[:, :2].sum(1) > 0)]
+    again[:, 2:4] += again[:, :2]
+    again[:, :2] = 0
+    x, y = np.concatenate([x, again]), np.concatenate([y, np.ones(len(again))])
     w, bias = np.zeros(x.shape[1]), -1.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for k in range(1, 401):
@@ -209,7 +238,7 @@ def fit(texts: list[str], labels: list[int]) -> dict:
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
         w, bias = w + step[:-1], bias + step[-1]
-    model = {"words": words, "stems": stems, "spared": spared, "w": w, "bias": float(bias)}
+    model = {"words": words, "stems": stems, "exact": sorted(exact), "w": w, "bias": float(bias)}
     model["cut"] = best_cut(_raw(model, x), y)
     return model
 
@@ -228,7 +257,7 @@ def score_toxicity(df: DataFrame, model: dict, *, id_col: str = "doc_id", text_c
     src = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col))
 
     def work():
-        lexicon = None if "constant" in model else Lexicon(model["words"], model["stems"], model["spared"])
+        lexicon = None if "constant" in model else Lexicon(model["words"], model["stems"], model["exact"])
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             if lexicon is None:

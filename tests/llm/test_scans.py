@@ -143,7 +143,7 @@ def test_automaton_against_edit_distance():
 
     rnd = random.Random(0)
     words = ["idiot", "stupid", "scum", "moron", "pathetic", "aaaaa", "aab"]
-    lexicon = toxicity.Lexicon(words, ["lowe"], ["stupix"])
+    lexicon = toxicity.Lexicon(words, ["lowe"], ["moron"])
     tried = words + ["lowe", "lowei", "lwe", "stupix", ""]
     for _ in range(4000):
         w = list(rnd.choice(words))
@@ -153,24 +153,27 @@ def test_automaton_against_edit_distance():
         tried.append("".join(w))
     for w in tried:
         want = toxicity.EXACT if w in words else toxicity.STEM if w.startswith("lowe") else (
-            toxicity.FUZZY if w != "stupix" and any(len(t) >= 5 and distance(w, t) <= 1 for t in words) else 0)
+            toxicity.FUZZY if any(len(t) >= 5 and t != "moron" and distance(w, t) <= 1 for t in words) else 0)
         assert lexicon.match(w) == want, w
 
 
 def toxic_texts():
-    calm = [f"we met at the harbour on day {i} and talked about weather number {i % 7}" for i in range(120)]
-    rude = [f"we met at the harbour on day {i} and {'idiot moron'.split()[i % 2]} talked about weather {i % 7}"
-            for i in range(60)]
-    cited = [f'we met at the harbour on day {i} and talked about "{"idiot moron".split()[i % 2]}" number {i % 7}'
-             for i in range(60)]
-    return calm + rude + cited, [0] * 120 + [1] * 60 + [0] * 60
+    import random
+
+    rnd = random.Random(2)
+    calm = lambda: [rnd.choice("abcdefgh") + rnd.choice("aeiou") + rnd.choice("klmnpr") for _ in range(12)]
+    insult = lambda: rnd.choice(["idiot", "moron"])
+    rude = [" ".join([*calm(), insult(), *calm()]) for _ in range(60)]
+    cited = [" ".join([*calm(), f'"{insult()}"', *calm()]) for _ in range(8)]
+    return [" ".join(calm() + calm()) for _ in range(200)] + rude + cited, [0] * 200 + [1] * 60 + [0] * 8
 
 
 def test_quotation_and_abuse_are_told_apart():
     texts, labels = toxic_texts()
     model = toxicity.fit(texts, labels)
-    lexicon = toxicity.Lexicon(model["words"], model["stems"], model["spared"])
-    new = ["on day nine some idiot came", "what weather idiott said", 'we talked about "idiot" again', "a quiet day"]
+    lexicon = toxicity.Lexicon(model["words"], model["stems"], model["exact"])
+    new = ["some idiot came along with that", "what weather idiott said to them", 'we talked about "idiot" again then',
+           "a quiet day by the sea"]
     raw = toxicity._raw(model, np.array([toxicity.features(lexicon, t) for t in new]))
     assert (raw >= model["cut"]).tolist() == [True, True, False, False]
 
