@@ -20,7 +20,7 @@ from tablewright.operators.windows import ranked_running_total  # noqa: E402
 from tablewright.plans import jobs  # noqa: E402
 from tablewright.queries import _stage_table, table, wide_document_exprs  # noqa: E402
 from tablewright.schemas import WIDE_DOCUMENT_COLUMNS  # noqa: E402
-from tablewright.session import new_work_dir, spread, unique_name  # noqa: E402
+from tablewright.session import new_work_dir, unique_name  # noqa: E402
 from tablewright.sinks.csv import write_csv  # noqa: E402
 from tablewright.sinks.delimited import write_delimited  # noqa: E402
 from tablewright.sinks.sequence import write_sequence  # noqa: E402
@@ -56,9 +56,9 @@ def main() -> None:
         rows.append((label, statistics.median(ts), size() if size else None))
         print(f"| {label} | {statistics.median(ts):.2f} | {size() if size else ''} |", flush=True)
 
-    customer = spread(table(spark, sf_dir, "customer"))
-    lineitem = spread(table(spark, sf_dir, "lineitem"))
-    orders = spread(table(spark, sf_dir, "orders"))
+    customer = table(spark, sf_dir, "customer")
+    lineitem = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders")
     cust_csv = new_work_dir(spark, "m-cust")
     write_csv(customer, cust_csv, header=True)
     li_csv = new_work_dir(spark, "m-li")

@@ -1,24 +1,26 @@
 """Catalog and session operations: views, table DDL, loads.
 
 Everything is plain Spark SQL DDL so it works with the in-memory catalog and
-with a Hive metastore alike.  Tables are created with an explicit location in
-the shared folder, so their data never lands in a machine-local warehouse
-directory.
+with a Hive metastore alike.  Tables are created with an explicit location;
+without one the catalog's warehouse folder is used, and refused on a cluster
+if that is a folder of one machine (``session.require_shared_warehouse``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.schemas import ddl, struct
+from tablewright.functions.text import HIVE_NULL
+from tablewright.schemas import ddl
 from tablewright.sqltext import string
-from tablewright.sinks.guards import qualify
-from tablewright.session import new_work_dir
-from tablewright.sinks.replace import make_dirs, sibling, upload_local_file
+from tablewright.session import new_work_dir, require_shared_warehouse
+from tablewright.sinks.replace import delete_path, make_dirs, upload_local_file
 from tablewright.sinks.tables import insert_overwrite, table_meta
 from tablewright.sources.delimited import (
+    NO_QUOTE,
     delimited_options,
     enable_charset,
     read_delimited,
@@ -54,51 +56,24 @@ def create_table(
     sql = f"CREATE TABLE {name} ({ddl(columns)}) USING {provider}"
     if options:
         sql += f" OPTIONS ({_options_sql(options)})"
-    if location:
+    if not location:
+        require_shared_warehouse(spark, name)
+    else:
         sql += f" LOCATION {string(location)}"
         make_dirs(spark, location)  # an empty table is an empty folder, not a missing one
     spark.sql(sql)
 
 
-def ensure_table(
-    spark: SparkSession,
-    name: str,
-    columns: list[tuple[str, str]],
-    *,
-    provider: str = "parquet",
-    location: str | None = None,
-    options: Mapping[str, str] | None = None,
-) -> str | None:
-    """``DROP TABLE IF EXISTS`` + ``CREATE TABLE``, without losing data early
-    or leaving it behind.
-
-    A table that already has exactly these columns, this provider and these
-    options is kept as it is (the following insert replaces its content atomically and
-    removes the old files).  Otherwise a table of another shape is dropped
-    and re-created over a fresh folder; its old folder is returned, for the
-    caller to delete once the new content is in place (dropping an external
-    table keeps its files, so they would otherwise be orphaned on every run).
-    """
-    if spark.catalog.tableExists(name):
-        meta = table_meta(spark, name)
-        same_options = all(meta.options.get(k) == str(v) for k, v in (options or {}).items())
-        if meta.provider == provider and same_options and spark.table(name).schema == struct(columns):
-            return None
-        spark.sql(f"DROP TABLE {name}")
-        fresh = sibling(qualify(spark, meta.location), "-v") if meta.location else location
-        create_table(spark, name, columns, provider=provider, location=fresh, options=options)
-        return meta.location
-    create_table(spark, name, columns, provider=provider, location=location, options=options)
-    return None
-
-
 def connector_table(spark: SparkSession, name: str, provider: str,
                     options: Mapping[str, str]) -> DataFrame:
     """External table over a data source (``USING jdbc``, ``csv``, …).
 
     The schema comes from the source.  Dropping the table later removes the
-    catalog entry only; the data stays where it is.
+    catalog entry only; the data stays where it is.  A CSV table splits whole
+    lines, as the CSV readers do (``functions.text.csv_options``).
     """
+    if provider.lower() == "csv":
+        options = {"columnPruning": "false", **options}
     spark.sql(f"CREATE TABLE {name} USING {provider} OPTIONS ({_options_sql(options)})")
     return spark.table(name)
 
@@ -123,17 +98,40 @@ def create_delimited_table(
     *,
     sep: str = "\t",
     charset: str = "UTF-8",
-) -> str | None:
-    """Text table: ``ROW FORMAT DELIMITED FIELDS TERMINATED BY sep``.
-
-    Kept if it already has these columns (see ``ensure_table``); returns the
-    folder of a replaced table of another shape, to delete after loading.
-    """
+) -> None:
+    """A new text table: ``ROW FORMAT DELIMITED FIELDS TERMINATED BY sep``."""
     require_line_based(charset)
-    opts = delimited_options(sep, charset)
-    old = ensure_table(spark, name, columns, provider="csv", location=location, options=opts)
+    create_table(spark, name, columns, provider="csv", location=location, options=delimited_options(sep, charset))
     enable_charset(spark, charset)
-    return old
+
+
+@contextmanager
+def uploaded(spark: SparkSession, path: str, local: bool):
+    """``path`` for the executors: a file on the driver's own disk is uploaded
+    into the shared folder while the block runs."""
+    if not local:
+        yield path
+        return
+    staged = new_work_dir(spark, "load-data-local")
+    try:
+        upload_local_file(spark, path, staged)
+        yield staged
+    finally:
+        delete_path(spark, staged)
+
+
+def read_text_table(spark: SparkSession, table: str) -> DataFrame:
+    """A delimited text table read as Hive reads it: an empty field is ``''``
+    and the null marker null.  (``spark.table`` goes through the CSV reader,
+    which gives null for both.)"""
+    meta = table_meta(spark, table)
+    return read_delimited(spark, meta.location, spark.table(table).schema, **_layout(meta))
+
+
+def _layout(meta) -> dict:
+    return {"sep": meta.options.get("sep", "\t"), "charset": meta.options.get("encoding", "UTF-8"),
+            "null_value": meta.options.get("nullValue", HIVE_NULL),
+            "quoted": meta.options.get("quote", NO_QUOTE) != NO_QUOTE}
 
 
 def load_file_overwrite(spark: SparkSession, table: str, path: str, *,
@@ -149,13 +147,9 @@ def load_file_overwrite(spark: SparkSession, table: str, path: str, *,
     disk, which executors of a cluster cannot see, so it is first uploaded
     into the shared folder (as the client-side upload of LOAD DATA LOCAL).
     """
-    if local:
-        staged = new_work_dir(spark, "load-data-local")
-        upload_local_file(spark, path, staged)
-        path = staged
     meta = table_meta(spark, table)
-    sep = meta.options.get("sep", "\t")
-    enc = charset or meta.options.get("encoding", "UTF-8")
-    schema = spark.table(table).schema
-    data = read_delimited(spark, path, schema, sep=sep, charset=enc)
-    insert_overwrite(data, table)
+    layout = _layout(meta)
+    if charset:
+        layout["charset"] = charset
+    with uploaded(spark, path, local) as source:
+        insert_overwrite(read_delimited(spark, source, spark.table(table).schema, **layout), table)

@@ -27,6 +27,7 @@ from tablewright.params import JobParam
 from tablewright.plans import jobs
 from tablewright.schemas import LIMITS_COLUMNS, WIDE_DOCUMENT_COLUMNS
 from tablewright.sinks.csv import write_csv
+from tablewright.sources.csv import read_csv_header
 
 
 def _pairs(items: Sequence[str] | None) -> dict[str, str]:
@@ -106,7 +107,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         positions = {int(k): v for k, v in _pairs(args.position).items()}
         projected = jobs.positional_projection(spark, args.source, positions)
         write_csv(projected, args.target, header=True, sources=[args.source])
-        out = spark.read.option("header", "true").csv(args.target)
+        out = read_csv_header(spark, args.target, multiline=True)
         target = args.target
     elif args.job == "limits-load":
         out = jobs.limits_load(spark, args.table, args.data_file, args.location,

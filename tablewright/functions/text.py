@@ -4,7 +4,8 @@ Spark's CSV defaults lose data: timestamps are cut to milliseconds, the
 writer trims leading and trailing whitespace (``" a "`` becomes ``a``, a
 leading ``\r`` vanishes), and a quote inside a value is escaped with a
 backslash, which other readers do not understand.  ``csv_options`` fixes
-all three; ``encode_record``/``decode_records``
+all three; what plain CSV cannot hold is the difference between null and the
+empty string (both are read back as null) unless a null marker is given; ``encode_record``/``decode_records``
 turn a whole row into one delimited text value and back (the payload of a
 SequenceFile record) with the same options, so tabs, newlines, quotes, empty
 strings and nulls all survive.
@@ -35,7 +36,14 @@ def csv_options(
     header: bool = False,
     line_sep: str | None = None,
 ) -> dict[str, str]:
-    """Reader/writer options that round-trip every value exactly.
+    """Reader/writer options that round-trip every value but the empty string,
+    which is read back as null; with ``null_value`` on both sides (a marker
+    no value may equal) the empty string survives too.
+
+    With quote doubling the CSV parser's own column pruning misreads a field
+    that follows a quoted value holding a doubled quote, so every field of a
+    line is parsed (``columnPruning``, an option of the read, not a session
+    setting); the plan still reads only the needed columns.
 
     ``line_sep="\\n"`` must be given on both sides for a ``\\r`` inside a
     quoted value to survive; readers of foreign files leave it unset so
@@ -50,6 +58,7 @@ def csv_options(
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         "header": str(header).lower(),
+        "columnPruning": "false",
     }
     if null_value is not None:
         opts["nullValue"] = null_value

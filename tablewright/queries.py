@@ -25,7 +25,7 @@ from tablewright.operators.windows import ranked_running_total
 from tablewright.params import JobParam, bind
 from tablewright.plans import jobs
 from tablewright.schemas import LIMITS_COLUMNS, WIDE_DOCUMENT_COLUMNS
-from tablewright.session import has_avro, new_work_dir, spread, unique_name
+from tablewright.session import has_avro, new_work_dir, unique_name
 from tablewright.sinks.avro import write_avro
 from tablewright.sinks.csv import write_csv
 from tablewright.sinks.delimited import write_delimited
@@ -51,10 +51,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table dealt over all cores *before* anything is derived from
-    it (a projection is not pushed below a round-robin repartition)."""
-    return spread(table(spark, sf_dir, name))
+def dealt_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table dealt round-robin over the session's default parallelism,
+    for staging only: a table kept as one file would otherwise be staged by
+    one task and read by one task.  The jobs themselves deal nothing."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+
+
+def _staged_rows(name: str) -> Callable[[SparkSession, str], str]:
+    """Staging of a given table as Parquet in as many files as there are cores."""
+    def stage(spark: SparkSession, sf_dir: str) -> str:
+        path = new_work_dir(spark, name)
+        dealt_table(spark, sf_dir, name).write.parquet(path)
+        return path
+    return stage
 
 
 def _stage_csv(spark: SparkSession, df: DataFrame, label: str, header: bool) -> str:
@@ -73,7 +83,7 @@ def _stage_table(spark: SparkSession, df: DataFrame, label: str) -> str:
 # --- J1: CSV with header → filter → CSV --------------------------------------
 
 def _customer_csv(spark: SparkSession, sf_dir: str) -> str:
-    return _stage_csv(spark, spread_table(spark, sf_dir, "customer"), "customer-csv", header=True)
+    return _stage_csv(spark, dealt_table(spark, sf_dir, "customer"), "customer-csv", header=True)
 
 
 csv_header_filter = Staged(
@@ -105,15 +115,15 @@ param_filter = Staged(run=_param_filter)
 
 # --- CSV fidelity (SNK-1: the write is the job) -----------------------------------
 
-def _csv_overwrite_roundtrip(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
-    events = spread_table(spark, sf_dir, "events")
+def _csv_overwrite_roundtrip(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    events = spark.read.parquet(src)
     path = new_work_dir(spark, "events-csv")
     write_csv(events, path)
     write_csv(events, path)  # overwrite of an existing target
     return read_csv_typed(spark, path, events.schema, multiline=True, line_sep="\n")
 
 
-csv_overwrite_roundtrip = Staged(run=_csv_overwrite_roundtrip)
+csv_overwrite_roundtrip = Staged(prepare=_staged_rows("events"), run=_csv_overwrite_roundtrip)
 
 
 # --- J4: headerless CSV → columns by position ---------------------------------
@@ -129,12 +139,12 @@ def wide_csv_columns(lineitem_columns: list[str]) -> list[str]:
 
 
 def _wide_csv(spark: SparkSession, sf_dir: str) -> str:
-    li = spread_table(spark, sf_dir, "lineitem")
+    li = dealt_table(spark, sf_dir, "lineitem")
     return _stage_csv(spark, li.selectExpr(*wide_csv_columns(li.columns)), "wide-csv", header=False)
 
 
 csv_positional_project = Staged(
-    prepare=lambda spark, sf_dir: _stage_csv(spark, spread_table(spark, sf_dir, "lineitem"),
+    prepare=lambda spark, sf_dir: _stage_csv(spark, dealt_table(spark, sf_dir, "lineitem"),
                                              "lineitem-csv", header=False),
     run=lambda spark, sf_dir, src: jobs.positional_projection(
         spark, src, {8: "type1", 0: "region", 9: "type2"}, view=unique_name("table1")),
@@ -150,7 +160,7 @@ csv_wide_positional_project = Staged(
 # --- J2 / CAT-10: filter one table into another ---------------------------------
 
 def _category(spark: SparkSession, sf_dir: str) -> str:
-    return _stage_table(spark, spread_table(spark, sf_dir, "customer"), "category")
+    return _stage_table(spark, dealt_table(spark, sf_dir, "customer"), "category")
 
 
 def _filter_copy(spark: SparkSession, src: str) -> tuple[DataFrame, DataFrame]:
@@ -185,14 +195,14 @@ connector_catalog_table = Staged(
 # --- J6: delimited Windows-1251 text table --------------------------------------
 
 LIMITS_FROM_CUSTOMER = [
-    "concat('Привет ', c_name) AS crit",
+    "CASE WHEN c_nationkey = 3 THEN '' WHEN c_nationkey <> 4 THEN concat('Привет ', c_name) END AS crit",
     "c_nationkey AS up",
     "c_acctbal AS low",
 ]
 
 
 def _limits_file(spark: SparkSession, sf_dir: str) -> str:
-    rows = spread_table(spark, sf_dir, "customer").selectExpr(*LIMITS_FROM_CUSTOMER)
+    rows = dealt_table(spark, sf_dir, "customer").selectExpr(*LIMITS_FROM_CUSTOMER)
     data_file = new_work_dir(spark, "det-crit-lim-data")
     write_delimited(rows, data_file, sep="\t", charset="windows-1251")
     return data_file
@@ -234,7 +244,7 @@ def _snapshot_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
 
 snapshot_copy = Staged(
     prepare=lambda spark, sf_dir: _stage_table(
-        spark, spread_table(spark, sf_dir, "orders").selectExpr(*_snapshot_source_exprs()),
+        spark, dealt_table(spark, sf_dir, "orders").selectExpr(*_snapshot_source_exprs()),
         "z_main_docum"),
     run=_snapshot_copy,
 )
@@ -279,7 +289,7 @@ def wide_document_exprs(dialect: str) -> list[str]:
 
 wide_snapshot_copy = Staged(
     prepare=lambda spark, sf_dir: _stage_table(
-        spark, spread_table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark")),
+        spark, dealt_table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark")),
         "z_main_docum"),
     run=lambda spark, sf_dir, src: jobs.snapshot_copy(
         spark, src, jobs.SequenceTable(new_work_dir(spark, "z_main_docum_archive_seq"),
@@ -287,32 +297,32 @@ wide_snapshot_copy = Staged(
 )
 
 
-def _sequencefile_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
-    events = spread_table(spark, sf_dir, "events")
+def _sequencefile_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    events = spark.read.parquet(src)
     path = new_work_dir(spark, "events-seq")
     write_sequence(events, path, compression="BLOCK")
     return read_sequence(spark, path, events.schema)
 
 
-sequencefile_copy = Staged(run=_sequencefile_copy)
+sequencefile_copy = Staged(prepare=_staged_rows("events"), run=_sequencefile_copy)
 
 
-def _sequencefile_hive_copy(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
+def _sequencefile_hive_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
     """SNK-5 in the Hive layout: unquoted tab-separated records, ``\\N`` for null."""
-    events = spread_table(spark, sf_dir, "events")
+    events = spark.read.parquet(src)
     path = new_work_dir(spark, "events-seq-hive")
     write_sequence(events, path, compression="BLOCK", record_format="hive")
     return read_sequence(spark, path, events.schema, record_format="hive")
 
 
-sequencefile_hive_copy = Staged(run=_sequencefile_hive_copy)
+sequencefile_hive_copy = Staged(prepare=_staged_rows("events"), run=_sequencefile_hive_copy)
 
 
 # --- J5: Avro (registered only where the avro data source exists) ------------------
 
 def _part_avro(spark: SparkSession, sf_dir: str) -> str:
     path = new_work_dir(spark, "episodes-avro")
-    write_avro(spread_table(spark, sf_dir, "part"), path)
+    write_avro(dealt_table(spark, sf_dir, "part"), path)
     return path
 
 

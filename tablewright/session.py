@@ -1,4 +1,4 @@
-"""Session helpers: shared work folders, capability probes, parallelism floor.
+"""Session helpers: shared work folders, capability probes.
 
 Staged files and lineage cuts go under the shared folder the cluster names in
 ``spark.checkpoint.dir``.  Only a local-mode session without that setting gets
@@ -75,47 +75,19 @@ def has_avro(spark: SparkSession) -> bool:
         return not ("DATA_SOURCE_NOT_FOUND" in text or "Failed to find data source" in text)
 
 
-SPREAD_MAX_BYTES = 1 << 30
+def write_once(df, label: str):
+    """``df`` written to the shared folder and read back: its rows, and what
+    was derived from their place, are then the same for every later reader."""
+    spark = df.sparkSession
+    path = new_work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def _input_bytes(df) -> int | None:
-    """Total size of the files ``df`` reads, or None if it reads no files."""
-    sc = spark_context(df.sparkSession)
-    files = df.inputFiles()
-    if sc is None or not files:
-        return None
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def spread(df, max_bytes: int = SPREAD_MAX_BYTES):
-    """Use every core when a small input arrives in fewer splits than cores.
-
-    A small input stored as one file and one row group is read by a single
-    task, and so is everything narrow after it (deriving, encoding, writing);
-    the split count does not show it (a file is cut into byte ranges, but
-    only the range holding the row group has rows).  When there are fewer
-    splits than cores and the input is at most ``max_bytes``, the rows are
-    dealt round-robin over all cores — cheap at that size.  Larger inputs are
-    left alone: there the extra shuffle would cost more than it buys, and
-    they come in many splits anyway.  File sizes are only looked up in the
-    few-splits case.  Not for frames whose row order must be kept.
-
-    Meant for frames read straight from files: the split count of a frame
-    with a shuffle is only known after adaptive execution has run that
-    shuffle, so such frames are returned unchanged.
-    """
-    sc = spark_context(df.sparkSession)
-    if sc is None or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    cores = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    size = _input_bytes(df)
-    if size is not None and size <= max_bytes:
-        return df.repartition(cores)
-    return df
+def require_shared_warehouse(spark: SparkSession, table: str) -> None:
+    """Refuse to create ``table`` without a location where the warehouse is a
+    folder of one machine: other executors could not read its files."""
+    sc = spark_context(spark)
+    root = spark.conf.get("spark.sql.warehouse.dir", "") or ""
+    if sc is not None and not sc.master.startswith("local") and (root.startswith("file:") or "://" not in root):
+        raise CapabilityError(f"table {table}: give a location; spark.sql.warehouse.dir ({root}) is a folder of one machine")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from tablewright.errors import CapabilityError
 from tablewright.session import has_avro
 from tablewright.sinks.guards import assert_not_reading
+from tablewright.sinks.replace import replace_path
 
 
 def write_avro(df: DataFrame, path: str, *, mode: str = "overwrite", sources: list[str] = ()) -> None:
@@ -21,6 +22,8 @@ def write_avro(df: DataFrame, path: str, *, mode: str = "overwrite", sources: li
             "Avro output needs the spark-avro module "
             "(--packages org.apache.spark:spark-avro_2.13:<spark version>)"
         )
-    if mode == "overwrite":
-        assert_not_reading(spark, df, path, list(sources))
-    df.write.format("avro").mode(mode).save(path)
+    if mode != "overwrite":
+        df.write.format("avro").mode(mode).save(path)
+        return
+    assert_not_reading(spark, df, path, list(sources))
+    replace_path(spark, path, lambda staging: df.write.format("avro").save(staging))

@@ -68,25 +68,47 @@ def overlaps(a: str, b: str) -> bool:
     return a == b or a.startswith(b + "/") or b.startswith(a + "/")
 
 
+def plan_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file and table relations that ``df`` reads."""
+    if spark_context(df.sparkSession) is None:  # Spark Connect: no access to the plan
+        return df.inputFiles()
+    plan = df._jdf.queryExecution().analyzed()
+    plans = [plan]
+    below = plan.subqueriesAll()
+    plans += [below.apply(i) for i in range(below.size())]
+    roots = []
+    for p in plans:
+        leaves = p.collectLeaves()
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            kind = leaf.getClass().getSimpleName()
+            if kind == "HiveTableRelation":
+                roots.append(leaf.tableMeta().location().toString())
+            elif kind == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+                paths = leaf.relation().location().rootPaths()
+                roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
 def assert_not_reading(spark: SparkSession, df: DataFrame | None, target: str,
                        sources: list[str] = ()) -> None:
     """Refuse when ``target`` is, contains, or lies inside a source location.
 
-    ``sources`` are locations the job knows it reads; the plan's own input
-    files (already listed on the driver by the planner) are checked too.
-    A target that does not exist yet cannot be overwritten, so then nothing
-    is listed at all (one metadata call).
+    ``sources`` are locations the job knows it reads; the root folders of the
+    plan's file relations are checked too (a few paths a relation, however
+    many files it has).  A target that does not exist yet cannot be
+    overwritten, so then nothing is looked at (one metadata call).
     """
     tgt = qualify(spark, target)
     if not _exists(spark, tgt):
-        return  # nothing there to delete: no listing of the plan's inputs needed
+        return  # nothing there to delete
     for s in sources:
         if overlaps(qualify(spark, s), tgt):
             raise SelfOverwriteError(f"refusing to overwrite {tgt}: it is read by this job ({s})")
     if df is not None:
-        for f in df.inputFiles():
-            if overlaps(f.rstrip("/"), tgt):
-                raise SelfOverwriteError(f"refusing to overwrite {tgt}: the data being written reads {f}")
+        for root in plan_roots(df):
+            if overlaps(qualify(spark, root), tgt):
+                raise SelfOverwriteError(f"refusing to overwrite {tgt}: the data being written reads {root}")
 
 
 def _widens(src: DataType, dst: DataType) -> str | None:

@@ -5,10 +5,15 @@ if the job fails — a bad value caught in the writing stage, or executors
 lost beyond the retry limit — the target is left empty.  Here the new data
 is written to a fresh sibling folder first; only after the job has
 committed are the folders swapped (two renames on the driver), and only
-then is the old data deleted.  A failed job leaves the target as it was.
-
-On object stores a folder rename is a copy; catalog tables avoid it
-altogether by switching their location instead (``sinks.tables``).
+then is the old data deleted.  A failed job leaves the target as it was.  A
+target that does not exist is written in place, without a rename.
+
+Between the two renames the target is absent for a moment; a driver lost just
+there leaves the old data in a hidden sibling, and the next call moves it back
+before it does anything else.  On object stores a folder rename is a copy run
+by the driver, so there an existing folder is not replaced: write to a new
+folder, or use a catalog table, which switches its location instead
+(``sinks.tables``).
 """
 
 from __future__ import annotations
@@ -18,8 +23,11 @@ import re
 import uuid
 from collections.abc import Callable
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import SparkSession
 
+from tablewright.errors import CapabilityError
 from tablewright.session import require_context
 from tablewright.sinks.guards import qualify
 
@@ -46,9 +54,37 @@ def hidden_sibling(path: str, tag: str) -> str:
     return f"{parent}/.{name}.{tag}-{uuid.uuid4().hex[:12]}"
 
 
+# Schemes of stores without a folder rename.
+OBJECT_STORES = {"s3", "s3a", "s3n", "gs", "oss", "cos", "cosn", "obs", "swift", "wasb", "wasbs"}
+
+
+def _restore(spark: SparkSession, tgt: str) -> None:
+    """Move back what a run that was lost between its renames has left aside."""
+    parent, _, name = tgt.rpartition("/")
+    p, fs = _fs(spark, parent)
+    if not fs.exists(p):
+        return
+    left = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith(f".{name}.old-")]
+    if len(left) == 1:
+        fs.rename(left[0], _fs(spark, tgt)[0])
+
+
 def replace_path(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
-    """Run ``write(staging)``, then make ``staging`` the new ``target``."""
+    """Make what ``write(folder)`` writes the new content of ``target``."""
     tgt = qualify(spark, target)
+    dst, target_fs = _fs(spark, tgt)
+    if not target_fs.exists(dst):
+        _restore(spark, tgt)
+    if not target_fs.exists(dst):
+        try:
+            write(tgt)
+        except BaseException:
+            delete_path(spark, tgt)  # it was not there before
+            raise
+        return
+    if urlsplit(tgt).scheme in OBJECT_STORES:
+        raise CapabilityError(f"{tgt} exists on an object store, where replacing a folder copies it; "
+                              "write to a new folder or overwrite a catalog table")
     staging = hidden_sibling(tgt, "staging")
     try:
         write(staging)

@@ -2,31 +2,21 @@
 
 Header and positional reads give every column as a string, as in the jobs
 they come from.  Catalyst pushes filters into the CSV parser and prunes the
-parsed columns to those the plan uses.
+columns to those the plan uses; the parser splits whole lines
+(``functions.text.csv_options``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tablewright.functions.text import csv_options
 
 
-def exact_quote_parsing(spark: SparkSession, escape: str) -> None:
-    """With quote doubling (escape equals the quote character), the CSV
-    parser's own column pruning mis-reads a field that follows a quoted
-    value holding a doubled quote (it returned the quote character instead
-    of a quoted comma when only that field was selected).  Parsing every
-    field of the line is exact; the plan still reads only the needed
-    columns.  A session setting, left on because returned frames run later.
-    """
-    if escape == '"':
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-
-
 def _reader(spark: SparkSession, header: bool, multiline: bool, escape: str):
-    exact_quote_parsing(spark, escape)
     return (spark.read.options(**csv_options(header=header))
             .option("multiLine", str(multiline).lower()).option("escape", escape))
 
@@ -40,8 +30,24 @@ def read_csv_header(spark: SparkSession, path: str | list[str], *, multiline: bo
     off by default and large files stay splittable.  ``escape='"'`` reads
     RFC-4180 files (quotes doubled); files from Spark's default CSV writer
     escape quotes with a backslash and need ``escape="\\"``.
+
+    Spark pairs the columns of several files by position under the names of
+    one of them.  Every file's header is compared with those names, and a file
+    that differs fails the read (``header_error``) instead of losing rows.
+    Files whose header Spark has to rename (empty names, names that differ
+    only in case) cannot be compared; their clashes are reported by
+    ``header_clashes``.
     """
-    return _reader(spark, True, multiline, escape).csv(path)
+    reader = _reader(spark, True, multiline, escape)
+    found = reader.csv(path)
+    if header_clashes(found) or any(re.fullmatch(r"_c\d+", c) for c in found.columns):
+        return found
+    return reader.schema(found.schema).option("enforceSchema", "false").csv(path)
+
+
+def header_error(e: Exception) -> bool:
+    """Did a read fail because a file's header differs from the others'?"""
+    return "CSV header does not conform to the schema" in str(e)
 
 
 def read_csv_positional(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
@@ -69,7 +75,6 @@ def read_csv_typed(
     ``line_sep="\\n"`` for files this library wrote, to keep ``\\r`` inside
     values exact.
     """
-    exact_quote_parsing(spark, '"')
     return (
         spark.read.schema(schema)
         .options(**csv_options(sep, null_value, header, line_sep))

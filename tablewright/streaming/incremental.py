@@ -56,7 +56,8 @@ def incremental_filter_csv_copy(
             raise TableJobError(f"header names {clashes} differ only in case; `{column}` is ambiguous")
     schema = StructType([StructField(n, StringType()) for n in names])
     value = bind(FILTER_PARAMS, params)["value"]
-    reader = spark.readStream.schema(schema).options(**csv_options(header=True))
+    reader = spark.readStream.schema(schema).options(**csv_options(header=True)).option(
+        "enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(source_dir)

@@ -1,5 +1,6 @@
-from conftest import SF001
-from tablewright.session import has_avro, new_work_dir, shared_dir, spread, unique_name
+import pytest
+from tablewright.errors import CapabilityError
+from tablewright.session import has_avro, new_work_dir, require_shared_warehouse, shared_dir, unique_name
 
 
 def test_work_dirs_live_under_the_shared_folder(spark):
@@ -12,21 +13,23 @@ def test_work_dirs_live_under_the_shared_folder(spark):
     assert unique_name("t") != unique_name("t")
 
 
-def test_spread_only_small_inputs_with_few_splits(spark):
-    one_group = spark.read.parquet(f"{SF001}/lineitem.parquet")  # one row group
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(one_group).rdd.getNumPartitions() == cores
-    many = spark.range(0, 1000, 1, cores * 2)
-    assert spread(many) is many  # already spread
-    assert spread(one_group, max_bytes=1) is not None
-    assert spread(one_group, max_bytes=1).rdd.getNumPartitions() == one_group.rdd.getNumPartitions()
-
-
 def test_avro_probe(spark):
     assert has_avro(spark) is False  # spark-avro is not on this classpath
 
 
-def test_spread_leaves_shuffled_frames_alone(spark):
-    one_group = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    grouped = one_group.groupBy("l_returnflag").count()
-    assert spread(grouped) is grouped
+class _Cluster:
+    """A session as it would look on a cluster with a machine-local warehouse."""
+
+    class sparkContext:
+        master = "spark://host:7077"
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return "file:/home/user/spark-warehouse" if key == "spark.sql.warehouse.dir" else default
+
+
+def test_local_warehouse_is_refused_on_a_cluster(spark):
+    with pytest.raises(CapabilityError, match="give a location"):
+        require_shared_warehouse(_Cluster(), "t")
+    require_shared_warehouse(spark, "t")

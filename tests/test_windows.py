@@ -1,0 +1,41 @@
+"""Ranks and running totals equal a plain window for every shape of frame."""
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+from tablewright.operators.windows import ranked_running_total
+
+
+def _rows(spark, n):
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.pmod(F.xxhash64("id"), F.lit(500))).cast("int").alias("k"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)).cast("int").alias("k2"),
+        F.xxhash64("id", F.lit(2)).alias("o"), "id",
+        (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(10_000)) / 100).cast("decimal(17,2)").alias("v"),
+        F.concat(F.lit("payload "), F.col("id")).alias("payload"))
+
+
+def _wrong(df, keys, kept, n_ranges):
+    got = ranked_running_total(df, keys if len(keys) > 1 else keys[0], ["o", "id"], "v", num_ranges=n_ranges)
+    w = Window.partitionBy(*keys).orderBy("o", "id")
+    want = df.select("id", F.row_number().over(w).alias("want_rn"),
+                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("want_total"))
+    both = got.select("id", *kept).join(want, "id")
+    assert both.count() == df.count()
+    bad = F.lit(False)
+    if "rn" in kept:
+        bad = bad | (F.col("rn") != F.col("want_rn"))
+    if "running_total" in kept:
+        bad = bad | (F.col("running_total") != F.col("want_total"))
+    return both.where(bad).count()
+
+
+@pytest.mark.parametrize("kept", [["rn"], ["running_total"], ["rn", "running_total", "payload"]])
+@pytest.mark.parametrize("keys", [["k"], ["k", "k2"]])
+def test_every_shape_of_frame(spark, keys, kept):
+    assert _wrong(_rows(spark, 60_000), keys, kept, 32) == 0
+
+
+@pytest.mark.parametrize("n_ranges", [5, 64])
+def test_a_million_rows(spark, n_ranges):
+    assert _wrong(_rows(spark, 1_000_000), ["k"], ["rn", "running_total", "payload"], n_ranges) == 0
