@@ -192,6 +192,28 @@ connector_catalog_table = Staged(
 )
 
 
+# an external CSV table whose quoted values hold doubled quotes and separators, a subset of its columns
+QUOTED_FROM_CUSTOMER = [
+    "concat(c_name, '\"', c_mktsegment, '\"') AS label",
+    "CASE WHEN c_nationkey % 2 = 0 THEN ',' ELSE concat('\"', c_name, '\",') END AS mark",
+    "CAST(c_custkey AS STRING) AS code",
+    "c_mktsegment AS segment",
+]
+
+
+def _external_quoted_table(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    name = unique_name("external_quoted")
+    jobs.external_table_scan(spark, name, "csv", {"path": src, "header": "true", "escape": '"'})
+    return spark.table(name).select("mark", "segment")
+
+
+external_quoted_table = Staged(
+    prepare=lambda spark, sf_dir: _stage_csv(
+        spark, dealt_table(spark, sf_dir, "customer").selectExpr(*QUOTED_FROM_CUSTOMER), "quoted-csv", header=True),
+    run=_external_quoted_table,
+)
+
+
 # --- J6: delimited Windows-1251 text table --------------------------------------
 
 LIMITS_FROM_CUSTOMER = [
@@ -203,13 +225,13 @@ LIMITS_FROM_CUSTOMER = [
 
 def _limits_file(spark: SparkSession, sf_dir: str) -> str:
     rows = dealt_table(spark, sf_dir, "customer").selectExpr(*LIMITS_FROM_CUSTOMER)
-    data_file = new_work_dir(spark, "det-crit-lim-data")
+    data_file = new_work_dir(spark, "limits-data")
     write_delimited(rows, data_file, sep="\t", charset="windows-1251")
     return data_file
 
 
 def _limits_load(spark: SparkSession, sf_dir: str, data_file: str) -> DataFrame:
-    name = unique_name("det_crit_lim")
+    name = unique_name("limits")
     return jobs.limits_load(spark, name, data_file, new_work_dir(spark, name),
                             charset="windows-1251", columns=LIMITS_COLUMNS)
 
@@ -235,7 +257,7 @@ def _snapshot_source_exprs() -> list[str]:
 
 
 def _snapshot_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
-    dst = unique_name("z_main_docum_archive")
+    dst = unique_name("archive")
     loc = new_work_dir(spark, dst)
     jobs.snapshot_copy(spark, src, dst, columns=SNAPSHOT_COLUMNS, location=loc)
     # a second run replaces the content (the row count stays the same)
@@ -245,7 +267,7 @@ def _snapshot_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
 snapshot_copy = Staged(
     prepare=lambda spark, sf_dir: _stage_table(
         spark, dealt_table(spark, sf_dir, "orders").selectExpr(*_snapshot_source_exprs()),
-        "z_main_docum"),
+        "documents_source"),
     run=_snapshot_copy,
 )
 
@@ -287,12 +309,25 @@ def wide_document_exprs(dialect: str) -> list[str]:
     return out
 
 
+def _wide_source(spark: SparkSession, sf_dir: str) -> str:
+    return _stage_table(spark, dealt_table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark")),
+                        "wide_documents")
+
+
+def _wide_table_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    """CAT-5: creates the 163-column table, then overwrites it by position."""
+    dst = unique_name("wide_archive")
+    loc = new_work_dir(spark, dst)
+    jobs.snapshot_copy(spark, src, dst, columns=WIDE_DOCUMENT_COLUMNS, location=loc)
+    return jobs.snapshot_copy(spark, src, dst, columns=WIDE_DOCUMENT_COLUMNS, location=loc)
+
+
+wide_table_copy = Staged(prepare=_wide_source, run=_wide_table_copy)
+
 wide_snapshot_copy = Staged(
-    prepare=lambda spark, sf_dir: _stage_table(
-        spark, dealt_table(spark, sf_dir, "orders").selectExpr(*wide_document_exprs("spark")),
-        "z_main_docum"),
+    prepare=_wide_source,
     run=lambda spark, sf_dir, src: jobs.snapshot_copy(
-        spark, src, jobs.SequenceTable(new_work_dir(spark, "z_main_docum_archive_seq"),
+        spark, src, jobs.SequenceTable(new_work_dir(spark, "wide_archive_seq"),
                                        WIDE_DOCUMENT_COLUMNS)),
 )
 
@@ -353,11 +388,11 @@ preview_rows = Staged(run=lambda spark, sf_dir, _: preview(table(spark, sf_dir,
 
 def _window_rank_running_total(spark: SparkSession, sf_dir: str, _: Any) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate",
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
         F.col("o_totalprice").cast("decimal(17,2)").alias("price"))
     out = ranked_running_total(orders, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")],
                                "price", rank_col="rn", total_col="running_total")
-    return out.select("o_orderkey", "o_custkey", "o_orderdate", "rn", "running_total")
+    return out.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "rn", "running_total")
 
 
 window_rank_running_total = Staged(run=_window_rank_running_total)
@@ -373,9 +408,11 @@ QUERIES: dict[str, Staged] = {
     "catalog_filter_copy": catalog_filter_copy,
     "view_rebinding": view_rebinding,
     "connector_catalog_table": connector_catalog_table,
+    "external_quoted_table": external_quoted_table,
     "delimited_charset_load": delimited_charset_load,
     "snapshot_copy": snapshot_copy,
     "wide_snapshot_copy": wide_snapshot_copy,
+    "wide_table_copy": wide_table_copy,
     "sequencefile_copy": sequencefile_copy,
     "sequencefile_hive_copy": sequencefile_hive_copy,
     "typed_expr_filter": typed_expr_filter,
@@ -412,11 +449,13 @@ ORACLE_SQL: dict[str, str] = {
     "view_rebinding": ("SELECT *, 'unfiltered' AS handle FROM customer UNION ALL "
                        "SELECT *, 'filtered' AS handle FROM customer WHERE c_nationkey < 7"),
     "connector_catalog_table": f"SELECT {_customer_as_text()} FROM customer",
+    "external_quoted_table": "SELECT " + ", ".join(QUOTED_FROM_CUSTOMER[i] for i in (1, 3)) + " FROM customer",
     "delimited_charset_load": "SELECT " + ", ".join(LIMITS_FROM_CUSTOMER) + " FROM customer",
     "snapshot_copy": "SELECT " + ", ".join(
         f"CAST({n} AS {'TIMESTAMP' if t == 'timestamp' else t.upper()}) AS {n}"
         for n, t in SNAPSHOT_COLUMNS) + " FROM orders",
     "wide_snapshot_copy": "SELECT " + ", ".join(wide_document_exprs("duckdb")) + " FROM orders",
+    "wide_table_copy": "SELECT " + ", ".join(wide_document_exprs("duckdb")) + " FROM orders",
     "sequencefile_copy": "SELECT * FROM events",
     "sequencefile_hive_copy": "SELECT * FROM events",
     "avro_filter": "SELECT * FROM part WHERE p_size > 5",
@@ -424,7 +463,7 @@ ORACLE_SQL: dict[str, str] = {
     "typed_expr_filter": "SELECT * FROM part WHERE p_size > 5",
     "preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
     "window_rank_running_total": (
-        "SELECT o_orderkey, o_custkey, o_orderdate, "
+        "SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, "
         "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn, "
         "CAST(sum(CAST(o_totalprice AS DECIMAL(17,2))) OVER (PARTITION BY o_custkey "
         "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
