@@ -75,8 +75,6 @@ def main() -> None:
          lambda p: spark.read.parquet(p)),
         ("SequenceFile BLOCK", lambda p: write_sequence(lineitem, p, compression="BLOCK"),
          lambda p: read_sequence(spark, p, lineitem.schema)),
-        ("SequenceFile RECORD", lambda p: write_sequence(lineitem, p, compression="RECORD"),
-         lambda p: read_sequence(spark, p, lineitem.schema)),
         ("SequenceFile NONE", lambda p: write_sequence(lineitem, p, compression="NONE"),
          lambda p: read_sequence(spark, p, lineitem.schema)),
         ("tab text", lambda p: write_delimited(lineitem, p),

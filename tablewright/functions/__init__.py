@@ -9,13 +9,13 @@ from tablewright.functions.checks import fail_if
 from tablewright.functions.text import (
     csv_options,
     decode_records,
-    encode_record,
+    encode_records,
 )
 
 __all__ = [
     "csv_options",
     "decode_records",
-    "encode_record",
+    "encode_records",
     "fail_if",
     "is_standard_charset",
     "outside_charset",

@@ -4,7 +4,7 @@ import decimal
 import pytest
 
 from tablewright.params import JobParam, bind
-from tablewright.sinks.sequence import compression_conf
+from tablewright.sinks.sequence import codec_class
 from tablewright.sqltext import ident, string
 
 
@@ -33,10 +33,8 @@ def test_sql_quoting(spark):
     assert spark.sql(f"SELECT {string(tricky)} AS s").first()["s"] == tricky
 
 
-def test_compression_conf():
-    assert compression_conf("NONE") == {"mapreduce.output.fileoutputformat.compress": "false"}
-    conf = compression_conf("block", "gzip")
-    assert conf["mapreduce.output.fileoutputformat.compress.type"] == "BLOCK"
-    assert conf["mapreduce.output.fileoutputformat.compress.codec"].endswith("GzipCodec")
+def test_codec_class():
+    assert codec_class("NONE") is None
+    assert codec_class("block", "gzip") == "org.apache.hadoop.io.compress.GzipCodec"
     with pytest.raises(ValueError):
-        compression_conf("ZIP")
+        codec_class("ZIP")
