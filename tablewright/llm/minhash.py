@@ -16,10 +16,16 @@ Join.  k = ``BANDS`` x ``ROWS`` coordinates are hashed in bands.  Texts with
 the same shingle set are one node.  In a bucket (nodes that agree in a band)
 every node is paired with one centre, not with every other: the node of
 least priority, the same order in all buckets, so that similar nodes share
-their centres.  Pairs are verified on the shingle sets themselves, links
-become components, and buckets that still hold several components are paired
-anew with centres by another order until a round finds no link.  Each round
-costs a multiple of the nodes, however large a bucket is.
+their centres.  Pairs are verified on the shingle sets themselves and links
+become components.  Buckets that still hold several components go on: each of
+their nodes is paired with two more centres of another component, the node
+with the most links so far (the text that others were made from) and one at
+random per bucket.  The same is done in finer buckets, of nodes that agree in
+three bands at once: those are small, and who meets there is nearly always
+similar, so that links within a large family of variants are met too.  Every
+round takes other triples and other centres; the rounds end with one that
+finds no link.  A round costs a multiple of the nodes in such buckets, however
+large a bucket is.
 
 A band misses a pair of similarity 0.8 with probability 1 - 0.8**ROWS; all
 bands miss it with probability 3e-6 at the default 32 x 5.
@@ -27,6 +33,8 @@ bands miss it with probability 3e-6 at the default 32 x 5.
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,6 +44,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import keep_table, map_texts, read_table, text_or_empty
 
 BANDS, ROWS = 32, 5
+FINE = 96  # finer buckets of a node in each later round
 WORDS, SIMILARITY = 5, 0.8
 _BASE = 6  # the lowest rank cell is [0, 2**-_BASE)
 _U = np.uint64
@@ -168,6 +177,21 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return map_texts(texts, "node binary, elements array<long>", work)
 
 
+def _pairs(of: DataFrame) -> DataFrame:
+    """``node``, ``centre`` to distinct pairs ``a`` < ``b``."""
+    return of.where("node != centre").select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets have that Jaccard similarity."""
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
+            .select("a", "b", F.size("ea").alias("na"), F.size("eb").alias("nb"),
+                    F.size(F.array_intersect("ea", "eb")).alias("both")))
+    return both.where(F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` (least node of its component) from ``a``, ``b``.
 
@@ -192,6 +216,42 @@ def components(links: DataFrame) -> DataFrame:
         at = done.select("node", "root")
 
 
+def _joined(roots: DataFrame, new: DataFrame) -> DataFrame:
+    """``roots`` after the links ``new``: components of the roots they join."""
+    def of(side):
+        r = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        return r
+
+    linked = (new.join(of("a"), "a", "left").join(of("b"), "b", "left")
+              .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a != b").distinct())
+    merged = components(linked).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    known = roots.unionByName(new.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                              .join(roots, "node", "left_anti").withColumn("root", F.col("node")))
+    return known.join(merged, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+
+
+def _mixed(members: DataFrame, roots: DataFrame, degree: DataFrame, seed: int) -> DataFrame:
+    """The members of buckets that hold several components, with two centres:
+    ``hub``, the member with most links so far, and ``any``, one at random."""
+    members = (members.join(roots, "node", "left").join(degree, "node", "left")
+               .withColumns({"root": F.coalesce("root", "node"), "degree": F.coalesce("degree", F.lit(0))}))
+    mixed = members.groupBy("bucket").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.max(F.struct("degree", "node", "root")).alias("hub"),
+        F.min(F.struct(F.xxhash64("node", "bucket", F.lit(seed)).alias("p"), "node", "root")).alias("any"),
+    ).where("lo != hi")
+    return members.join(mixed, "bucket").select(
+        "bucket", "node", "root", F.struct("hub.node", "hub.root").alias("hub"),
+        F.struct("any.node", "any.root").alias("any"))
+
+
+def _triples(bands: int, seed: int) -> list:
+    """Keys of three bands each, ``FINE`` per node; others with every seed."""
+    rnd = random.Random(seed)
+    chosen = [rnd.sample(range(bands), min(3, bands)) for _ in range(FINE)]
+    return [F.xxhash64(F.lit(i), *(F.col("bands")[k] for k in of)) for i, of in enumerate(chosen)]
+
+
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``df``: ``id_col``, ``class_id``, ``class_size``,
@@ -212,51 +272,41 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     marked = keep_table(sketch(src, words=words, bands=bands, rows=rows), "sketch")
     # texts without words: their own text stands for the set, in the same 16 bytes
     marked = marked.withColumn("node", F.coalesce("node", "key"))
-    nodes = marked.groupBy("node").agg(F.min(own).alias("rep"), F.max("bands").alias("bands"),
-                                       F.max(F.col("node") == F.col("key")).alias("bare"))
-    buckets = keep_table(nodes.where(~F.col("bare")).select("node", "rep", F.explode("bands").alias("bucket")),
-                         "buckets")
-    linked = tested = roots = None
+    nodes = keep_table(
+        marked.where(F.col("node") != F.col("key")).groupBy("node").agg(F.min(own).alias("rep"), F.max("bands").alias("bands")),
+        "nodes")
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    first = F.struct(F.xxhash64("node").alias("p"), "node")  # one order for all buckets
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(first)["node"].alias("centre")).where("n > 1")
+    members = keep_table(buckets.join(shared.drop("n"), "bucket"), "buckets")
+    pairs = keep_table(_pairs(members.select("node", "centre")), "pairs")
+    # whoever shares a bucket is in a pair now: the sets of these nodes serve all rounds
+    paired = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
+    texts = (src.select(own, "text").join(paired.hint("shuffle_hash"), "rep")
+             .groupBy("node").agg(F.first("text").alias("text")))
+    sets = keep_table(_sets(texts, words), "sets")
+    tested = roots = degree = None
     seed = 0
     while True:
-        order = F.struct(F.xxhash64("node", F.lit(seed)).alias("p"), "node", "rep")
-        members = buckets
-        if roots is not None:  # only buckets that hold several components, by now
-            members = (buckets.join(roots, "node", "left")
-                       .withColumn("root", F.coalesce("root", "node")))
-            mixed = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                                  F.min(order).alias("centre")).where("lo != hi").drop("lo", "hi")
-        else:
-            mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(order).alias("centre")).where("n > 1")
-        pairs = (members.join(mixed, "bucket").where("node != centre.node")
-                 .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"),
-                         F.when(F.col("node") < F.col("centre.node"), F.col("rep")).otherwise(F.col("centre.rep")).alias("ra"),
-                         F.when(F.col("node") < F.col("centre.node"), F.col("centre.rep")).otherwise(F.col("rep")).alias("rb"))
-                 .dropDuplicates(["a", "b"]))
-        if roots is not None:
-            of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-            of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = (pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-                     .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).drop("root_a", "root_b")
-                     .join(tested, ["a", "b"], "left_anti"))
-        pairs = keep_table(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("node"), F.col("ra").alias("rep")).union(
-            pairs.select("b", "rb")).dropDuplicates(["node"])
-        texts = (src.select(own, "text").join(wanted.hint("shuffle_hash"), "rep")
-                 .groupBy("node").agg(F.first("text").alias("text")))
-        sets = keep_table(_sets(texts, words), "sets")
-        sized = (pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
-                 .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
-                 .select("a", "b", F.size("ea").alias("na"), F.size("eb").alias("nb"),
-                         F.size(F.array_intersect("ea", "eb")).alias("both")))
-        new = keep_table(sized.where(F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both")))
-                         .select("a", "b"), "found")
+        new = keep_table(_similar(pairs, sets, similarity), "found")
         if new.isEmpty():
             break
-        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-        linked = new if linked is None else linked.union(new)
-        roots = components(linked)
+        tested = pairs if tested is None else tested.union(pairs)
+        ends = new.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        degree = ends if degree is None else keep_table(
+            degree.union(ends).groupBy("node").agg(F.sum("degree").alias("degree")), "degrees")
+        roots = components(new) if roots is None else keep_table(_joined(roots, new), "roots")
         seed += 1
+        # buckets that still hold several components
+        members = _mixed(members.select("bucket", "node"), roots, degree, seed)
+        members = keep_table(members, "buckets")
+        # their nodes meet again in finer buckets, by three bands at a time
+        fine = members.select("node").distinct().join(nodes.select("node", "bands"), "node").select(
+            "node", F.explode(F.array(*_triples(bands, seed))).alias("bucket"))
+        centres = members.select("node", "root", F.explode(F.array("hub", "any")).alias("c")).union(
+            _mixed(fine, roots, degree, seed).select("node", "root", F.explode(F.array("hub", "any")).alias("c")))
+        pairs = keep_table(_pairs(centres.where("root != c.root").select("node", F.col("c.node").alias("centre")))
+                           .join(tested, ["a", "b"], "left_anti"), "pairs")
     if roots is None:
         placed = marked.withColumn("root", F.col("node"))
     else:
