@@ -7,7 +7,7 @@ from tablewright.errors import CapabilityError
 from tablewright.plans import jobs
 from tablewright.session import has_avro
 from tablewright.sinks.avro import write_avro
-from tablewright.sources.avro import read_avro
+from tablewright.sources.avro import read_avro, spark_type
 
 SCHEMA_JSON = ('{"type":"record","name":"episode","fields":['
                '{"name":"title","type":"string"},{"name":"air_date","type":["null","string"]},'
@@ -42,7 +42,25 @@ def test_read_avro_and_filter(spark, workdir):
     subset = df.where("doctor > 5")
     assert sorted(r["title"] for r in subset.collect()) == ["The Doctor's Wife", "The Eleventh Hour"]
     inferred = read_avro(spark, f"{workdir}/avro")
-    assert set(inferred.columns) == {"title", "air_date", "doctor"}
+    assert inferred.dtypes == [("title", "string"), ("air_date", "string"), ("doctor", "int")]
+    assert sorted(tuple(r) for r in inferred.collect()) == sorted(ROWS)
+
+
+def test_writer_schema_gives_order_and_types():
+    fields = [{"name": "z", "type": "int"}, {"name": "a", "type": ["null", "float"]},
+              {"name": "l", "type": {"type": "array", "items": "long"}},
+              {"name": "e", "type": {"type": "enum", "name": "x", "symbols": ["P"]}},
+              {"name": "m", "type": {"type": "map", "values": "boolean"}}]
+    got = spark_type({"type": "record", "name": "r", "fields": fields})
+    assert got.simpleString() == "struct<z:int,a:float,l:array<bigint>,e:string,m:map<string,boolean>>"
+
+
+@pytest.mark.parametrize("kind", [
+    {"type": "bytes", "logicalType": "decimal", "precision": 9, "scale": 2}, "bytes", ["int", "string"],
+    {"type": "long", "logicalType": "timestamp-micros"}, {"type": "fixed", "name": "f", "size": 4}])
+def test_types_that_text_cannot_carry_are_refused(kind):
+    with pytest.raises(CapabilityError, match="record.m: .*spark-avro"):
+        spark_type({"type": "record", "name": "r", "fields": [{"name": "m", "type": kind}]})
 
 
 def test_avro_write_without_module_fails_loudly(spark, workdir):
