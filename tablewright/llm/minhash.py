@@ -20,8 +20,8 @@ their centres.  Pairs are verified on the shingle sets themselves and links
 become components.  Buckets that still hold several components go on: each of
 their nodes is paired with two more centres of another component, the node
 with the most links so far (the text that others were made from) and one at
-random per bucket.  The same is done in finer buckets, of nodes that agree in
-three bands at once: those are small, and who meets there is nearly always
+random per bucket (in the first two such rounds, when hubs appear).  The same is
+done in finer buckets, of nodes that agree in three bands at once: those are small, and who meets there is nearly always
 similar, so that links within a large family of variants are met too.  Every
 round takes other triples and other centres; the rounds end with one that
 finds no link.  A round costs a multiple of the nodes in such buckets, however
@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import keep_table, map_texts, read_table, text_or_empty
 
 BANDS, ROWS = 32, 5
-FINE = 96  # finer buckets of a node in each later round
+FINE = 64  # finer buckets of a node in each later round
+COARSE_ROUNDS = 2  # later rounds that pair in the one-band buckets as well
 WORDS, SIMILARITY = 5, 0.8
 _BASE = 6  # the lowest rank cell is [0, 2**-_BASE)
 _U = np.uint64
@@ -245,6 +246,12 @@ def _mixed(members: DataFrame, roots: DataFrame, degree: DataFrame, seed: int) -
         F.struct("any.node", "any.root").alias("any"))
 
 
+def _centres(mixed: DataFrame) -> DataFrame:
+    """``node``, ``root``, ``c``: every member with either centre of its bucket."""
+    return mixed.select("node", "root", F.col("hub").alias("c")).union(
+        mixed.select("node", "root", F.col("any").alias("c")))
+
+
 def _triples(bands: int, seed: int) -> list:
     """Keys of three bands each, ``FINE`` per node; others with every seed."""
     rnd = random.Random(seed)
@@ -297,14 +304,14 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             degree.union(ends).groupBy("node").agg(F.sum("degree").alias("degree")), "degrees")
         roots = components(new) if roots is None else keep_table(_joined(roots, new), "roots")
         seed += 1
-        # buckets that still hold several components
-        members = _mixed(members.select("bucket", "node"), roots, degree, seed)
-        members = keep_table(members, "buckets")
-        # their nodes meet again in finer buckets, by three bands at a time
+        # nodes in buckets that still hold several components
+        members = keep_table(_mixed(members.select("bucket", "node"), roots, degree, seed), "buckets")
+        # they meet again in finer buckets, by three bands at a time
         fine = members.select("node").distinct().join(nodes.select("node", "bands"), "node").select(
             "node", F.explode(F.array(*_triples(bands, seed))).alias("bucket"))
-        centres = members.select("node", "root", F.explode(F.array("hub", "any")).alias("c")).union(
-            _mixed(fine, roots, degree, seed).select("node", "root", F.explode(F.array("hub", "any")).alias("c")))
+        centres = _centres(_mixed(fine, roots, degree, seed))
+        if seed <= COARSE_ROUNDS:
+            centres = centres.union(_centres(members))
         pairs = keep_table(_pairs(centres.where("root != c.root").select("node", F.col("c.node").alias("centre")))
                            .join(tested, ["a", "b"], "left_anti"), "pairs")
     if roots is None:
