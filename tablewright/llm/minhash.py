@@ -14,18 +14,17 @@ coordinate is empty, so the cost is its elements plus its darts.
 
 Join.  k = ``BANDS`` x ``ROWS`` coordinates are hashed in bands.  Texts with
 the same shingle set are one node.  In a bucket (nodes that agree in a band)
-every node is paired with one centre, not with every other: the node of
+every node is first paired with one centre, not with every other: the node of
 least priority, the same order in all buckets, so that similar nodes share
 their centres.  Pairs are verified on the shingle sets themselves and links
-become components.  Buckets that still hold several components go on: each of
-their nodes is paired with two more centres of another component, the node
-with the most links so far (the text that others were made from) and one at
-random per bucket (in the first two such rounds, when hubs appear).  The same is
-done in finer buckets, of nodes that agree in three bands at once: those are small, and who meets there is nearly always
-similar, so that links within a large family of variants are met too.  Every
-round takes other triples and other centres; the rounds end with one that
-finds no link.  A round costs a multiple of the nodes in such buckets, however
-large a bucket is.
+become components.  In buckets that still hold several components every pair of
+nodes of different components is tested then, without a row per pair: nodes go
+to blocks (by the largest such bucket they are in, ``BLOCK`` nodes or
+``ELEMENTS`` elements at most on average), the sets of two blocks that share a
+bucket meet in one group, and the overlaps of all their pairs are counted at
+once by matrix products.  A block of one component only does not meet blocks of
+the same.  A group gives a forest of the components it joins.  So a node is
+sent once per block that it shares a bucket with, and no pair is left out.
 
 A band misses a pair of similarity 0.8 with probability 1 - 0.8**ROWS; all
 bands miss it with probability 3e-6 at the default 32 x 5.
@@ -33,8 +32,6 @@ bands miss it with probability 3e-6 at the default 32 x 5.
 
 from __future__ import annotations
 
-import random
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,8 +41,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import keep_table, map_texts, read_table, text_or_empty
 
 BANDS, ROWS = 32, 5
-FINE = 64  # finer buckets of a node in each later round
-COARSE_ROUNDS = 2  # later rounds that pair in the one-band buckets as well
+BLOCK, ELEMENTS = 512, 1 << 20  # nodes and elements of a block
 WORDS, SIMILARITY = 5, 0.8
 _BASE = 6  # the lowest rank cell is [0, 2**-_BASE)
 _U = np.uint64
@@ -217,46 +213,113 @@ def components(links: DataFrame) -> DataFrame:
         at = done.select("node", "root")
 
 
-def _joined(roots: DataFrame, new: DataFrame) -> DataFrame:
-    """``roots`` after the links ``new``: components of the roots they join."""
-    def of(side):
-        r = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        return r
-
-    linked = (new.join(of("a"), "a", "left").join(of("b"), "b", "left")
-              .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a != b").distinct())
-    merged = components(linked).select(F.col("node").alias("root"), F.col("root").alias("to"))
-    known = roots.unionByName(new.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-                              .join(roots, "node", "left_anti").withColumn("root", F.col("node")))
-    return known.join(merged, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-
-
-def _mixed(members: DataFrame, roots: DataFrame, degree: DataFrame, seed: int) -> DataFrame:
-    """The members of buckets that hold several components, with two centres:
-    ``hub``, the member with most links so far, and ``any``, one at random."""
-    members = (members.join(roots, "node", "left").join(degree, "node", "left")
-               .withColumns({"root": F.coalesce("root", "node"), "degree": F.coalesce("degree", F.lit(0))}))
+def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``bucket``, ``n``, ``node``, ``root``: the buckets that hold several
+    components; of buckets with the same nodes, one."""
+    if roots is None:
+        members = members.withColumn("root", F.col("node"))
+    else:
+        members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = members.groupBy("bucket").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"),
-        F.max(F.struct("degree", "node", "root")).alias("hub"),
-        F.min(F.struct(F.xxhash64("node", "bucket", F.lit(seed)).alias("p"), "node", "root")).alias("any"),
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
     ).where("lo != hi")
-    return members.join(mixed, "bucket").select(
-        "bucket", "node", "root", F.struct("hub.node", "hub.root").alias("hub"),
-        F.struct("any.node", "any.root").alias("any"))
+    mixed = mixed.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    return members.join(mixed, "bucket").select("bucket", "n", "node", "root")
+
+
+def _blocks(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``node``, ``block``, ``only`` (the component, if a block has just one)."""
+    home = (mixed.groupBy("node", "root").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home"))
+            .join(sizes, "node"))
+    cells = home.groupBy("home", "root").agg(F.count("*").alias("nodes"), F.sum("size").alias("elements"))
+    cells = cells.withColumn("only", F.when(F.col("nodes") >= BLOCK, F.col("root")))
+    # large components have their own blocks, the others of a bucket share theirs
+    parts = cells.groupBy("home", "only").agg(F.greatest(
+        F.ceil(F.sum("nodes") / BLOCK), F.ceil(F.sum("elements") / ELEMENTS)).alias("parts"))
+    cells = cells.select("home", "root", "only").join(
+        parts.withColumnsRenamed({"home": "h", "only": "o"}),
+        (F.col("home") == F.col("h")) & F.col("only").eqNullSafe(F.col("o"))).select("home", "root", "only", "parts")
+    return home.join(cells, ["home", "root"]).select(
+        "node", "only", F.xxhash64("home", "only", F.pmod(F.xxhash64(F.lit(2), "node"), "parts")).alias("block"))
+
+
+def _group_links(x: np.ndarray, y: np.ndarray, root: np.ndarray, sizes: np.ndarray, flat: np.ndarray,
+                 similarity: float) -> list[tuple[int, int]]:
+    """A forest of the ``root`` pairs that links between the sets marked in
+    ``x`` and those marked in ``y`` join; ``flat`` holds the sets one after the other."""
+    def open_pairs(left, right):
+        na, nb = sizes[left][:, None], sizes[right][None, :]
+        return (root[left][:, None] != root[right][None, :]) & (np.minimum(na, nb) >= similarity * np.maximum(na, nb))
+
+    left, right = np.flatnonzero(x), np.flatnonzero(y)
+    test = open_pairs(left, right)
+    left, right, test = left[test.any(1)], right[test.any(0)], test[test.any(1)][:, test.any(0)]
+    if not test.any():
+        return []
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    used = np.zeros(len(sizes), bool)
+    used[left] = used[right] = True
+    flat, owner = flat[used[owner]], owner[used[owner]]
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    count = np.diff(np.r_[start, len(flat)])
+    # elements of the same sets are one column, with their number as its weight
+    name = mix(np.arange(1, len(sizes) + 1, dtype=np.uint64))
+    with np.errstate(over="ignore"):
+        pattern = np.add.reduceat(name[owner], start)
+    start, count, pattern = start[count > 1], count[count > 1], pattern[count > 1]
+    _, first, weight = np.unique(pattern, return_index=True, return_counts=True)
+    kind = np.float32 if sizes.max() < 1 << 24 else np.float64  # whole numbers are exact
+    both = np.zeros(test.shape, kind)
+    for at in range(0, len(first), 2048):
+        f = first[at : at + 2048]
+        n = count[f]
+        column = np.repeat(np.arange(len(f)), n)
+        place = np.repeat(start[f], n) + np.arange(len(column)) - np.repeat(np.cumsum(n) - n, n)
+        has = np.zeros((len(sizes), len(f)), kind)
+        has[owner[place], column] = 1
+        both += (has[left] * weight[at : at + 2048].astype(kind)) @ has[right].T
+    both = both.astype(np.float64)
+    link = test & (both >= similarity * (sizes[left][:, None] + sizes[right][None, :] - both))
+    i, j = np.nonzero(link)
+    a, b = root[left[i]], root[right[j]]
+    up: dict[int, int] = {}
+
+    def find(r):
+        while up.get(r, r) != r:
+            up[r] = r = up.get(up[r], up[r])
+        return r
+
+    out = []
+    for r, t in np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0).tolist():
+        if find(r) != find(t):
+            up[find(t)] = find(r)
+            out.append((r, t))
+    return out
 
 
-def _centres(mixed: DataFrame) -> DataFrame:
-    """``node``, ``root``, ``c``: every member with either centre of its bucket."""
-    return mixed.select("node", "root", F.col("hub").alias("c")).union(
-        mixed.select("node", "root", F.col("any").alias("c")))
+def _remaining_links(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``a``, ``b``: components that similar nodes of a ``mixed`` bucket join."""
+    blocks = _blocks(mixed, sets.select("node", F.size("elements").alias("size")))
+    placed = keep_table(mixed.select("bucket", "node", "root").join(blocks, "node"), "blocks")
+    present = placed.groupBy("bucket").agg(F.collect_set(F.struct("block", "only")).alias("others"))
+    met = placed.join(present, "bucket").select("node", "root", "block", "only", F.explode("others").alias("o"))
+    met = met.where(F.col("only").isNull() | F.col("o.only").isNull() | (F.col("only") != F.col("o.only")))
+    met = met.select(F.least("block", "o.block").alias("x"), F.greatest("block", "o.block").alias("y"), "node", "root",
+                     "block").distinct()
+    groups = met.join(sets, "node").select("x", "y", "block", "root", "elements")
 
+    def run(table: pa.Table) -> pa.Table:
+        x, y, block = (table.column(c).to_numpy() for c in ("x", "y", "block"))
+        names, root = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)
+        elements = table.column("elements").combine_chunks()
+        sizes = elements.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        found = _group_links(block == x, block == y, root, sizes, elements.flatten().to_numpy(), similarity)
+        return pa.table({side: pa.array([names[f[k]] for f in found], pa.binary()) for k, side in enumerate("ab")})
 
-def _triples(bands: int, seed: int) -> list:
-    """Keys of three bands each, ``FINE`` per node; others with every seed."""
-    rnd = random.Random(seed)
-    chosen = [rnd.sample(range(bands), min(3, bands)) for _ in range(FINE)]
-    return [F.xxhash64(F.lit(i), *(F.col("bands")[k] for k in of)) for i, of in enumerate(chosen)]
+    return groups.groupBy("x", "y").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -292,32 +355,17 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     texts = (src.select(own, "text").join(paired.hint("shuffle_hash"), "rep")
              .groupBy("node").agg(F.first("text").alias("text")))
     sets = keep_table(_sets(texts, words), "sets")
-    tested = roots = degree = None
-    seed = 0
-    while True:
-        new = keep_table(_similar(pairs, sets, similarity), "found")
-        if new.isEmpty():
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        ends = new.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        degree = ends if degree is None else keep_table(
-            degree.union(ends).groupBy("node").agg(F.sum("degree").alias("degree")), "degrees")
-        roots = components(new) if roots is None else keep_table(_joined(roots, new), "roots")
-        seed += 1
-        # nodes in buckets that still hold several components
-        members = keep_table(_mixed(members.select("bucket", "node"), roots, degree, seed), "buckets")
-        # they meet again in finer buckets, by three bands at a time
-        fine = members.select("node").distinct().join(nodes.select("node", "bands"), "node").select(
-            "node", F.explode(F.array(*_triples(bands, seed))).alias("bucket"))
-        centres = _centres(_mixed(fine, roots, degree, seed))
-        if seed <= COARSE_ROUNDS:
-            centres = centres.union(_centres(members))
-        pairs = keep_table(_pairs(centres.where("root != c.root").select("node", F.col("c.node").alias("centre")))
-                           .join(tested, ["a", "b"], "left_anti"), "pairs")
-    if roots is None:
-        placed = marked.withColumn("root", F.col("node"))
-    else:
+    found = keep_table(_similar(pairs, sets, similarity), "found")
+    roots = None if found.isEmpty() else components(found)
+    # what the centres did not join: every pair between components of a bucket
+    mixed = keep_table(_mixed(members.select("bucket", "node"), roots), "mixed")
+    found = keep_table(_remaining_links(mixed, sets, similarity), "found")
+    placed = marked.withColumn("root", F.col("node"))
+    if roots is not None:
         placed = marked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if not found.isEmpty():
+        merged = components(found).select(F.col("node").alias("root"), F.col("root").alias("to"))
+        placed = placed.join(merged, "root", "left").withColumn("root", F.coalesce("to", "root"))
     placed = placed.select("id", "key", "root")
     classes = placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     several = classes.where("class_size > 1").withColumnRenamed("root", "r")

@@ -141,6 +141,34 @@ def test_near_against_brute_force(spark, rows):
         (rows[i][0], c) for i, c in enumerate(brute_classes(rows)))
 
 
+def sparse_family(n, kept):
+    """Texts that each leave out some paragraphs of one template: most pairs at 0.7 to 0.79, few at 0.8."""
+    rnd = random.Random(1)
+    parts = [" ".join("p%dw%d" % (p, w) for w in range(12)) for p in range(60)]
+    return [(i, " ".join(parts[p] for p in sorted(rnd.sample(range(60), kept)))) for i in range(n)]
+
+
+def matrix_classes(rows):
+    """As brute_classes, with the overlaps of all pairs from one matrix product."""
+    sets, column = shingle_sets(rows), {}
+    has = np.zeros((len(rows), len(set().union(*sets))), np.float32)
+    for i, s in enumerate(sets):
+        has[i, [column.setdefault(g, len(column)) for g in s]] = 1
+    both, size = has @ has.T, has.sum(1)
+    root = np.arange(len(rows))
+    for i, j in np.argwhere(np.triu(both >= 0.8 * (size[:, None] + size - both), 1)):
+        root[root == max(root[i], root[j])] = min(root[i], root[j])
+    return root.tolist()
+
+
+@pytest.mark.parametrize("kept", [51, 52])
+def test_large_family_with_sparse_links(spark, kept):
+    rows = sparse_family(1200, kept)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert partition((r.doc_id, r.class_id) for r in got) == partition(
+        (rows[i][0], c) for i, c in enumerate(matrix_classes(rows)))
+
+
 def test_near_on_given_documents(spark):
     docs = read_table(spark, SF0001, "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
