@@ -3,15 +3,19 @@
 A vocabulary learned from text spells words in few, long tokens; a random
 key falls apart into tokens of one or two characters.  Every run of key
 characters that mixes letter case or letters and digits is tokenised, and is
-reported if it has fewer than ``max_ratio`` characters per token.  Known
+reported if it has fewer than ``max_ratio`` characters per token.  In other
+runs a key may be joined to words: the pieces between / = _ - are tested, and
+the stretches of short tokens, wherever they stand.  A stretch is reported with
+the pieces it touches if those pass the test, else as it is.  Known
 digests (hexadecimal strings of the common digest lengths) and identifiers
 (UUIDs, plain numbers) are random too but no secrets; they are left out, as
-are runs that a fixed pattern has reported already.
+is what a fixed pattern has reported already.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 
@@ -35,10 +39,45 @@ BASE_KINDS = KINDS[:3]
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
+PIECE = re.compile(r"[^/=_-]+")
+KNOWN = re.compile(rf"(?<![A-Za-z0-9+])(?:{UUID.pattern[:-2]}|{DIGEST.pattern[:-2]})(?![A-Za-z0-9+])")
+MIN_RUN = 20
 MAX_RATIO = 2.0
 MASK = "[secret]"
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _dense(lengths: list[int], ratio: float) -> list[tuple[int, int]]:
+    """The maximal stretches (from, to) of tokens with fewer than ``ratio``
+    characters each on average (maximal scoring segments, linear)."""
+    found: list[list] = []  # from, to, score before, score with
+    total = 0.0
+    for i, n in enumerate(lengths):
+        before, total = total, total + ratio - n
+        if n >= ratio:
+            continue
+        new = [i, i + 1, before, total]
+        while True:
+            j = len(found) - 1
+            while j >= 0 and found[j][2] >= new[2]:
+                j -= 1
+            if j < 0 or found[j][3] >= new[3]:
+                found.append(new)
+                break
+            new = [found[j][0], new[1], found[j][2], new[3]]
+            del found[j:]
+    return [(a, b) for a, b, _, _ in found]
+
+
 class Scanner:
     """``spans(text)``: (start, kind number, end) in order."""
 
@@ -57,6 +96,28 @@ class Scanner:
             return False
         return len(run) < self.max_ratio * len(self.tokens.encode_ordinary(run))
 
+    def joined(self, run: str) -> list[tuple[int, int]]:
+        """Random pieces and stretches of a run that is not random as a whole."""
+        out = [m.span() for m in PIECE.finditer(run) if len(m[0]) >= MIN_RUN and self.random(m[0])]
+        ends = [0]
+        for t in self.tokens.encode_ordinary(run):
+            ends.append(ends[-1] + len(self.tokens.decode_single_token_bytes(t)))
+        pieces = None
+        for i, j in _dense([b - a for a, b in zip(ends, ends[1:])], self.max_ratio):
+            a, b = ends[i], ends[j]
+            if pieces is None:
+                pieces = [m.span() for m in PIECE.finditer(run)]
+                starts, stops = [p[0] for p in pieces], [p[1] for p in pieces]
+            first, last = bisect.bisect_right(stops, a), bisect.bisect_left(starts, b) - 1
+            if first > last:
+                continue
+            whole = (starts[first], stops[last])
+            if whole[1] - whole[0] >= MIN_RUN and self.random(run[slice(*whole)]):
+                out.append(whole)
+            elif b - a >= MIN_RUN and self.random(run[a:b]):
+                out.append((a, b))
+        return _merged(out)
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         out = []
         low = text.lower()
@@ -65,14 +126,31 @@ class Scanner:
         if "AKIA" in text:
             out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
         out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-        base = sorted((a, b) for a, _, b in out)
+        base = _merged([(a, b) for a, _, b in out])
         at = 0
         for m in RUN.finditer(text):
             a, b = m.span()
             while at < len(base) and base[at][1] <= a:
                 at += 1
-            if not any(x < b and a < y for x, y in base[at : at + 8]) and self.random(m[0]):
+            taken = []
+            for x, y in base[at:]:
+                if x >= b:
+                    break
+                taken.append((x, y))
+            if not taken and self.random(m[0]):
                 out.append((a, 3, b))
+                continue
+            if DIGEST.match(m[0]) or UUID.match(m[0]):
+                continue
+            # what lies between reported spans, digests and identifiers
+            taken = _merged(taken + [(a + k.start(), a + k.end()) for k in KNOWN.finditer(m[0])])
+            for x, y in zip([a, *(y for _, y in taken)], [*(x for x, _ in taken), b]):
+                if y - x >= MIN_RUN:
+                    part = text[x:y]
+                    if self.random(part):
+                        out.append((x, 3, y))
+                    else:
+                        out += [(x + i, 3, x + j) for i, j in self.joined(part)]
         out.sort()
         return out
 
