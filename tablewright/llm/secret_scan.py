@@ -2,7 +2,7 @@
 
 A vocabulary learned from text spells words in few, long tokens; a random
 key falls apart into tokens of one or two characters.  Every run of key
-characters that mixes letter case or letters and digits is tokenised, and is
+characters with a letter in it, 20 or more long, is tokenised, and is
 reported if it has fewer than ``max_ratio`` characters per token.  In other
 runs a key may be joined to words: the pieces between / = _ - are tested, and
 the stretches of short tokens, wherever they stand.  A stretch is reported with
@@ -41,6 +41,7 @@ DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-f
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 PIECE = re.compile(r"[^/=_-]+")
 KNOWN = re.compile(rf"(?<![A-Za-z0-9+])(?:{UUID.pattern[:-2]}|{DIGEST.pattern[:-2]})(?![A-Za-z0-9+])")
+LETTER = re.compile("[A-Za-z]")
 MIN_RUN = 20
 MAX_RATIO = 2.0
 MASK = "[secret]"
@@ -90,9 +91,7 @@ class Scanner:
         self.max_ratio = max_ratio
 
     def random(self, run: str) -> bool:
-        mixed = (any("a" <= c <= "z" for c in run) + any("A" <= c <= "Z" for c in run)
-                 + any("0" <= c <= "9" for c in run))
-        if mixed < 2 or DIGEST.match(run) or UUID.match(run):
+        if not LETTER.search(run) or DIGEST.match(run) or UUID.match(run):
             return False
         return len(run) < self.max_ratio * len(self.tokens.encode_ordinary(run))
 

@@ -132,6 +132,17 @@ def test_random_keys_joined_to_words():
     assert [s for s in scanner.spans(path + k) if s[1] == 3] == [(len(path), 3, len(path + k))]
 
 
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase])
+def test_random_keys_of_letters_alone(letters):
+    import random
+
+    rnd = random.Random(5)
+    scanner = secret_scan._scanner(*secret_scan._settings(RANKS), secret_scan.MAX_RATIO)
+    keys = ["".join(rnd.choice(letters) for _ in range(32)) for _ in range(100)]
+    assert sum((4, 3, 36) in scanner.spans(f"key {k} here") for k in keys) >= 90
+    assert not scanner.spans("internationalization-of-applications 12345678901234567890-1234 ==========----------")
+
+
 def test_query_digests(spark):
     docs = {d.doc_id: d.text for d in read_table(spark, SF0001, "documents").collect()}
     for r in secret_scan.op9_secrets(spark, SF0001).collect():
