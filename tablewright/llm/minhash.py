@@ -330,8 +330,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     A class is a set of rows connected by links: texts whose sets of
     ``words``-word shingles (lower-cased, split at white space) have a Jaccard
     similarity of ``similarity`` or more.  ``class_id`` is the least
-    identifier of the class (null ones aside) and ``kept`` marks its row; of
-    rows that repeat that identifier, all.  A null text counts as empty; texts
+    identifier of the class (null ones aside) and ``kept`` marks the row that is
+    least by identifier (nulls last), then by ``key``; of rows that repeat both, all.  A null text counts as empty; texts
     without words are alike only if they are the same text.  Other columns
     are ignored; an empty table gives no rows.
     """
@@ -367,13 +367,15 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         merged = components(found).select(F.col("node").alias("root"), F.col("root").alias("to"))
         placed = placed.join(merged, "root", "left").withColumn("root", F.coalesce("to", "root"))
     placed = placed.select("id", "key", "root")
-    classes = placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    classes = placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"),
+                                         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
     several = classes.where("class_size > 1").withColumnRenamed("root", "r")
     return placed.join(several, placed.root == several.r, "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("r").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.when(F.col("r").isNull(), F.lit(True)).otherwise(F.col("id").eqNullSafe(F.col("class_id"))).alias("kept"),
+        F.when(F.col("r").isNull(), F.lit(True)).otherwise(
+            F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))).alias("kept"),
         "key",
     )
 

@@ -85,3 +85,12 @@ def test_stages_take_edge_rows(spark):
     assert len(kept) == len({lowered(t) for _, t in TEXTS})
     near = corpus_pipeline.near(spark, docs, SF0001).collect()
     assert len(near) == len(set(brute_classes(TEXTS)))
+
+
+def test_one_near_copy_stays_of_null_or_repeated_ids(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, words), (None, words + " x"), (7, "a " + words.upper().replace("W", "v")),
+            (7, words.replace("w", "v") + " y"), (8, words.replace("w", "v"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(set(brute_classes(rows))) == 2
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.near(spark, docs, SF0001).collect()) == ["7", "None"]
