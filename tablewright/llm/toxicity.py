@@ -47,9 +47,17 @@ EXACT, FUZZY, STEM = 1, 2, 3
 
 QUOTES = "\"“”„«»‹›‘’'`"
 _TRIM = re.compile(r"^\W+|\W+$")
+_PART = re.compile(r"[^\W_]+")
 _KNOWN = 1 << 18  # words kept per task
 
 
+def _words(chunk: str) -> list[str]:
+    """A run without white space, its outer marks aside, then its parts if marks stand inside."""
+    word = _TRIM.sub("", chunk)
+    parts = _PART.findall(word)
+    return [word] if parts == [word] else [word, *parts]
+
+
 class Lexicon:
     """The automaton; ``words`` maps every word seen to its kind of match."""
 
@@ -68,7 +76,7 @@ class Lexicon:
         self.sets: list[frozenset] = []
         self.delta: list[dict[str, int]] = []
         self.start = self._state(frozenset(self._skips({(0, 0)})))
-        self.known: dict[str, int] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def _add(self, term: str, fuzzy: bool) -> int:
         node = 0
@@ -127,13 +135,15 @@ class Lexicon:
             return FUZZY
         return 0
 
-    def kind(self, chunk: str) -> int:
-        """Match of a run without white space, its outer marks aside."""
+    def kinds(self, chunk: str) -> tuple[int, ...]:
+        """Matches of a run without white space: itself, its outer marks aside, or else its parts."""
         got = self.known.get(chunk)
         if got is None:
             if len(self.known) >= _KNOWN:
                 self.known.clear()
-            got = self.known[chunk] = self.match(_TRIM.sub("", chunk))
+            word, *parts = _words(chunk)
+            whole = self.match(word)
+            got = self.known[chunk] = (whole,) if whole else tuple(filter(None, map(self.match, parts)))
         return got
 
 
@@ -150,16 +160,16 @@ def _quoted(chunks: list[str], at: int) -> bool:
 def features(lexicon: Lexicon, text: str) -> list[float]:
     """Counts of matches by kind, outside and inside quotations, with what their windows add."""
     chunks = text.lower().split()
-    kinds = list(map(lexicon.kind, chunks))
-    places = [i for i, k in enumerate(kinds) if k] if any(kinds) else []
+    matches = [(i, k) for i, c in enumerate(chunks) for k in lexicon.kinds(c)]
+    places = [i for i, _ in matches]
     if not places:
         return [0.0] * 9
     out = {(k, q): 0 for k in (EXACT, FUZZY, STEM) for q in (False, True)}
     close = 0
-    for n, i in enumerate(places):
-        out[kinds[i], _quoted(chunks, i)] += 1
+    for n, (i, kind) in enumerate(matches):
+        out[kind, _quoted(chunks, i)] += 1
         close += n > 0 and i - places[n - 1] <= WINDOW
-    return [*(math.log1p(v) for v in out.values()), math.log1p(close), len(places) / len(chunks),
+    return [*(math.log1p(v) for v in out.values()), math.log1p(close), len(set(places)) / len(chunks),
             float(any(not q and v for (_, q), v in out.items()))]
 
 
@@ -194,7 +204,7 @@ def fit(texts: list[str], labels: list[int]) -> dict:
     toxic, clean, forms = Counter(), Counter(), {}
     own = _own_texts(texts, labels)
     for text, label in own:
-        seen = {w for w in (_TRIM.sub("", c) for c in text.lower().split()) if w}
+        seen = {w for c in text.lower().split() for w in _words(c) if w}
         terms = {(w, False) for w in seen}
         for w in seen:
             for n in STEM_LENGTHS:

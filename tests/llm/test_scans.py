@@ -216,6 +216,16 @@ def test_quotation_and_abuse_are_told_apart():
     assert (raw >= model["cut"]).tolist() == [True, True, False, False]
 
 
+def test_words_joined_by_marks_are_matched():
+    lexicon = toxicity.Lexicon(["idiot", "moron"], [], ["moron"])
+    for text in ("you,idiot", "moron/idiot", "what-an-idiot", "you...idiot...there", "so_idiot_ic"):
+        assert any(toxicity.features(lexicon, text)), text
+    assert not any(toxicity.features(lexicon, "a,quiet/day-by_the...sea"))
+    assert lexicon.kinds("moron/idiot") == (toxicity.EXACT, toxicity.EXACT)
+    texts, labels = toxic_texts()
+    assert "idiot" in toxicity.fit([t.replace(" ", ",") for t in texts], labels)["words"]
+
+
 def test_toxicity_edges(spark, edge_docs, no_docs):
     model = toxicity.fit(*toxic_texts())
     rows = toxicity.score_toxicity(edge_docs, model).collect()
