@@ -100,7 +100,7 @@ def scan_licenses(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         grams.join(places, same, "left")
         .groupBy("id", "row", "n_words", "template", "label", "base", "places",
                  (F.col("at") - F.col("place")).cast("long").alias("diagonal"))
-        .agg(F.count("place").alias("hits"), F.min("place").alias("low"), F.max("place").alias("high"))
+        .agg(F.collect_set("place").alias("covered"), F.min("place").alias("low"))
     )
     votes = keep_table(votes, "votes")  # read twice below; a row's number is thereby a fact
     # merge neighbouring diagonals of a template; base phrases stand on one diagonal alone
@@ -112,7 +112,7 @@ def scan_licenses(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .withColumn("span", F.sum("new").over(side))
         .groupBy("id", "row", "n_words", "template", "label", "base", "places", "span")
         .agg(F.min(F.col("diagonal") + F.col("low")).alias("start"), F.min("diagonal").alias("diagonal"),
-             F.sum("hits").alias("hits"))
+             F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("hits"))
         .withColumn("share", F.least(F.col("hits") / F.col("places"), F.lit(1.0)))
         .where(F.when(F.col("base"), F.col("hits") == F.col("places")).otherwise(F.col("share") >= min_cover))
     )

@@ -61,6 +61,13 @@ def test_licenses_on_given_documents(spark):
         (d.doc_id, *brute_license(d.text)) for d in docs.collect()}
 
 
+def test_repeated_grams_cover_one_place(spark):
+    row = license_scan.scan_licenses(spark.createDataFrame(
+        [(1, "apache license version " * 4), (2, "licensed under the apache license version 2 0")],
+        "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in row] == [("", 0.0), ("apache-2", 1.0)]
+
+
 def test_license_edges(edge_docs, no_docs):
     assert len(license_scan.scan_licenses(edge_docs).collect()) == len(TEXTS)
     assert license_scan.scan_licenses(no_docs).collect() == []
