@@ -10,6 +10,7 @@ from tablewright.llm.minhash import op3_near_duplicates
 from tablewright.llm.packing import op2_pack
 from tablewright.llm.quality import op10_quality
 from tablewright.llm.secret_scan import op9_secrets
+from tablewright.llm.token_counts import op11_token_counts
 from tablewright.llm.toxicity import op7_toxicity
 from tablewright.llm.warc import OP8_SQL, op8_warc
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op11_token_counts": op11_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
