@@ -8,6 +8,7 @@ from tablewright.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tablewright.llm.license_scan import OP4_SQL, op4_licenses
 from tablewright.llm.minhash import op3_near_duplicates
 from tablewright.llm.packing import op2_pack
+from tablewright.llm.periodic_runs import op12_periodic_runs
 from tablewright.llm.quality import op10_quality
 from tablewright.llm.secret_scan import op9_secrets
 from tablewright.llm.token_counts import op11_token_counts
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
     "op11_token_counts": op11_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
