@@ -18,14 +18,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def keep_table(df: DataFrame, label: str) -> DataFrame:
+def keep_table(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The written rows are a fact: whatever reads them later sees the same
     rows, and a lost executor costs no recomputation of what came before.
     """
     path = new_work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,12 +7,12 @@ the pre-token falls into.  The texts are cut into pre-tokens once:
 1. A slice of texts (``SLICE`` bytes) becomes one row: its distinct
    pre-tokens, most frequent first, and every document's frequencies as
    (place in that list, count) pairs, packed.  Written once.
-2. The slices' lists are dealt by pre-token; each distinct pre-token of the
-   whole table is merged once, for its number of pieces, and joined to the
-   slices that hold it.  A frequent pre-token is one row a slice, so none is
-   hot.
-3. The numbers go back to their slice, where every document's sum is one
-   weighted sum over its pairs.
+2. The slices' lists are dealt by pre-token; the first row of each distinct
+   pre-token of the whole table is merged, for its number of pieces, and the
+   other rows take its number.  A frequent pre-token is one row a slice, so
+   none is hot, and one exchange serves.
+3. The numbers join their slice's frequencies, where every document's sum is
+   one weighted sum over its pairs.
 
 Pre-tokens are cut by the pattern of byte-level vocabularies.  Its classes
 depend on the Unicode version, so texts with characters outside the
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.errors import CapabilityError
@@ -168,10 +168,11 @@ def slice_frequencies(df: DataFrame, raw: str) -> DataFrame:
 
 
 def piece_counts(raw: str):
-    """Column function: pre-token to its number of pieces."""
-    @F.pandas_udf("int")
-    def count(of):
-        return of.map(pieces(raw).size)
+    """Column function: pre-token to its number of pieces (null to null)."""
+    @F.arrow_udf("int")
+    def count(of: pa.Array) -> pa.Array:
+        size = pieces(raw).size
+        return pa.array([None if p is None else size(p) for p in of.to_pylist()], pa.int32())
 
     return count
 
@@ -186,16 +187,18 @@ def count_tokens(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text
     """
     raw = read_spec(vocabulary)
     src = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col))
-    cut = keep_table(slice_frequencies(src, raw), "pre-tokens")
+    cut = keep_table(slice_frequencies(src, raw), "pre-tokens", compression="zstd")
+    same = Window.partitionBy("pre_token").orderBy("slice")
     held = cut.select("slice", F.posexplode("pre_tokens").alias("place", "pre_token"))
-    sizes = held.groupBy("pre_token").agg(F.lit(1).alias("one")).select(
-        "pre_token", piece_counts(raw)("pre_token").alias("size"))
-    sized = held.join(sizes, "pre_token").select("slice", "place", "size")
+    first = held.withColumn("todo", F.when(F.row_number().over(same) == 1, F.col("pre_token")))
+    sized = first.withColumn("size", F.last(piece_counts(raw)("todo"), ignorenulls=True).over(same))
+    # place and size in one number
+    sized = sized.select(F.col("slice").alias("of"), (F.shiftleft(F.col("place").cast("long"), 32) + F.col("size")).alias("sized"))
 
     def total(docs: pa.Table, sizes: pa.Table) -> pa.Table:
         ids, n_bytes, n_tokens = [], [], []
-        size = np.zeros(len(sizes), np.int64)
-        size[sizes.column("place").to_numpy()] = sizes.column("size").to_numpy()
+        size, sized = np.zeros(len(sizes), np.int64), sizes.column("sized").to_numpy()
+        size[sized >> 32] = sized & 0xFFFFFFFF
         for row in docs.to_pylist():
             step, count = unpack(row["pairs"])
             ends = np.array(row["ends"], np.int64)
@@ -211,7 +214,6 @@ def count_tokens(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text
                          "n_tokens": pa.array(np.concatenate(n_tokens or [np.empty(0, np.int64)]), pa.int64())})
 
     docs = cut.drop("pre_tokens")
-    sized = sized.withColumnRenamed("slice", "of")
     return docs.groupBy("slice").cogroup(sized.groupBy("of")).applyInArrow(
         total, f"{id_col} long, n_bytes long, n_tokens long")
 
