@@ -11,6 +11,7 @@ from tablewright.llm.packing import op2_pack
 from tablewright.llm.periodic_runs import op12_periodic_runs
 from tablewright.llm.quality import op10_quality
 from tablewright.llm.secret_scan import op9_secrets
+from tablewright.llm.spelling_variants import op13_spelling_variants
 from tablewright.llm.token_counts import op11_token_counts
 from tablewright.llm.toxicity import op7_toxicity
 from tablewright.llm.warc import OP8_SQL, op8_warc
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_token_counts": op11_token_counts,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -18,7 +18,7 @@ from tests.llm.test_scans import brute_secrets
 
 
 def test_all_are_registered():
-    assert [sum(q.startswith(f"op{n}_") for q in entry.queries()) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in entry.queries()) for n in range(1, 14)] == [1] * 13
     assert set(ORACLE_SQL) <= set(QUERIES) <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "secrets", "packing"]
 

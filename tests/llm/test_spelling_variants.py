@@ -1,0 +1,141 @@
+"""Spelling variants against brute force."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tablewright.llm import spelling_variants as sv
+from tablewright.llm.common import read_table
+from tests.conftest import SF0001
+from tests.llm.conftest import LONG
+
+
+def one_change(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    k = 0
+    while k < len(a) and a[k] == b[k]:
+        k += 1
+    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
+
+
+def brute_variants(counts, ratio=2):
+    """word -> (form, root, n, n_near, form_n); candidates share what a deletion leaves."""
+    left = {}
+    for w in counts:
+        for cut in {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}:
+            left.setdefault(cut, []).append(w)
+    near = {w: set() for w in counts}
+    for group in left.values():
+        for a in group:
+            near[a].update(b for b in group if one_change(a, b))
+    form = {}
+    for w, others in near.items():
+        top = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[w] = top if top is not None and counts[top] >= ratio * counts[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), counts[w], len(near[w]), counts[form[w]] if form[w] else None) for w in counts}
+
+
+def planted_counts(rows):
+    counts = Counter()
+    for i, text in rows:
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for word in re.findall("[a-zÀ-ÿ]+", text):
+            h = zlib.crc32(f"{i}:{word}".encode()) if i is not None else 1
+            if h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def as_dict(df):
+    return {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in df.collect()}
+
+
+words = st.text("abcé", min_size=2, max_size=7)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(words, min_size=1, max_size=25), st.lists(words, min_size=1, max_size=12))
+def test_search_equals_brute_force(vocabulary, asked):
+    names = sorted(vocabulary)
+    letters = np.unique(np.frombuffer("".join(names + asked).encode("utf-32-le"), np.uint32))
+    index = sv.BidirectionalIndex(names, letters)
+    got = [set(zip(*(x.tolist() for x in sv.search(index, asked, letters, half)))) for half in (sv.FIRST, sv.SECOND)]
+    for i, w in enumerate(asked):
+        h = len(w) // 2
+        for j, v in enumerate(names):
+            one = one_change(w, v)
+            assert ((i, j) in got[0]) == (one and v.startswith(w[:h]))
+            assert ((i, j) in got[1]) == (one and v.endswith(w[h:]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab", min_size=1, max_size=8), st.text("ab", min_size=1, max_size=8), st.integers(0, 8))
+def test_routing_never_misses(word, other, m):
+    exact = len(word) // 2
+    if (word == other or one_change(word, other)) and other.startswith(word[:exact]):
+        assert sv.may_hold(other[:m], word, exact)
+
+
+def test_many_shards_and_a_shared_beginning(spark, monkeypatch):
+    """A third of the words share their beginning; ranges of 40 words."""
+    rng = np.random.default_rng(3)
+    names = {"".join(rng.choice(list("abcd"), rng.integers(5, 8))) for _ in range(500)}
+    names |= {"prefixed" + "".join(rng.choice(list("abü"), rng.integers(1, 6))) for _ in range(300)}
+    counts = {w: int(rng.integers(3, 400)) for w in names}
+    monkeypatch.setattr(sv, "SHARD", 40)
+    vocabulary = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.word: (r.n, r.n_near, r.form_n, r.form) for r in sv.neighbours(vocabulary).collect()}
+    assert len(got) == len(counts)
+    for w, row in got.items():
+        near = [v for v in counts if one_change(w, v)]
+        top = min(near, key=lambda v: (-counts[v], v), default=None)
+        assert row == (counts[w], len(near), counts.get(top), top)
+
+
+def test_chains_and_edges(spark, edge_docs, no_docs):
+    assert sv.spelling_variants(no_docs).collect() == []
+    got = as_dict(sv.spelling_variants(edge_docs))
+    assert got["quick"] == (None, "quick", 20_000, 0, None) and "jumps" in got and "the" not in got
+    text = " ".join(["Colour"] * 50 + ["COLOR"] * 20 + ["colré"] * 6 + ["colrré"] * 3 + ["Études"] * 4 + ["études"] * 4)
+    docs = spark.createDataFrame([(1, text), (None, text), (2, None), (2, "")], "doc_id long, text string")
+    got = as_dict(sv.spelling_variants(docs))
+    assert got["color"] == ("colour", "colour", 40, 1, 100)
+    assert got["colrré"] == ("colré", "colré", 6, 1, 12)
+    assert got["études"] == (None, "études", 8, 1, None)  # as frequent as its neighbour
+    with pytest.raises(ValueError):
+        sv.spelling_variants(docs, ratio=1)
+
+
+def test_roots_of_long_chains(spark):
+    chain = [(f"w{i:03d}", f"w{i + 1:03d}") for i in range(100)]
+    got = sv.roots(spark.createDataFrame(chain, "word string, form string")).collect()
+    assert {r.root for r in got} == {"w100"} and len(got) == 100
+
+
+def test_very_long_words(spark):
+    text = " ".join(["a" * 3000] * 3 + ["a" * 3001] * 9 + ["b" + "a" * 2999] * 4 + [LONG[:50]])
+    got = as_dict(sv.spelling_variants(spark.createDataFrame([(1, text)], "doc_id long, text string")))
+    assert got["a" * 3000] == ("a" * 3001, "a" * 3001, 3, 2, 9)
+    assert got["b" + "a" * 2999] == (None, "b" + "a" * 2999, 4, 1, None)
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in read_table(spark, SF0001, "documents").collect()]
+    got = as_dict(sv.op13_spelling_variants(spark, SF0001))
+    assert got == brute_variants(planted_counts(rows))
+    assert any(form for form, *_ in got.values())

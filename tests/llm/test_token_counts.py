@@ -1,0 +1,78 @@
+"""Token counts against the library."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tablewright.errors import CapabilityError
+from tablewright.llm import token_counts as tc
+from tablewright.llm.bpe import tokenizer_path
+from tablewright.llm.common import read_table
+from tests.conftest import SF0001
+from tests.llm.conftest import TEXTS
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+RAW = tc.read_spec(PATH)
+
+
+def library(texts):
+    tok = Tokenizer.from_file(PATH)
+    return [len(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+def own(text):
+    cut = tc.pieces(RAW)
+    found, added = cut.pre_tokens(text)
+    return sum(map(cut.size, found)) + added
+
+
+def test_settled_blocks_are_cut_alike():
+    """Every character of the blocks after and before letters, digits, marks and spaces."""
+    cut = tc.Pieces(RAW)
+    for a, b in tc.SETTLED:
+        for c in map(chr, range(a, b + 1)):
+            text = f"a{c}b 1{c}2 !{c}? {c}{c}x  {c} "
+            assert [text[i:j] for _, (i, j) in cut.library(text)] == cut.find(text), hex(ord(c))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text(st.characters(exclude_categories=["Cs"]), max_size=60), st.text(" \t\n\x1c\x85\xa0'stred<|endoftext|>é漢1", max_size=80)))
+def test_counts_equal_the_library(text):
+    assert own(text) == library([text])[0]
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext", "we'll 'tis  x",
+                                  "  \n\n  a", " " * 5000, "a" * 50_000, "ᲉꟚ x͸", "1٣²", "🏽👩‍👩"])
+def test_single_texts(text):
+    assert own(text) == library([text])[0]
+
+
+def test_edges(spark, edge_docs, no_docs):
+    assert tc.count_tokens(no_docs, PATH).collect() == []
+    got = tc.count_tokens(edge_docs, PATH).collect()
+    texts = [t or "" for _, t in TEXTS]
+    want = [(i, len(t.encode()), n) for (i, _), t, n in zip(TEXTS, texts, library(texts))]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_many_slices(spark, monkeypatch):
+    """Slices of a few hundred bytes, a text above the size of a slice, empty slices."""
+    texts = ["the cat sat " * (i % 40) + f"on {i * 37}" * (i % 3) for i in range(300)]
+    cut = tc.slices
+    monkeypatch.setattr(tc, "slices", lambda batch, column, size: cut(batch, column, 400))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_tokens for r in tc.count_tokens(docs, PATH).collect()}
+    assert got == dict(enumerate(library(texts)))
+
+
+def test_other_models_are_refused():
+    with pytest.raises(CapabilityError):
+        tc.read_spec(tokenizer_path("word_bpe_49k.json"))
+
+
+def test_query(spark):
+    rows = {r.doc_id: r.text or "" for r in read_table(spark, SF0001, "documents").collect()}
+    n = dict(zip(rows, library(list(rows.values()))))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in tc.op11_token_counts(spark, SF0001).collect()}
+    assert got == {i: (len(t.encode()), n[i], n[i] > 512) for i, t in rows.items()}
