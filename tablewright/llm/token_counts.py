@@ -7,10 +7,10 @@ the pre-token falls into.  The texts are cut into pre-tokens once:
 1. A slice of texts (``SLICE`` bytes) becomes one row: its distinct
    pre-tokens, most frequent first, and every document's frequencies as
    (place in that list, count) pairs, packed.  Written once.
-2. The slices' lists are dealt by pre-token; the first row of each distinct
-   pre-token of the whole table is merged, for its number of pieces, and the
-   other rows take its number.  A frequent pre-token is one row a slice, so
-   none is hot, and one exchange serves.
+2. The slices' lists are dealt by pre-token and sorted; each distinct
+   pre-token of the whole table is merged once, for its number of pieces, and
+   the slices that hold it stand behind one another.  A frequent pre-token is
+   one row a slice, so none is hot.  A task packs its numbers by slice.
 3. The numbers join their slice's frequencies, where every document's sum is
    one weighted sum over its pairs.
 
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.errors import CapabilityError
@@ -38,6 +38,7 @@ from tablewright.llm.bpe import WHITE_SPACE, byte_symbols, tokenizer_path
 from tablewright.llm.common import keep_table, read_table, slices, text_or_empty
 
 SLICE = 16 << 20  # bytes of text in a slice
+PACKED = 1 << 20  # numbers a task packs together
 LIMIT = 512
 
 # The pattern of byte-level vocabularies, white space spelled out.
@@ -167,14 +168,44 @@ def slice_frequencies(df: DataFrame, raw: str) -> DataFrame:
     return df.mapInArrow(run, SLICES)
 
 
-def piece_counts(raw: str):
-    """Column function: pre-token to its number of pieces (null to null)."""
-    @F.arrow_udf("int")
-    def count(of: pa.Array) -> pa.Array:
+def piece_counts(held: DataFrame, raw: str) -> DataFrame:
+    """``slice``, ``place``, ``pre_token`` to ``of`` (a slice) and ``sized``:
+    a number per pre-token, its place in the high and its number of pieces in
+    the low 32 bits."""
+    def run(batches):
         size = pieces(raw).size
-        return pa.array([None if p is None else size(p) for p in of.to_pylist()], pa.int32())
+        token, of_token = None, 0
+        of: list[np.ndarray] = []
+        sized: list[np.ndarray] = []
+        rows = 0
+
+        def flush():
+            at, what = np.concatenate(of), np.concatenate(sized)
+            order = np.lexsort((what, at))
+            at, what = at[order], what[order]
+            start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[start, len(at)].astype(np.int32)), pa.array(what))
+            of.clear()
+            sized.clear()
+            return pa.RecordBatch.from_arrays([pa.array(at[start]), lists], names=["of", "sized"])
 
-    return count
+        for batch in batches:
+            n = []
+            for p in batch.column(2).to_pylist():
+                if p != token:
+                    token, of_token = p, size(p)
+                n.append(of_token)
+            of.append(batch.column(0).to_numpy())
+            sized.append(batch.column(1).to_numpy().astype(np.int64) << 32 | np.array(n, np.int64))
+            rows += len(n)
+            if rows >= PACKED:
+                yield flush()
+                rows = 0
+        if rows:
+            yield flush()
+
+    dealt = held.repartition("pre_token").sortWithinPartitions("pre_token")
+    return dealt.select("slice", "place", "pre_token").mapInArrow(run, "of long, sized array<long>")
 
 
 def count_tokens(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,16 +219,12 @@ def count_tokens(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text
     raw = read_spec(vocabulary)
     src = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col))
     cut = keep_table(slice_frequencies(src, raw), "pre-tokens", compression="zstd")
-    same = Window.partitionBy("pre_token").orderBy("slice")
-    held = cut.select("slice", F.posexplode("pre_tokens").alias("place", "pre_token"))
-    first = held.withColumn("todo", F.when(F.row_number().over(same) == 1, F.col("pre_token")))
-    sized = first.withColumn("size", F.last(piece_counts(raw)("todo"), ignorenulls=True).over(same))
-    # place and size in one number
-    sized = sized.select(F.col("slice").alias("of"), (F.shiftleft(F.col("place").cast("long"), 32) + F.col("size")).alias("sized"))
+    sized = piece_counts(cut.select("slice", F.posexplode("pre_tokens").alias("place", "pre_token")), raw)
 
     def total(docs: pa.Table, sizes: pa.Table) -> pa.Table:
         ids, n_bytes, n_tokens = [], [], []
-        size, sized = np.zeros(len(sizes), np.int64), sizes.column("sized").to_numpy()
+        sized = sizes.column("sized").combine_chunks().flatten().to_numpy()
+        size = np.zeros(len(sized), np.int64)
         size[sized >> 32] = sized & 0xFFFFFFFF
         for row in docs.to_pylist():
             step, count = unpack(row["pairs"])
