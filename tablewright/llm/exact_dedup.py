@@ -28,17 +28,17 @@ from tablewright.llm.common import keep_table, read_table
 
 FAN_IN = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Letters beyond ASCII that have a lower case (capitals, title case, letter numbers, circled letters).
-OTHER_CAPITALS = r"[[\p{Lu}\p{Lt}\p{Nl}\p{So}]&&[^\x00-\x7F]]"
+# Whatever is not ASCII, nor of blocks that hold no capitals (Latin-1 marks and small letters, dashes and quotes, Han).
+MAYBE_CAPITALS = r"[^\x00-\x7F\u00A0-\u00BF\u00DF-\u00FF\u2010-\u2027\u4E00-\u9FA5]"
 
 
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed.
 
     ``lower`` does just that, and much faster than ``translate``, wherever no
-    other capital occurs.
+    other capital can occur.
     """
-    return F.when(text.rlike(OTHER_CAPITALS), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+    return F.when(text.rlike(MAYBE_CAPITALS), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
 def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablewright.llm.common import read_table
@@ -180,3 +181,18 @@ def test_near_on_given_documents(spark):
 
 def test_near_of_nothing(no_docs):
     assert near_duplicates(no_docs).collect() == []
+
+
+def test_every_code_point(spark):
+    """A-Z become a-z, whatever stands beside them; nothing else changes."""
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"A{chr(c)}b" for c in points]
+    df = spark.createDataFrame(pa.table({"t": texts})).select("t", ascii_lower(F.col("t")).alias("l"))
+    wrong = df.where(F.col("l") != F.translate("t", UPPER, LOWER))
+    assert df.count() == len(texts) and wrong.isEmpty()
+
+
+def test_letters_of_newer_unicode_versions_stay_apart(spark):
+    docs = spark.createDataFrame([(1, "Ⱟ x"), (2, "ⱟ x"), (3, "ⱟ X")], "doc_id long, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs).collect()}
+    assert got == {1: (1, 1, True), 2: (3, 2, False), 3: (3, 2, True)}
