@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tablewright import catalog
 from tablewright.operators.filters import where_sql
+from tablewright.operators import profile as profiles
 from tablewright.operators.preview import preview
 from tablewright.operators.windows import ranked_running_total
 from tablewright.params import JobParam, bind
@@ -30,8 +31,11 @@ from tablewright.sinks.avro import write_avro
 from tablewright.sinks.csv import write_csv
 from tablewright.sinks.delimited import write_delimited
 from tablewright.sinks.sequence import write_sequence
+from tablewright.sinks.verify import verified_insert_overwrite
 from tablewright.sources.avro import read_avro
-from tablewright.sources.csv import read_csv_typed
+from tablewright.sources.csv import read_csv_header, read_csv_typed
+from tablewright.sources.multiline import read_csv_multiline
+from tablewright.sources.quarantine import quarantine_csv
 from tablewright.sources.sequence import read_sequence
 from tablewright.streaming import incremental_filter_csv_copy
 
@@ -126,6 +130,62 @@ def _csv_overwrite_roundtrip(spark: SparkSession, sf_dir: str, src: str) -> Data
 csv_overwrite_roundtrip = Staged(prepare=_staged_rows("events"), run=_csv_overwrite_roundtrip)
 
 
+# quoted line breaks, in files that are each read by several tasks (SRC-1)
+MULTILINE_FROM_EVENTS = [
+    "event_id", "ts", "user_id",
+    "CASE WHEN event_id % 3 = 0 THEN concat(event_type, chr(10), props, chr(10)) ELSE event_type END AS event_type",
+    "value",
+    "CASE WHEN event_id % 5 = 0 THEN concat('\"', chr(10), chr(10), ',', props) ELSE props END AS props",
+]
+
+
+def _multiline_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A quarter as many files as the session has cores."""
+    events = table(spark, sf_dir, "events").repartition(max(1, spark.sparkContext.defaultParallelism // 4))
+    return _stage_csv(spark, events.selectExpr(*MULTILINE_FROM_EVENTS), "multiline-csv", header=True)
+
+
+csv_multiline_split = Staged(
+    prepare=_multiline_csv,
+    run=lambda spark, sf_dir, src: read_csv_multiline(
+        spark, src, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+        header=True),
+)
+
+
+# --- malformed records apart (SRC-1, SRC-2) ---------------------------------------
+
+QUARANTINE_SCHEMA = "orderkey bigint, line int, flag string, quantity int"
+_GOOD_LINE = ("concat_ws(',', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), "
+              "concat('\"a, \"\"', l_returnflag, '\"\"\"'), CAST(CAST(l_quantity AS INT) AS STRING))")
+LINES_FROM_LINEITEM = ("CASE l_orderkey % 50 WHEN 0 THEN concat(CAST(l_orderkey AS STRING), ',', l_returnflag) "
+                       f"WHEN 1 THEN concat({_GOOD_LINE}, ',') WHEN 2 THEN concat('x', {_GOOD_LINE}) ELSE {_GOOD_LINE} END")
+
+
+def _faulty_lines(spark: SparkSession, sf_dir: str) -> str:
+    path = new_work_dir(spark, "faulty-csv")
+    dealt_table(spark, sf_dir, "lineitem").selectExpr(f"{LINES_FROM_LINEITEM} AS value").write.text(path)
+    return path
+
+
+def _csv_quarantine(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    """Good rows and rejects in one frame, the rejects with their reason."""
+    found = quarantine_csv(spark, src, QUARANTINE_SCHEMA)
+    return found.good.unionByName(found.rejects.drop("file"), allowMissingColumns=True)
+
+
+csv_quarantine = Staged(prepare=_faulty_lines, run=_csv_quarantine)
+
+
+# --- PRV-3 over text: the narrowest type of every column ---------------------------
+
+text_profile = Staged(
+    prepare=lambda spark, sf_dir: _stage_csv(spark, dealt_table(spark, sf_dir, "lineitem"), "lineitem-text", header=True),
+    # the estimate of distinct values has no counterpart in SQL; a test measures its error
+    run=lambda spark, sf_dir, src: profiles.profile(read_csv_header(spark, src)).drop("distinct"),
+)
+
+
 # --- J4: headerless CSV → columns by position ---------------------------------
 
 WIDE_CSV_WIDTH = 62
@@ -272,6 +332,17 @@ snapshot_copy = Staged(
 )
 
 
+def _verified_table_copy(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    """SNK-4 with the written table compared to what was written."""
+    dst = unique_name("verified_archive")
+    catalog.create_table(spark, dst, SNAPSHOT_COLUMNS, location=new_work_dir(spark, dst))
+    verified_insert_overwrite(spark.table(src), dst, source_tables=[src])
+    return spark.table(dst)
+
+
+verified_table_copy = Staged(prepare=snapshot_copy.prepare, run=_verified_table_copy)
+
+
 def wide_document_exprs(dialect: str) -> list[str]:
     """The 163 document-archive columns derived from one orders row.
 
@@ -418,6 +489,10 @@ QUERIES: dict[str, Staged] = {
     "typed_expr_filter": typed_expr_filter,
     "preview_rows": preview_rows,
     "window_rank_running_total": window_rank_running_total,
+    "csv_multiline_split": csv_multiline_split,
+    "csv_quarantine": csv_quarantine,
+    "text_profile": text_profile,
+    "verified_table_copy": verified_table_copy,
 }
 
 
@@ -436,7 +511,50 @@ def _wide_csv_oracle() -> str:
         + " FROM lineitem"
 
 
+def _quarantine_oracle() -> str:
+    short, more, bad = ("l_orderkey % 50 = 0", "l_orderkey % 50 = 1", "l_orderkey % 50 = 2")
+    reject = f"({short} OR {more} OR {bad})"
+    columns = {"orderkey": "l_orderkey", "line": "l_linenumber", "flag": "concat('a, \"', l_returnflag, '\"')",
+               "quantity": "CAST(l_quantity AS INT)"}
+    return "SELECT " + ", ".join(f"CASE WHEN NOT {reject} THEN {e} END AS {n}" for n, e in columns.items()) + (
+        f", CASE WHEN {short} THEN '2 of 4 fields' WHEN {more} THEN '5 fields, not 4' "
+        f"WHEN {bad} THEN 'orderkey: not bigint' END AS reason, "
+        f"CASE WHEN {reject} THEN {LINES_FROM_LINEITEM} END AS record FROM lineitem")
+
+
+def _profile_oracle() -> str:
+    """The profile of one text column after the other."""
+    text = {n: f"CAST({n} AS VARCHAR)" for n in (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus")} | {"l_shipdate": "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f')"}
+    whole = "length(split_part(ltrim(t, '-'), '.', 1))"
+    scale = "length(split_part(t, '.', 2))"
+    out = []
+    for i, (name, expr) in enumerate(text.items(), start=1):
+        def every(pattern: str, kind: str) -> str:
+            return f"bool_and(regexp_matches(t, '{pattern}') AND TRY_CAST(t AS {kind}) IS NOT NULL)"
+        number = f"bool_and(regexp_matches(t, '{profiles.NUMBER}'))"
+        out.append(
+            f"SELECT {i} AS ordinal, '{name}' AS name, CASE WHEN count(t) = 0 THEN 'void' "
+            "WHEN bool_and(lower(t) IN ('true', 'false')) THEN 'boolean' "
+            f"WHEN {every(profiles.INTEGER, 'INTEGER')} THEN 'int' WHEN {every(profiles.INTEGER, 'BIGINT')} THEN 'bigint' "
+            f"WHEN bool_and(regexp_matches(t, '{profiles.DECIMAL}')) AND max({whole}) + max({scale}) <= 38 "
+            f"THEN concat('decimal(', max({whole}) + max({scale}), ',', max({scale}), ')') "
+            f"WHEN {every(profiles.NUMBER, 'DOUBLE')} THEN 'double' WHEN {every(profiles.DATE, 'DATE')} THEN 'date' "
+            f"WHEN {every(profiles.TIMESTAMP, 'TIMESTAMP')} THEN 'timestamp' ELSE 'string' END AS type, "
+            "count(*) AS rows, count(*) - count(t) AS nulls, min(t) AS min_text, max(t) AS max_text, "
+            f"CASE WHEN {number} THEN min(TRY_CAST(t AS DOUBLE)) END AS min_number, "
+            f"CASE WHEN {number} THEN max(TRY_CAST(t AS DOUBLE)) END AS max_number, max(length(t)) AS longest "
+            f"FROM (SELECT {expr} AS t FROM lineitem)")
+    return " UNION ALL ".join(out)
+
+
 ORACLE_SQL: dict[str, str] = {
+    "csv_multiline_split": "SELECT " + ", ".join(MULTILINE_FROM_EVENTS) + " FROM events",
+    "csv_quarantine": _quarantine_oracle(),
+    "text_profile": _profile_oracle(),
+    "verified_table_copy": "SELECT " + ", ".join(
+        f"CAST({n} AS {'TIMESTAMP' if t == 'timestamp' else t.upper()}) AS {n}" for n, t in SNAPSHOT_COLUMNS) + " FROM orders",
     "csv_header_filter": f"SELECT {_customer_as_text()} FROM customer WHERE c_mktsegment = 'BUILDING'",
     "csv_header_filter_incremental": (f"SELECT {_customer_as_text()} FROM customer "
                                       "WHERE c_mktsegment = 'BUILDING'"),

@@ -1,0 +1,75 @@
+"""Malformed CSV records set aside: every record is kept or rejected, with a reason."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import write_text
+from tablewright.errors import TableJobError
+from tablewright.session import new_work_dir
+from tablewright.sources.quarantine import n_fields, quarantine_csv
+
+SCHEMA = "id bigint, name string, price decimal(6,2), day date"
+LINES = {
+    '1,a,1.50,2024-01-01': None,
+    '2,"b, ""c""",2.5,2024-02-29': None,
+    '3,,,': None,
+    '4,d,1.5': "3 of 4 fields",
+    '5': "1 of 4 fields",
+    '6,e,1,2024-01-01,': "5 fields, not 4",
+    '7,"x,y",1,2024-01-01,z,z': "6 fields, not 4",
+    'x,f,1,2024-01-01': "id: not bigint",
+    '9,g,cheap,2024-01-01': "price: not decimal(6,2)",
+    '10,h,1,2023-02-29': "day: not date",
+    '11,i,12345678,2024-01-01': "price: not decimal(6,2)",
+    '12,жук,1,2024-01-01': None,
+}
+
+
+def test_reasons(spark, workdir):
+    write_text(f"{workdir}/a.csv", "\n".join(LINES) + "\n\n")
+    found = quarantine_csv(spark, workdir, SCHEMA)
+    rejects = {r.record: r.reason for r in found.rejects.collect()}
+    assert rejects == {k: v for k, v in LINES.items() if v}
+    assert sorted(r.id for r in found.good.collect()) == [1, 2, 3, 12]
+    assert (found.read, found.kept, found.rejected) == (12, 4, 8)
+    assert found.good.columns == ["id", "name", "price", "day"]
+    assert {r.name for r in found.good.collect()} == {"a", 'b, "c"', None, "жук"}
+
+
+def test_good_and_rejected_are_all_that_was_read(spark, workdir):
+    """Several files, many tasks, a third of the records bad."""
+    n = 9_000
+    lines = spark.range(n, numPartitions=7).selectExpr(
+        "CASE id % 3 WHEN 0 THEN concat(id, ',ok,1.00,2024-05-05') WHEN 1 THEN concat(id, ',ok,2.00,2024-05-06') ELSE concat(id, ',bad') END AS value")
+    lines.write.text(workdir)
+    found = quarantine_csv(spark, workdir, SCHEMA)
+    assert (found.read, found.kept, found.rejected) == (n, 6000, 3000) == (
+        found.good.count() + found.rejects.count(), found.good.count(), found.rejects.count())
+    assert found.rejects.select("file").distinct().count() == 7
+    assert found.rejects.where("NOT file LIKE '%/part-%' OR reason != '2 of 4 fields'").isEmpty()
+
+
+def test_headers_limits_and_empty_input(spark, workdir):
+    write_text(f"{workdir}/a.csv", "id,name,price,day\n" + "\n".join(LINES))
+    found = quarantine_csv(spark, workdir, SCHEMA, header=True, max_rejected=8)
+    assert found.read == 12
+    target = new_work_dir(spark, "kept-rejects")
+    with pytest.raises(TableJobError, match="8 of 12 records rejected, more than 7"):
+        quarantine_csv(spark, workdir, SCHEMA, target, header=True, max_rejected=7)
+    assert spark.read.parquet(target).count() == 12  # nothing is lost by the refusal
+    empty = new_work_dir(spark, "empty-csv")
+    write_text(f"{empty}/a.csv", "")
+    none = quarantine_csv(spark, empty, SCHEMA)
+    assert (none.read, none.kept, none.rejected, none.good.count(), none.rejects.count()) == (0, 0, 0, 0, 0)
+
+
+def test_names_that_clash(spark, workdir):
+    write_text(f"{workdir}/a.csv", "1,2,3\n1,2\n")
+    found = quarantine_csv(spark, workdir, "rejected int, record string, file int")
+    assert [tuple(r) for r in found.good.collect()] == [(1, "2", 3)] and found.rejected == 1
+
+
+def test_fields_are_counted_outside_quotes(spark):
+    texts = {"": 1, "a": 1, "a,b": 2, '"a,b",c': 2, '"a"",""b",c,': 3, ',,': 3}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", n_fields(F.col("t"), ",").cast("int").alias("n"))
+    assert {r.t: r.n for r in rows.collect()} == texts

@@ -1,0 +1,89 @@
+"""Verified copies: a lost, doubled or changed row is noticed, by column group."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright import catalog
+from tablewright.errors import CapabilityError, SchemaMismatchError
+from tablewright.schemas import WIDE_DOCUMENT_COLUMNS
+from tablewright.session import new_work_dir, unique_name
+from tablewright.sinks.sequence import write_sequence
+from tablewright.sinks.verify import (
+    VerificationError, column_groups, fingerprint, verified_insert_overwrite, verified_write)
+from tablewright.sources.sequence import read_sequence
+
+
+
+@pytest.fixture()
+def rows(spark):
+    return spark.range(500, numPartitions=5).selectExpr(
+        "id", "CASE WHEN id % 7 > 0 THEN concat('t', id % 13) END AS a", "id / 3 AS b", "CAST(id AS DECIMAL(20,3)) AS c",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS d",
+        "array(CAST(id AS INT), NULL) AS e", "named_struct('x', 1, 'y', a) AS f", "CASE id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS g")
+
+
+GROUPS = [["id"], ["a", "b"], ["c", "d", "e"], ["f", "g"]]
+
+
+def copied(spark, rows, change=lambda df: df):
+    path = new_work_dir(spark, "verified")
+    return verified_write(rows, lambda df: change(df).write.parquet(path), lambda: spark.read.parquet(path), GROUPS)
+
+
+def test_an_exact_copy_passes_in_any_order(spark, rows):
+    assert copied(spark, rows) == 500
+    assert copied(spark, rows, lambda df: df.repartition(3, "a").sortWithinPartitions(F.desc("id"))) == 500
+    assert copied(spark, rows.where("false")) == 0
+
+
+@pytest.mark.parametrize("change, bad", [
+    (lambda df: df.where("id != 77"), GROUPS),
+    (lambda df: df.unionByName(df.where("id = 77")), GROUPS),
+    (lambda df: df.where("id != 77").unionByName(df.where("id = 78")), GROUPS),
+    (lambda df: df.withColumn("a", F.when(F.col("id") == 77, F.lit("other")).otherwise(F.col("a"))), GROUPS[1:2]),
+    (lambda df: df.withColumn("c", F.when(F.col("id") == 77, F.lit(None)).otherwise(F.col("c"))), GROUPS[2:3]),
+    (lambda df: df.withColumn("g", F.coalesce("g", F.lit(False))), GROUPS[3:]),
+    (lambda df: df.withColumn("a", F.coalesce("a", F.lit(""))), GROUPS[1:2]),
+])
+def test_a_difference_is_named(spark, rows, change, bad):
+    with pytest.raises(VerificationError) as e:
+        copied(spark, rows, change)
+    assert e.value.groups == bad
+
+
+def test_values_that_change_places_are_noticed(spark):
+    """Null and value swapped between columns, and values swapped between rows."""
+    a = spark.createDataFrame([(1, None, 5), (2, 7, 8)], "k int, x int, y int")
+    for other in ([(1, 5, None), (2, 7, 8)], [(1, 7, 5), (2, None, 8)]):
+        b = spark.createDataFrame(other, "k int, x int, y int")
+        sums = fingerprint(a.schema, [["k", "x", "y"]])
+        assert a.agg(*sums).first() != b.agg(*sums).first()
+
+
+def test_a_verified_insert(spark):
+    name = unique_name("verified")
+    catalog.create_table(spark, name, [("k", "bigint"), ("v", "decimal(10,2)")], location=new_work_dir(spark, name))
+    df = spark.range(100).selectExpr("CAST(id AS INT) AS k", "CAST(id AS DECIMAL(8,2)) AS v")
+    assert verified_insert_overwrite(df, name) == 100 == verified_insert_overwrite(df, name)
+    with pytest.raises(SchemaMismatchError):
+        verified_insert_overwrite(df.select("v", "k"), name)
+    with pytest.raises(SchemaMismatchError):
+        verified_insert_overwrite(df.select("k"), name)
+    assert spark.table(name).count() == 100
+
+
+def test_a_verified_sequencefile_copy(spark, rows):
+    df = rows.select("id", "a", "c", "d")
+    path = new_work_dir(spark, "verified-seq")
+    assert verified_write(df, lambda d: write_sequence(d, path, compression="BLOCK"),
+                          lambda: read_sequence(spark, path, df.schema), in_pass=False) == 500
+
+
+def test_groups_and_types(spark):
+    groups = column_groups([n for n, _ in WIDE_DOCUMENT_COLUMNS])
+    assert len(groups) == 11 and sum(map(len, groups)) == 163
+    df = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError, match="without a group"):
+        verified_write(df, None, None, [["b"]])
+    with pytest.raises(CapabilityError, match="no fingerprint"):
+        fingerprint(spark.sql("SELECT array(map(1, 2)) AS m").schema, [["m"]])
