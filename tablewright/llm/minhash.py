@@ -19,12 +19,13 @@ least priority, the same order in all buckets, so that similar nodes share
 their centres.  Pairs are verified on the shingle sets themselves and links
 become components.  In buckets that still hold several components every pair of
 nodes of different components is tested then, without a row per pair: nodes go
-to blocks (by the largest such bucket they are in, ``BLOCK`` nodes or
-``ELEMENTS`` elements at most on average), the sets of two blocks that share a
-bucket meet in one group, and the overlaps of all their pairs are counted at
-once by matrix products.  A block of one component only does not meet blocks of
-the same.  A group gives a forest of the components it joins.  So a node is
-sent once per block that it shares a bucket with, and no pair is left out.
+to blocks (by the centre of least priority among those of their buckets, which
+a whole family shares but for a few; ``BLOCK`` nodes or ``ELEMENTS`` elements
+at most on average), the sets of two blocks that share a bucket meet in one
+group, and the overlaps of all their pairs are counted at once by matrix
+products.  A block of one component only does not meet blocks of the same.  A
+group gives a forest of the components it joins.  So a node is sent once per
+block that its own block shares a bucket with, and no pair is left out.
 
 A band misses a pair of similarity 0.8 with probability 1 - 0.8**ROWS; all
 bands miss it with probability 3e-6 at the default 32 x 5.
@@ -43,6 +44,7 @@ from tablewright.llm.common import keep_table, map_texts, read_table, text_or_em
 BANDS, ROWS = 32, 5
 BLOCK, ELEMENTS = 512, 1 << 20  # nodes and elements of a block
 WORDS, SIMILARITY = 5, 0.8
+SALT = 8  # tasks that rows with the same key are dealt to
 _BASE = 6  # the lowest rank cell is [0, 2**-_BASE)
 _U = np.uint64
 
@@ -189,24 +191,36 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
+def _lookup(rows: DataFrame, key: str, table: DataFrame, spread: list[str], how: str) -> DataFrame:
+    """``rows`` joined to ``table`` (one row a key, in its column ``at``) on
+    ``key``, which many rows may share: they meet in ``SALT`` tasks, dealt by
+    the columns ``spread``, and so do as many copies of the table's rows."""
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(SALT)))
+    copies = table.withColumn("copy", F.explode(F.array(*map(F.lit, range(SALT)))))
+    return dealt.join(copies, (dealt[key] == copies["at"]) & (dealt["salt"] == copies["copy"]), how).drop("salt", "copy", "at")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` (least node of its component) from ``a``, ``b``.
 
     Rounds of hooking every node to the least root among its neighbours and
-    then to its root's root; each round is written to the shared folder."""
+    then to its root's root; each round is written to the shared folder.
+    Neither a node with many links nor a root of many nodes meets in one task."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = keep_table(both, "links")
     at = keep_table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")),
                     "roots")
     while True:
         # the least root next door, for the node itself and for its root
-        near = (both.join(at, both.b == at.node).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        next_door = _lookup(both, "b", at.select(F.col("node").alias("at"), "root"), ["a"], "inner")
+        near = (next_door.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
                 .join(at, "node").select("node", "root", F.least("near", "root").alias("near")))
-        hook = near.groupBy(F.col("root").alias("r")).agg(F.min("near").alias("to"))
-        step = near.join(hook, near.root == hook.r, "left").select(
+        hook = near.groupBy(F.col("root").alias("at")).agg(F.min("near").alias("to"))
+        step = _lookup(near, "root", hook, ["node"], "left").select(
             "node", F.col("root").alias("was"), F.least("near", F.coalesce("to", "near")).alias("root"))
-        up = step.select(F.col("node").alias("n2"), F.col("root").alias("up"))
-        done = keep_table(step.join(up, step.root == up.n2, "left").select(
+        # whoever is a root now was one before
+        up = step.join(hook.select("at"), step.node == F.col("at")).select("at", F.col("root").alias("up"))
+        done = keep_table(_lookup(step, "root", up, ["node"], "left").select(
             "node", "was", F.least("root", F.coalesce("up", "root")).alias("root")), "roots")
         if done.where(F.col("was") != F.col("root")).isEmpty():
             return done.select("node", "root")
@@ -214,7 +228,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """``bucket``, ``n``, ``node``, ``root``: the buckets that hold several
+    """``bucket``, ``centre``, ``node``, ``root``: the buckets that hold several
     components; of buckets with the same nodes, one."""
     if roots is None:
         members = members.withColumn("root", F.col("node"))
@@ -224,14 +238,15 @@ def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
     ).where("lo != hi")
-    mixed = mixed.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    return members.join(mixed, "bucket").select("bucket", "n", "node", "root")
+    mixed = mixed.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return members.join(mixed, "bucket").select("bucket", "centre", "node", "root")
 
 
 def _blocks(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``node``, ``block``, ``only`` (the component, if a block has just one)."""
-    home = (mixed.groupBy("node", "root").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home"))
-            .join(sizes, "node"))
+    """``node``, ``root``, ``block``, ``only`` (the component, if a block has just one)."""
+    # the centres of a family's buckets are few: those of its members that come first
+    first = F.min(F.struct(F.xxhash64("centre").alias("p"), "centre"))["centre"]
+    home = mixed.groupBy("node", "root").agg(first.alias("home")).join(sizes, "node")
     cells = home.groupBy("home", "root").agg(F.count("*").alias("nodes"), F.sum("size").alias("elements"))
     cells = cells.withColumn("only", F.when(F.col("nodes") >= BLOCK, F.col("root")))
     # large components have their own blocks, the others of a bucket share theirs
@@ -241,7 +256,7 @@ def _blocks(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
         parts.withColumnsRenamed({"home": "h", "only": "o"}),
         (F.col("home") == F.col("h")) & F.col("only").eqNullSafe(F.col("o"))).select("home", "root", "only", "parts")
     return home.join(cells, ["home", "root"]).select(
-        "node", "only", F.xxhash64("home", "only", F.pmod(F.xxhash64(F.lit(2), "node"), "parts")).alias("block"))
+        "node", "root", "only", F.xxhash64("home", "only", F.pmod(F.xxhash64(F.lit(2), "node"), "parts")).alias("block"))
 
 
 def _group_links(x: np.ndarray, y: np.ndarray, root: np.ndarray, sizes: np.ndarray, flat: np.ndarray,
@@ -302,13 +317,15 @@ def _group_links(x: np.ndarray, y: np.ndarray, root: np.ndarray, sizes: np.ndarr
 
 def _remaining_links(mixed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """``a``, ``b``: components that similar nodes of a ``mixed`` bucket join."""
-    blocks = _blocks(mixed, sets.select("node", F.size("elements").alias("size")))
-    placed = keep_table(mixed.select("bucket", "node", "root").join(blocks, "node"), "blocks")
-    present = placed.groupBy("bucket").agg(F.collect_set(F.struct("block", "only")).alias("others"))
-    met = placed.join(present, "bucket").select("node", "root", "block", "only", F.explode("others").alias("o"))
-    met = met.where(F.col("only").isNull() | F.col("o.only").isNull() | (F.col("only") != F.col("o.only")))
-    met = met.select(F.least("block", "o.block").alias("x"), F.greatest("block", "o.block").alias("y"), "node", "root",
-                     "block").distinct()
+    blocks = keep_table(_blocks(mixed, sets.select("node", F.size("elements").alias("size"))), "blocks")
+    # blocks that share a bucket meet, whole; one component's own blocks need not
+    present = mixed.select("bucket", "node").join(blocks, "node").select("bucket", "block", "only").distinct()
+    other = present.select("bucket", F.col("block").alias("y"), F.col("only").alias("other"))
+    pairs = present.join(other, "bucket").where(
+        (F.col("block") <= F.col("y")) & (F.col("only").isNull() | F.col("other").isNull() | (F.col("only") != F.col("other"))))
+    pairs = pairs.select(F.col("block").alias("x"), "y").distinct()
+    sides = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    met = blocks.drop("only").join(sides, "block")
     groups = met.join(sets, "node").select("x", "y", "block", "root", "elements")
 
     def run(table: pa.Table) -> pa.Table:
@@ -358,19 +375,26 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     found = keep_table(_similar(pairs, sets, similarity), "found")
     roots = None if found.isEmpty() else components(found)
     # what the centres did not join: every pair between components of a bucket
-    mixed = keep_table(_mixed(members.select("bucket", "node"), roots), "mixed")
+    mixed = keep_table(_mixed(members.select("bucket", "centre", "node"), roots), "mixed")
     found = keep_table(_remaining_links(mixed, sets, similarity), "found")
-    placed = marked.withColumn("root", F.col("node"))
-    if roots is not None:
-        placed = marked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if not found.isEmpty():
-        merged = components(found).select(F.col("node").alias("root"), F.col("root").alias("to"))
-        placed = placed.join(merged, "root", "left").withColumn("root", F.coalesce("to", "root"))
-    placed = placed.select("id", "key", "root")
+        merged = components(found)
+        to = merged.select(F.col("node").alias("at"), F.col("root").alias("to"))
+        if roots is None:
+            roots = merged
+        else:
+            through = _lookup(roots, "root", to, ["node"], "left").select("node", F.coalesce("to", "root").alias("root"))
+            roots = through.unionByName(merged.join(roots, "node", "left_anti"))
+    placed = marked.select("id", "key", F.col("node").alias("root"))
+    if roots is not None:
+        at = roots.select(F.col("node").alias("at"), F.col("root").alias("to"))
+        placed = _lookup(placed, "root", at, ["id", "key"], "left").select(
+            "id", "key", F.coalesce("to", "root").alias("root"))
+        placed = keep_table(placed, "placed")
     classes = placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"),
                                          F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
-    several = classes.where("class_size > 1").withColumnRenamed("root", "r")
-    return placed.join(several, placed.root == several.r, "left").select(
+    several = classes.where("class_size > 1").withColumn("r", F.col("root")).withColumnRenamed("root", "at")
+    return _lookup(placed, "root", several, ["id", "key"], "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("r").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
