@@ -43,13 +43,13 @@ from tablewright.errors import CapabilityError
 from tablewright.llm.common import map_texts, read_table, text_or_empty
 
 PAIR_TABLE = 1 << 18  # decisions kept per task
-WORD_TABLE = 1 << 18  # encoded words kept per task, twice
+WORD_TABLE = 1 << 19  # encoded words kept per worker, twice: about 150 MB each when full
 WORD_TABLE_CHARS = 64  # longer words are encoded anew each time
 
 # The byte-level alphabet (printable bytes stand for themselves,
 # the others for the code points from 256 on, in byte order).
 PRINTABLE = [(0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)]
-CONTROL = frozenset("\x1c\x1d\x1e\x1f")  # white space for Python, not for the pre-tokenizer
+CONTROL = "\x1c\x1d\x1e\x1f"  # white space for Python, not for the pre-tokenizer
 # The pre-tokenizer's white space.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
 
@@ -97,7 +97,7 @@ class WordTable(dict):
         got = self.old.get(word)
         if got is None:
             got = self.encode(word)
-        if len(word) <= WORD_TABLE_CHARS and (word[-1] not in ".," or len(word) == 1):
+        if len(word) <= WORD_TABLE_CHARS:
             if len(self) >= WORD_TABLE:
                 self.old = dict(self)
                 self.clear()
@@ -117,6 +117,7 @@ class Encoder:
         suffix, ids = voc["suffix"], voc["vocab"]
         symbols = byte_symbols()
         self.symbols = {b: symbols[b] for b in range(256)}
+        self.last = {c: chr(self.final + ord(c)) for c in symbols}
         spelled = {}
         for token, i in ids.items():
             if token.endswith(suffix) and len(token) > len(suffix):
@@ -172,8 +173,9 @@ class Encoder:
 
     def word(self, text: str) -> list[int]:
         """Tokens of one pre-token (not empty)."""
-        spelled = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.symbols)
-        spelled = spelled[:-1] + chr(self.final + ord(spelled[-1]))
+        if not (text.isascii() and text.isalpha()):  # letters of ASCII stand for themselves
+            text = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.symbols)
+        spelled = text[:-1] + self.last[text[-1]]
         n, length, pairs, longest = len(spelled), self.length, self.pairs.get, self.auto.iter_long
         matches = longest(spelled)
         last = next(matches)[1]  # every symbol is a token: something starts everywhere
@@ -237,7 +239,8 @@ class Encoder:
             text = text.replace("Σ", "σ")
         text = text.lower()
         # no pre-token spans white space; Python's own split also cuts at four control characters
-        runs = text.split() if CONTROL.isdisjoint(text) else [w for w in self.spaces.split(text) if w]
+        plain = not any(c in text for c in CONTROL)
+        runs = text.split() if plain else [w for w in self.spaces.split(text) if w]
         return b"".join(map(self.words.__getitem__, runs))
 
     def encode(self, text: str) -> np.ndarray:
