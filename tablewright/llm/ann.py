@@ -13,13 +13,17 @@ kept before).
 
 Graphs are written to the shared folder and searched from there: a query
 goes down from the top level greedily and runs a beam search at level 0, and
-the nearest of all shards are merged.  All queries of a block walk in step,
-so a step is a few array operations.  Queries come in blocks, and a task
-holds one shard and one block; merging keeps the k best of each shard only.
-
-The last pass is exact: the cosines of the reported pairs are computed in
-double precision on the original vectors.  Of equal vectors one is indexed,
-and the k + 1 smallest ids stand behind it.
+the nearest of all shards are merged.  ``STEP`` queries walk in step, so a
+step is a few array operations.  Queries come in blocks of ``QUERY_BLOCK``, and
+a task holds one shard and one block, so a shard is sent once per block;
+merging keeps the k best of each shard only.
+
+Graphs are walked in single precision and nothing is decided by it: what a
+shard hands on is ranked in double precision, and where a beam ends in the
+middle of a tie, or found less of the shard than it could hold, the query is
+compared with the whole shard.  The last pass computes the cosines of the
+reported pairs on the original vectors.  Of vectors of the same direction one
+is indexed, and the k + 1 smallest ids stand behind it.
 """
 
 from __future__ import annotations
@@ -33,7 +37,9 @@ from tablewright.llm.common import keep_table, read_table
 from tablewright.llm.minhash import mix
 
 M, BEAM, BUILD_BEAM, SEEDS = 16, 160, 80, 4
-SHARD_ROWS, BLOCK, QUERY_BLOCK = 4096, 256, 512
+SHARD_ROWS, BLOCK, QUERY_BLOCK, STEP = 4096, 256, 8192, 512
+TIE = 1e-6  # cosines that single precision cannot tell apart
+DIGITS = 13  # directions that agree in so many decimals are one
 
 
 class Graph:
@@ -66,11 +72,11 @@ class Graph:
         done = np.ones((nq, width), bool)
         seen = np.zeros((nq, n), bool)
         k = entry.shape[1]
-        rows = np.arange(nq)[:, None]
         ids[:, :k] = entry
         sim[:, :k] = np.where(entry >= 0, np.einsum("qd,qkd->qk", q, self.x[entry]), -np.inf)
         done[:, :k] = entry < 0
-        seen[rows, np.maximum(entry, 0)] |= entry >= 0
+        row, at = np.nonzero(entry >= 0)
+        seen[row, entry[row, at]] = True
         best = np.argsort(-sim, 1, kind="stable")
         ids, sim, done = (np.take_along_axis(a, best, 1) for a in (ids, sim, done))
         live = np.arange(nq)
@@ -91,7 +97,8 @@ class Graph:
             # the same node twice in a row counts once
             near = np.sort(near, 1)[:, ::-1]
             near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-            seen[live[:, None], np.maximum(near, 0)] |= near >= 0
+            row, at = np.nonzero(near >= 0)
+            seen[live[row], near[row, at]] = True
             s = np.where(near >= 0, np.einsum("qd,qkd->qk", q[live], self.x[near]), -np.inf).astype(np.float32)
             ids2 = np.concatenate([ids[live], near], 1)
             sim2 = np.concatenate([sim[live], s], 1)
@@ -181,9 +188,11 @@ def _levels(ids: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column) -> np.ndarray:
+    """Unit vectors, in double precision."""
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     x = np.asarray(values.flatten(), np.float64).reshape(len(values), -1)
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    x = x / np.abs(x).max(1, keepdims=True)  # squares neither overflow nor vanish
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -195,12 +204,18 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def first_twins(vectors: DataFrame, most: int) -> DataFrame:
-    """``id``, ``v``, ``rep``: of equal vectors the ``most`` smallest ids, and the
-    smallest of them.  Ties go to smaller ids, so no other can be reported;
-    Spark drops the rest of a large group before it is shuffled."""
-    twin = Window.partitionBy("v").orderBy("id")
-    few = vectors.withColumn("nth", F.row_number().over(twin)).where(F.col("nth") <= most)
-    return few.withColumn("rep", F.min("id").over(Window.partitionBy("v"))).drop("nth")
+    """``id``, ``v``, ``rep``: of vectors of the same direction the ``most``
+    smallest ids, and the smallest of them.  Ties go to smaller ids, so no
+    other can be reported; Spark drops the rest of a large group before it is
+    shuffled."""
+    largest = F.array_max(F.transform("v", F.abs))
+    scaled = vectors.withColumn("u", F.transform("v", lambda e: e / largest))
+    norm = F.sqrt(F.aggregate("u", F.lit(0.0), lambda s, e: s + e * e))
+    keyed = scaled.withColumn("norm", norm).withColumn(
+        "way", F.transform("u", lambda e: F.floor(e / F.col("norm") * 10.0**DIGITS + 0.5)))
+    twin = Window.partitionBy("way").orderBy("id")
+    few = keyed.select("id", "v", "way").withColumn("nth", F.row_number().over(twin)).where(F.col("nth") <= most)
+    return few.withColumn("rep", F.min("id").over(Window.partitionBy("way"))).drop("nth", "way")
 
 
 def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -212,7 +227,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         table = table.sort_by("id")
         ids = table.column("id").to_numpy().astype(np.int64)
         x = _matrix(table.column("v"))
-        g = Graph(x, _levels(ids))
+        g = Graph(x.astype(np.float32), _levels(ids))
         return pa.Table.from_pydict(
             {"dim": [key[0].as_py()], "shard": [key[1].as_py()], "ids": [ids.tobytes()], "x": [x.tobytes()],
              "levels": [g.levels.astype(np.int8).tobytes()], "flat": [[f.tobytes() for f in g.flat]]},
@@ -226,6 +241,32 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return keep_table(graph, "ann-index")
 
 
+def _nearest_of_shard(g: Graph, x: np.ndarray, ids: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, beam: int):
+    """Query ids, ids and cosines of each query's ``2 k + 1`` nearest in a shard."""
+    nodes, sims = g.search(q.astype(np.float32), beam)
+    most = min(2 * k + 1, len(ids))
+    # less than the beam could hold, or a tie that goes on where the beam ends
+    short = (nodes >= 0).sum(1) < min(nodes.shape[1], len(ids))
+    if nodes.shape[1] < len(ids):
+        short |= sims[:, min(k, nodes.shape[1] - 1)] - sims[:, -1] <= TIE
+    who, found, near = [], [], []
+
+    def take(rows, at, cos):
+        first = np.lexsort((ids[at], -np.round(cos, 12)), axis=-1)[:, :most]
+        who.append(np.repeat(own[rows], most))
+        found.append(np.take_along_axis(ids[at], first, 1).reshape(-1))
+        near.append(np.take_along_axis(cos, first, 1).reshape(-1))
+
+    rows = np.flatnonzero(~short)
+    if len(rows):
+        at = nodes[rows][:, : 4 * k + 2]  # a margin for what single precision confused
+        take(rows, at, np.where(at >= 0, np.einsum("qd,qkd->qk", q[rows], x[at]), -np.inf))
+    for at in range(0, int(short.sum()), 64):
+        rows = np.flatnonzero(short)[at : at + 64]
+        take(rows, np.broadcast_to(np.arange(len(ids)), (len(rows), len(ids))), q[rows] @ x.T)
+    return np.concatenate(who), np.concatenate(found), np.concatenate(near)
+
+
 def nearest(index: DataFrame, queries: DataFrame, twins: DataFrame, k: int, beam: int = BEAM) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest found, the
     query's own id aside, nearest first, ties to the smaller id.
@@ -249,28 +290,22 @@ def nearest(index: DataFrame, queries: DataFrame, twins: DataFrame, k: int, beam
                 one = batch.slice(row, 1)
                 get = lambda c: one.column(one.schema.get_field_index(c))[0]
                 ids = np.frombuffer(get("ids").as_py(), np.int64)
-                x = np.frombuffer(get("x").as_py(), np.float32).reshape(len(ids), -1)
-                g = Graph(x, np.frombuffer(get("levels").as_py(), np.int8).astype(np.int64),
+                x = np.frombuffer(get("x").as_py(), np.float64).reshape(len(ids), -1)
+                g = Graph(x.astype(np.float32), np.frombuffer(get("levels").as_py(), np.int8).astype(np.int64),
                           [np.frombuffer(f, np.int32) for f in get("flat").as_py()])
                 asked = get("q").values
                 own = asked.field("id").to_numpy().astype(np.int64)
                 q = _matrix(asked.field("v"))
-                nodes, sims = g.search(q, beam)
-                found = np.where(nodes >= 0, ids[nodes], -1)
-                # ties in single precision are settled below: a margin of candidates goes on
-                first = np.lexsort((found, -sims), axis=-1)[:, : 2 * k + 1]
-                nodes, sims, found = (np.take_along_axis(a, first, 1) for a in (nodes, sims, found))
-                ok = nodes >= 0
-                who = np.broadcast_to(own[:, None], ok.shape)
-                yield pa.RecordBatch.from_arrays([pa.array(who[ok]), pa.array(found[ok].astype(np.int64)),
-                                                  pa.array(sims[ok].astype(np.float64))],
-                                                 names=["query_id", "vec_id", "near"])
+                for at in range(0, len(q), STEP):
+                    who, found, near = _nearest_of_shard(g, x, ids, q[at : at + STEP], own[at : at + STEP], k, beam)
+                    yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(found), pa.array(near)],
+                                                     names=["query_id", "vec_id", "near"])
 
     # one row at a time holds a graph: small batches keep a task's memory at a few shards
     found = pairs.select("q", "ids", "x", "levels", "flat").mapInArrow(
         search, "query_id long, vec_id long, near double")
     # the best of all shards; those that cannot be among them go before the shuffle
-    by_near = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
+    by_near = Window.partitionBy("query_id").orderBy(F.desc(F.round("near", 12)), "vec_id")
     short = (found.withColumn("place", F.row_number().over(by_near)).where(F.col("place") <= 4 * k)
              .select("query_id", F.col("vec_id").alias("rep")))
     q = queries.select(F.col("id").alias("query_id"), F.col("v").alias("qv"))
