@@ -161,13 +161,14 @@ hits AS (
   FROM (SELECT doc_id, pos, words[pos + 1] || ' ' || words[pos + 2] || ' ' || words[pos + 3] AS gram FROM g) g
   JOIN places USING (gram)),
 votes AS (
-  SELECT doc_id, template, label, base, places, diagonal, count(*) AS hits, min(place) AS low
+  SELECT doc_id, template, label, base, places, diagonal, list(DISTINCT place) AS covered, min(place) AS low
   FROM hits GROUP BY ALL),
 marked AS (
   SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER w > {SLACK}, true) THEN 1 ELSE 0 END AS new
   FROM votes WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
 spans AS (
-  SELECT doc_id, template, label, base, places, span, min(diagonal + low) AS start, sum(hits) AS hits
+  SELECT doc_id, template, label, base, places, span, min(diagonal + low) AS start,
+    len(list_distinct(flatten(list(covered)))) AS hits
   FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked)
   GROUP BY ALL),
 kept AS (

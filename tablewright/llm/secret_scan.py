@@ -131,11 +131,10 @@ class Scanner:
             a, b = m.span()
             while at < len(base) and base[at][1] <= a:
                 at += 1
-            taken = []
-            for x, y in base[at:]:
-                if x >= b:
-                    break
-                taken.append((x, y))
+            over = at
+            while over < len(base) and base[over][0] < b:
+                over += 1
+            taken = base[at:over]
             if not taken and self.random(m[0]):
                 out.append((a, 3, b))
                 continue
@@ -199,7 +198,11 @@ def scan_secrets(df: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
 def mask_secrets(df: DataFrame, ranks_path: str, *, text_col: str = "text", mask: str = MASK,
                  max_ratio: float = MAX_RATIO) -> DataFrame:
     """``df`` with every span of ``text_col`` replaced by ``mask``; spans that
-    touch or overlap become one.  A null text stays null."""
+    touch or overlap become one.
+
+    A null text stays null, an empty one empty; repeated rows are masked
+    alike; all other columns pass through whatever their names; an empty table
+    gives no rows."""
     ranks, pattern = _settings(ranks_path)
     place = df.columns.index(text_col)
 
