@@ -40,10 +40,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.errors import CapabilityError
-from tablewright.llm.common import map_texts, read_table, text_or_empty
+from tablewright.llm.common import kept_by_worker, map_texts, read_table, text_or_empty
 
 PAIR_TABLE = 1 << 18  # decisions kept per task
-WORD_TABLE = 1 << 19  # encoded words kept per worker, twice: about 150 MB each when full
+WORD_TABLE = 1 << 18  # encoded words kept per task, twice
 WORD_TABLE_CHARS = 64  # longer words are encoded anew each time
 
 # The byte-level alphabet (printable bytes stand for themselves,
@@ -252,16 +252,9 @@ class Encoder:
         return np.frombuffer(b"".join(out), np.int32)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(voc: dict) -> Encoder:
     """The encoder of this worker process: its tables serve task after task."""
-    got = _ENCODERS.get(voc["key"])
-    if got is None:
-        _ENCODERS.clear()
-        got = _ENCODERS[voc["key"]] = Encoder(voc)
-    return got
+    return kept_by_worker(("encoder", voc["key"]), lambda: Encoder(voc))
 
 
 class Decoder:

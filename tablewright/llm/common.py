@@ -29,6 +29,18 @@ def keep_table(df: DataFrame, label: str, compression: str | None = None) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept_by_worker(key: tuple, build: Callable[[], object]):
+    """What ``build`` gives, kept by this worker process from task to task;
+    only the latest one stays, so that stages do not add up in memory."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def slices(batch: pa.RecordBatch, column: int, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose ``column`` holds about ``max_bytes``
     (one row at least), so that what is derived from a run stays small."""

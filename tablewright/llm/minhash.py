@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import keep_table, map_texts, read_table, text_or_empty
 
 BANDS, ROWS = 32, 5
-BLOCK, ELEMENTS = 512, 1 << 20  # nodes and elements of a block
+BLOCK, ELEMENTS = 512, 1 << 18  # nodes and elements of a block
 WORDS, SIMILARITY = 5, 0.8
 SALT = 8  # tasks that rows with the same key are dealt to
 _BASE = 6  # the lowest rank cell is [0, 2**-_BASE)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.bpe import tokenizer_path
-from tablewright.llm.common import map_texts, read_table, text_or_empty
+from tablewright.llm.common import kept_by_worker, map_texts, read_table, text_or_empty
 
 # Fixed patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -153,15 +153,9 @@ class Scanner:
         return out
 
 
-_SCANNERS: dict[tuple, Scanner] = {}
-
-
 def _scanner(ranks: bytes, pattern: str, max_ratio: float) -> Scanner:
-    key = (hashlib.sha256(ranks).hexdigest(), max_ratio)
-    if key not in _SCANNERS:
-        _SCANNERS.clear()
-        _SCANNERS[key] = Scanner(ranks, pattern, max_ratio)
-    return _SCANNERS[key]
+    key = ("scanner", hashlib.sha256(ranks).hexdigest(), max_ratio)
+    return kept_by_worker(key, lambda: Scanner(ranks, pattern, max_ratio))
 
 
 def _settings(ranks_path: str) -> tuple[bytes, str]:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tablewright.errors import CapabilityError
 from tablewright.llm.bpe import WHITE_SPACE, byte_symbols, tokenizer_path
-from tablewright.llm.common import keep_table, read_table, slices, text_or_empty
+from tablewright.llm.common import keep_table, kept_by_worker, read_table, slices, text_or_empty
 
 SLICE = 16 << 20  # bytes of text in a slice
 PACKED = 1 << 20  # numbers a task packs together
@@ -95,15 +95,9 @@ class Pieces:
         return len(self.merge(pre_token.encode("utf-8").decode("latin-1").translate(self.symbols)))
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 def pieces(raw: str) -> Pieces:
     """One per worker process."""
-    if raw not in _PIECES:
-        _PIECES.clear()
-        _PIECES[raw] = Pieces(raw)
-    return _PIECES[raw]
+    return kept_by_worker(("pieces", raw), lambda: Pieces(raw))
 
 
 def pack(places: np.ndarray, counts: np.ndarray) -> bytes:
