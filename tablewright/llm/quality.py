@@ -8,8 +8,8 @@ length, give the document's raw quality; a fitted cut on it becomes the
 threshold of the score.
 
 Training uses documents' labels only, on a bounded sample: at most
-``MAX_TRAIN_DOCS`` labelled documents of at most ``MAX_TRAIN_CHARS``
-characters, chosen by a hash of the id.  Lines start with the label of their
+``MAX_TRAIN_DOCS`` labelled documents, of ``MAX_TRAIN_BYTES`` together, chosen
+by a hash of the id.  Lines start with the label of their
 document; between rounds the lines of bad documents that the model holds for
 good are relabelled, so that a bad document may have good lines.  The
 transition weights are learned with the unary weights by gradient ascent on
@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_texts, read_table, text_or_empty
 
 MAX_TRAIN_DOCS = 4000
-MAX_TRAIN_CHARS = 20_000
+MAX_TRAIN_BYTES = 24 << 20  # of their texts together
+CHUNK = 256  # lines of a text that are walked one after the other in scoring
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 
 # classes of UTF-8 bytes: 0 other, 1 a-z, 2 A-Z, 3 digit, 4 space, 5 sentence marks, 6 exclamation, 7 symbols, 8 beyond ASCII
@@ -124,6 +125,61 @@ def marginals(unary: np.ndarray, trans: np.ndarray, counts: np.ndarray, first: n
     return out, pairs, log_z
 
 
+def line_marginals(unary: np.ndarray, trans: np.ndarray, counts: np.ndarray, first: np.ndarray,
+                   chunk: int = CHUNK) -> np.ndarray:
+    """The line marginals of ``marginals``, for texts of any number of lines.
+
+    Texts are cut into pieces of ``chunk`` lines, and all pieces are walked at
+    once: forwards for either state before the piece, backwards for either
+    state at its end.  Then only the pieces of a text follow one another."""
+    pieces = -(-counts // chunk)
+    text = np.repeat(np.arange(len(counts)), pieces)
+    begin = np.concatenate([[0], np.cumsum(pieces)])
+    nth = np.arange(len(text)) - begin[text]
+    start = first[text] + nth * chunk
+    size = np.minimum(counts[text] - nth * chunk, chunk)
+    if not len(text):
+        return np.empty((0, 2))
+    at = np.concatenate([[0], np.cumsum(size)])
+    steps = list(_chains(size, np.append(start, 0)))
+    # forwards: states before the piece, own state
+    f = np.empty((len(unary), 2, 2))
+    for t, rows in enumerate(steps):
+        if t:
+            f[rows] = np.logaddexp(f[rows - 1, :, :1] + trans[0], f[rows - 1, :, 1:] + trans[1]) + unary[rows][:, None]
+        else:
+            f[rows] = np.where(np.isin(rows, first[:-1])[:, None, None], 0.0, trans) + unary[rows][:, None]
+    # backwards: own state, state at the piece's last line
+    g = np.full((len(unary), 2, 2), -np.inf)
+    last = start + size - 1
+    g[last, [[0], [1]], [[0], [1]]] = 0.0
+    for t in range(len(steps) - 2, -1, -1):
+        rows = steps[t + 1] - 1
+        ahead = unary[rows + 1][:, :, None] + g[rows + 1]
+        g[rows] = np.logaddexp(trans[:, :1] + ahead[:, :1], trans[:, 1:] + ahead[:, 1:])
+    # from piece to piece: what reaches it from before, what follows its end
+    reach, follow = np.zeros((len(text), 2)), np.zeros((len(text), 2))
+    for k in range(1, int(pieces.max())):
+        p = begin[:-1][pieces > k] + k
+        e = f[last[p - 1]]
+        through = np.logaddexp(reach[p - 1, :1] + e[:, 0], reach[p - 1, 1:] + e[:, 1])
+        reach[p] = np.where((nth[p - 1] > 0)[:, None], through, e[:, 0])
+    for k in range(int(pieces.max()) - 2, -1, -1):
+        p = begin[:-1][pieces > k + 1] + k
+        b = g[start[p + 1]]
+        after = unary[start[p + 1]] + np.logaddexp(b[:, :, 0] + follow[p + 1, :1], b[:, :, 1] + follow[p + 1, 1:])
+        follow[p] = np.logaddexp(trans[:, 0] + after[:, :1], trans[:, 1] + after[:, 1:])
+    own = np.repeat(np.arange(len(text)), size)
+    line = np.repeat(start - at[:-1], size) + np.arange(at[-1])
+    r, e = reach[own], f[line]
+    alpha = np.where((nth[own] > 0)[:, None], np.logaddexp(r[:, :1] + e[:, 0], r[:, 1:] + e[:, 1]), e[:, 0])
+    w, b = follow[own], g[line]
+    both = alpha + np.logaddexp(b[:, :, 0] + w[:, :1], b[:, :, 1] + w[:, 1:])
+    out = np.empty_like(unary)
+    out[line] = np.exp(both - np.logaddexp(both[:, :1], both[:, 1:]))
+    return out
+
+
 def _sigmoid(v):
     return 1 / (1 + np.exp(-np.clip(v, -40, 40)))
 
@@ -199,7 +255,7 @@ def fit(texts: list[str], labels: list[int], *, rounds: int = 2, steps: int = 12
 def raw_quality(model: dict, lines: Lines) -> np.ndarray:
     x = (lines.x - model["mean"]) / model["std"]
     unary = np.stack([np.zeros(len(x)), x @ model["w"]], 1)
-    return _raw(marginals(unary, model["trans"], lines.counts, lines.first)[0][:, 1], lines)
+    return _raw(line_marginals(unary, model["trans"], lines.counts, lines.first)[:, 1], lines)
 
 
 def scores(model: dict, texts: list[str], threshold: float = THRESHOLD) -> np.ndarray:
@@ -212,10 +268,11 @@ def scores(model: dict, texts: list[str], threshold: float = THRESHOLD) -> np.nd
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held_out: int, *,
-                    max_docs: int = MAX_TRAIN_DOCS, max_chars: int = MAX_TRAIN_CHARS) -> list[tuple[str, int]]:
+                    max_docs: int = MAX_TRAIN_DOCS, max_bytes: int = MAX_TRAIN_BYTES) -> list[tuple[str, int]]:
     """At most ``max_docs`` (text, label) of the folds that may be learned
-    from, by a hash of the id.  Only the chosen ids are broadcast (their number
-    is bounded), so the texts are not shuffled."""
+    from, by a hash of the id, and of these as many as ``max_bytes`` hold, long
+    texts like any other.  A null text counts as empty.  Only the chosen ids
+    are broadcast (their number is bounded), so no other text is shuffled."""
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull())
         .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out)
@@ -223,13 +280,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int,
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).collect()
     )
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(r.doc_id, r.label) for r in chosen], "doc_id long, label int")
+    ids = spark.createDataFrame([(i, r.doc_id, r.label) for i, r in enumerate(chosen)], "nth int, doc_id long, label int")
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
-        .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-        .groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
-        .orderBy("doc_id").collect()
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text")).join(F.broadcast(ids), "doc_id")
+        .groupBy("nth").agg(F.max("text").alias("text"), F.max("label").alias("label"))
     )
+    # at most max_docs rows: one task may add up their sizes
+    upto = F.sum(F.octet_length("text")).over(Window.orderBy("nth"))
+    rows = rows.withColumn("upto", upto).where((F.col("upto") <= max_bytes) | (F.col("nth") == 0)).orderBy("nth").collect()
     return [(r.text, r.label) for r in rows]
 
 
@@ -260,7 +318,11 @@ def score_quality(df: DataFrame, model: dict, *, id_col: str = "doc_id", text_co
 
 
 def keep_good(df: DataFrame, model: dict, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``df``, all columns, whose text scores ``threshold`` or more."""
+    """The rows of ``df``, all columns, whose text scores ``threshold`` or more.
+
+    A null text counts as empty (and stays null in a row that is kept);
+    repeated rows go or stay together; columns pass through whatever their
+    names; an empty table gives no rows."""
     place = df.columns.index(text_col)
 
     def work():

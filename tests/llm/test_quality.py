@@ -1,4 +1,7 @@
+import time
+
 import numpy as np
+import pytest
 
 from tablewright.llm import quality
 from tablewright.llm.common import read_table
@@ -76,3 +79,31 @@ def test_sample_is_bounded_and_leaves_the_fold_out(spark):
     free = {r.text for r in docs.join(labels, "doc_id").where(~quality.fold(5, 0)).collect()}
     sample = quality.training_sample(docs, labels, "quality", 5, 0, max_docs=50)
     assert 0 < len(sample) <= 50 and not {t for t, _ in sample} & (held - free)
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 100])
+def test_pieces_of_texts_give_the_marginals_of_the_whole(chunk):
+    rng = np.random.default_rng(chunk)
+    counts = rng.integers(1, 30, 40)
+    first = np.concatenate([[0], np.cumsum(counts)])
+    unary = rng.normal(size=(counts.sum(), 2)) * 3
+    trans = rng.normal(size=(2, 2)) * 2
+    assert np.allclose(quality.line_marginals(unary, trans, counts, first, chunk),
+                       quality.marginals(unary, trans, counts, first)[0])
+    assert quality.line_marginals(np.empty((0, 2)), trans, np.empty(0, int), np.zeros(1, int)).shape == (0, 2)
+
+
+def test_many_short_lines_are_scored_in_time():
+    model = quality.fit(["A good line of words, as it should be.\n" * 3, "$$$ !!! 111\n" * 3] * 20, [1, 0] * 20)
+    start = time.process_time()
+    assert len(quality.scores(model, ["ab\n" * 200_000, "ok"])) == 2
+    assert time.process_time() - start < 10  # one by one they took 0.1 ms each: 20 s
+
+
+def test_long_texts_are_in_the_sample(spark):
+    docs = spark.createDataFrame([(i, "x" * 60_000 if i % 2 else None) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    sample = quality.training_sample(docs, labels, "quality", 5, 0)
+    assert sorted({len(t) for t, _ in sample}) == [0, 60_000] and all((len(t) > 0) == y for t, y in sample)
+    few = quality.training_sample(docs, labels, "quality", 5, 0, max_bytes=200_000)
+    assert few == sample[: len(few)] and 3 == sum(y for _, y in few)
