@@ -170,6 +170,23 @@ def test_large_family_with_sparse_links(spark, kept):
         (rows[i][0], c) for i, c in enumerate(matrix_classes(rows)))
 
 
+def test_family_with_a_star_of_half_its_rows(spark):
+    """Half of the texts link to one centre, the others to it or to each other here and there."""
+    rnd = random.Random(4)
+    base = ["b%d" % i for i in range(300)]
+
+    def edited(n):
+        text = list(base)
+        for _ in range(n):
+            text[rnd.randrange(300)] = "e%d" % rnd.randrange(10**9)
+        return " ".join(text)
+
+    rows = [(i, edited(rnd.choice([1, 2]) if i % 2 else rnd.randrange(3, 25))) for i in range(900)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert partition((r.doc_id, r.class_id) for r in got) == partition(
+        (rows[i][0], c) for i, c in enumerate(matrix_classes(rows)))
+
+
 def test_near_on_given_documents(spark):
     docs = read_table(spark, SF0001, "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -1,7 +1,10 @@
 """Registered queries against their SQL, and the pipeline stage by stage."""
 
+import hashlib
+
 import duckdb
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -13,7 +16,7 @@ from tablewright.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF0001
 from tests.llm.conftest import TEXTS
 from tests.llm.test_bpe_packing import check_packing
-from tests.llm.test_dedup import brute_classes, lowered
+from tests.llm.test_dedup import brute_classes, lowered, partition
 from tests.llm.test_scans import brute_secrets
 
 
@@ -94,3 +97,50 @@ def test_one_near_copy_stays_of_null_or_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert len(set(brute_classes(rows))) == 2
     assert sorted(str(r.doc_id) for r in corpus_pipeline.near(spark, docs, SF0001).collect()) == ["7", "None"]
+
+
+def _documents(spark):
+    return {r.doc_id: r.text or "" for r in read_table(spark, SF0001, "documents").select("doc_id", "text").collect()}
+
+
+def test_op1_query_equals_the_library(spark):
+    texts = _documents(spark)
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    ids = {i: e.ids for i, e in zip(texts, tok.encode_batch(list(texts.values()), add_special_tokens=False))}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {i: (len(x), sha(" ".join(map(str, x))), sha(tok.decode(x, skip_special_tokens=False))) for i, x in ids.items()}
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op1_bpe"](spark, SF0001).collect()} == want
+
+
+def test_op2_query_packs_the_librarys_ids(spark):
+    texts = _documents(spark)
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    want = [(i, [*e.ids, 2]) for i, e in zip(texts, tok.encode_batch(list(texts.values()), add_special_tokens=False))]
+    rows = QUERIES["op2_pack"](spark, SF0001).collect()
+    check_packing(rows, want, 4096)
+    ends = {}
+    for r in rows:
+        ends[r.sequence_id] = max(ends.get(r.sequence_id, 0), r.offset + r.length)
+    padding = sum(4096 - n for n in ends.values() if n & (n - 1))
+    assert padding <= 0.02 * 4096 * len(ends)
+
+
+def test_op3_query_equals_brute_force(spark):
+    rows = list(_documents(spark).items())
+    got = QUERIES["op3_near_duplicates"](spark, SF0001).collect()
+    assert partition((r.doc_id, r.class_id) for r in got) == partition(
+        (rows[i][0], c) for i, c in enumerate(brute_classes(rows)))
+
+
+def test_op4_query_and_its_sql_agree_on_repeated_grams(spark, tmp_path):
+    rows = [(1, "apache license version " * 4), (2, "licensed under the apache license version 2 0"), (3, None),
+            (4, "this program is free software you can redistribute it and or modify it under the terms"),
+            (5, "mit mit under the mit license mit under the mit license"), (6, "cc by nc cc by nc 4 0 cc by nc")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op4_licenses"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(ORACLE_SQL["op4_licenses"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
+    assert got.where("doc_id = 1").first().labels == ""
