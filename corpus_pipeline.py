@@ -31,6 +31,8 @@ from tablewright.llm.secret_scan import mask_secrets
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that score 0.3 or more.  Repeated rows go or stay
+    together, a null text is scored as empty, an empty table stays empty."""
     return keep_good(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
 
 
@@ -49,19 +51,29 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text (A-Z in either case): that of the largest id; a
+    null id stays only where no other has the text.  Other columns play no part."""
     return _only(docs, exact_dedup(docs).where("kept").withColumnRenamed("text_md5", "key"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near duplicates: that of the smallest id
+    (nulls last, then by text); rows that repeat id and text count once."""
     return _only(docs, near_duplicates(docs).where("kept").withColumn("key", F.lower(F.hex("key"))))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked; ``n_chars``, where there is one, follows
+    the text (null for a null text)."""
     masked = mask_secrets(docs, tokenizer_path("byte_bpe_50k.tiktoken"))
+    if "n_chars" not in docs.columns:
+        return masked
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all texts, a null text being one end mark; repeated rows
+    are packed as often as they come."""
     return pack_windows(docs, tokenizer_path("word_bpe_49k.json"))
 
 
