@@ -37,6 +37,7 @@ from tablewright.sources.csv import read_csv_header, read_csv_typed
 from tablewright.sources.multiline import read_csv_multiline
 from tablewright.sources.quarantine import quarantine_csv
 from tablewright.sources.sequence import read_sequence
+from tablewright.sources.skipping import build_skip_index, read_csv_skipping
 from tablewright.streaming import incremental_filter_csv_copy
 
 @dataclass(frozen=True)
@@ -177,6 +178,27 @@ def _csv_quarantine(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
 csv_quarantine = Staged(prepare=_faulty_lines, run=_csv_quarantine)
 
 
+# --- FLT-1, FLT-2 over text files with a skip index --------------------------------
+
+SKIPPED = [("l_partkey", "<", 150), ("l_linenumber", "=", 3), ("l_returnflag", "=", "R")]
+
+
+def _indexed_csv(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """lineitem as CSV, in files of neighbouring part keys, and its index."""
+    rows = table(spark, sf_dir, "lineitem")
+    rows = rows.repartitionByRange(4 * spark.sparkContext.defaultParallelism, "l_partkey")
+    path, schema = new_work_dir(spark, "indexed-csv"), ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+    write_csv(rows, path, header=True)
+    build_skip_index(spark, path, schema, [c for c, _, _ in SKIPPED], header=True)
+    return path, schema
+
+
+csv_skipping_filter = Staged(
+    prepare=_indexed_csv,
+    run=lambda spark, sf_dir, staged: read_csv_skipping(spark, staged[0], staged[1], SKIPPED, header=True),
+)
+
+
 # --- PRV-3 over text: the narrowest type of every column ---------------------------
 
 text_profile = Staged(
@@ -491,6 +513,7 @@ QUERIES: dict[str, Staged] = {
     "window_rank_running_total": window_rank_running_total,
     "csv_multiline_split": csv_multiline_split,
     "csv_quarantine": csv_quarantine,
+    "csv_skipping_filter": csv_skipping_filter,
     "text_profile": text_profile,
     "verified_table_copy": verified_table_copy,
 }
@@ -552,6 +575,7 @@ def _profile_oracle() -> str:
 ORACLE_SQL: dict[str, str] = {
     "csv_multiline_split": "SELECT " + ", ".join(MULTILINE_FROM_EVENTS) + " FROM events",
     "csv_quarantine": _quarantine_oracle(),
+    "csv_skipping_filter": "SELECT * FROM lineitem WHERE l_partkey < 150 AND l_linenumber = 3 AND l_returnflag = 'R'",
     "text_profile": _profile_oracle(),
     "verified_table_copy": "SELECT " + ", ".join(
         f"CAST({n} AS {'TIMESTAMP' if t == 'timestamp' else t.upper()}) AS {n}" for n, t in SNAPSHOT_COLUMNS) + " FROM orders",

@@ -1,0 +1,83 @@
+"""Data skipping: fewer files, the same rows, and never a stale answer."""
+
+import os
+import time
+
+import pytest
+
+from conftest import local_path, write_text
+from tablewright.errors import TableJobError
+from tablewright.sinks.csv import write_csv
+from tablewright.sources.skipping import build_skip_index, files_to_read, read_csv_skipping
+
+SCHEMA = "id bigint, name string, price double, day date"
+
+
+@pytest.fixture()
+def data(spark, workdir):
+    """20 files with a hundred ids each, names spread over all of them."""
+    rows = spark.range(2000).selectExpr(
+        "id", "concat('n', id * 7919 % 2000) AS name", "CASE WHEN id % 10 > 0 THEN id / 4 END AS price",
+        "date_add(date'2024-01-01', CAST(id / 10 AS INT)) AS day")
+    write_csv(rows.repartitionByRange(20, "id"), workdir)
+    build_skip_index(spark, workdir, SCHEMA, ["id", "name", "price", "day"])
+    return workdir, rows
+
+
+@pytest.mark.parametrize("conditions, most", [
+    ([("id", "=", 777)], 2), ([("id", "<", 150)], 3), ([("id", ">=", 1900)], 2), ([("id", ">", 5000)], 0),
+    ([("name", "=", "n1234")], 4), ([("name", "=", "absent")], 3), ([("price", "<=", 1.0)], 2),
+    ([("day", "=", "2024-02-01")], 3), ([("id", ">", 300), ("id", "<", 310)], 2), ([("id", "=", None)], 0), ([], 20)])
+def test_fewer_files_and_the_same_rows(spark, data, conditions, most):
+    path, rows = data
+    files, total = files_to_read(spark, path, SCHEMA, conditions)
+    assert total == 20 and len(files) <= most
+    got = read_csv_skipping(spark, path, SCHEMA, conditions)
+    assert len(got.inputFiles()) == len(files) or not files
+    want = rows
+    for column, op, value in conditions:
+        want = want.where(f"{column} {op} {'NULL' if value is None else repr(value)}")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_every_value_is_found(spark, data):
+    path, rows = data
+    for r in rows.where("id % 131 = 0").collect():
+        files, _ = files_to_read(spark, path, SCHEMA, [("name", "=", r["name"]), ("id", "=", r["id"]), ("day", "=", r["day"])])
+        assert files
+
+
+def test_changed_and_new_files_are_read(spark, workdir):
+    for k in range(4):
+        write_text(f"{workdir}/{k}.csv", "".join(f"{k * 100 + i},n{i},1.0,2024-01-01\n" for i in range(100)))
+    build_skip_index(spark, workdir, SCHEMA, ["id"])
+    assert len(files_to_read(spark, workdir, SCHEMA, [("id", ">", 300)])[0]) == 1
+    time.sleep(1.1)
+    with open(f"{local_path(workdir)}/0.csv", "a") as f:
+        f.write("5001,late,1.0,2030-01-01\n")
+    write_text(f"{workdir}/added.csv", "5002,later,1.0,2030-01-02\n")
+    files, total = files_to_read(spark, workdir, SCHEMA, [("id", ">", 5000)])
+    assert total == 5 and {os.path.basename(f) for f in files} == {"0.csv", "added.csv"}
+    assert {r.name for r in read_csv_skipping(spark, workdir, SCHEMA, [("id", ">", 5000)]).collect()} == {"late", "later"}
+    build_skip_index(spark, workdir, SCHEMA, ["id"])
+    assert len(files_to_read(spark, workdir, SCHEMA, [("id", "=", 5002)])[0]) == 1
+
+
+def test_without_an_index_all_files_are_read(spark, workdir):
+    write_text(f"{workdir}/a.csv", "id,name,price,day\n1,x,,\n")
+    assert read_csv_skipping(spark, workdir, SCHEMA, [("id", "=", 1)], header=True).count() == 1
+    build_skip_index(spark, workdir, SCHEMA, ["price", "name"], header=True)
+    assert files_to_read(spark, workdir, SCHEMA, [("price", "=", 1.0)])[0] == []  # nulls only
+    assert len(files_to_read(spark, workdir, SCHEMA, [("id", "=", 99)])[0]) == 1  # not indexed
+    with pytest.raises(ValueError, match="only ="):
+        files_to_read(spark, workdir, SCHEMA, [("id", "like", "1")])
+    with pytest.raises(TableJobError, match="nothing"):
+        build_skip_index(spark, workdir, SCHEMA, ["nothing"])
+
+
+def test_paths_with_odd_names(spark, workdir):
+    path = f"{workdir}/a b%20c"
+    write_text(f"{path}/x y.csv", "1,a,2.5,2024-01-01\n")
+    write_text(f"{path}/z.csv", "2,b,3.5,2024-01-02\n")
+    build_skip_index(spark, path, SCHEMA, ["id"])
+    assert [r.name for r in read_csv_skipping(spark, path, SCHEMA, [("id", "=", 1)]).collect()] == ["a"]
