@@ -304,7 +304,7 @@ def bpe_encode(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_c
             return pa.RecordBatch.from_arrays([batch.column(0), id_lists(ids)], names=[id_col, "ids"])
         return run
 
-    return map_texts(src, f"{id_col} long, ids array<int>", work)
+    return map_texts(src, f"{id_col} long, ids array<int>", work, keeps=True)
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -345,7 +345,7 @@ def bpe_round_trip(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", te
                 [batch.column(0), id_lists(ids), pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
         return run
 
-    return map_texts(src, f"{id_col} long, ids array<int>, decoded string", work)
+    return map_texts(src, f"{id_col} long, ids array<int>, decoded string", work, keeps=True)
 
 
 def tokenizer_path(name: str) -> str:

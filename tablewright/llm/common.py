@@ -41,6 +41,10 @@ def kept_by_worker(key: tuple, build: Callable[[], object]):
     return _KEPT[key]
 
 
+def let_go() -> None:
+    _KEPT.clear()
+
+
 def slices(batch: pa.RecordBatch, column: int, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose ``column`` holds about ``max_bytes``
     (one row at least), so that what is derived from a run stays small."""
@@ -58,12 +62,16 @@ def slices(batch: pa.RecordBatch, column: int, max_bytes: int = SLICE_BYTES) ->
 
 
 def map_texts(df: DataFrame, schema: str, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
-              column: int = 1) -> DataFrame:
+              column: int = 1, keeps: bool = False) -> DataFrame:
     """Arrow pass over ``df`` in bounded slices.
 
-    ``work`` runs once per task and returns the function for a slice.
+    ``work`` runs once per task and returns the function for a slice.  Unless
+    it ``keeps`` something itself, what an earlier stage's tasks kept in the
+    worker is let go first.
     """
     def run(batches):
+        if not keeps:
+            let_go()
         fn = work()
         for batch in batches:
             for part in slices(batch, column):

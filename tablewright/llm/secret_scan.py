@@ -186,7 +186,7 @@ def scan_secrets(df: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=[id_col, "spans"])
         return run
 
-    return map_texts(src, f"{id_col} long, spans array<struct<kind:string,start:long,end:long>>", work)
+    return map_texts(src, f"{id_col} long, spans array<struct<kind:string,start:long,end:long>>", work, keeps=True)
 
 
 def mask_secrets(df: DataFrame, ranks_path: str, *, text_col: str = "text", mask: str = MASK,
@@ -221,7 +221,7 @@ def mask_secrets(df: DataFrame, ranks_path: str, *, text_col: str = "text", mask
             return batch.set_column(place, batch.schema.field(place), texts)
         return run
 
-    return map_texts(df, df.schema, work, place)
+    return map_texts(df, df.schema, work, place, keeps=True)
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
