@@ -124,12 +124,14 @@ class Encoder:
                 body = token[: -len(suffix)]
                 token = body[:-1] + chr(self.final + ord(body[-1]))
             spelled[token] = i
-        self.length = {i: len(t) for t, i in spelled.items()}
+        self.length = [0] * (max(spelled.values()) + 1)
+        for t, i in spelled.items():
+            self.length[i] = len(t)
         self.auto = ahocorasick.Automaton()
         for t, i in spelled.items():
             self.auto.add_word(t, i)
         self.auto.make_automaton()
-        self.shorter = {}  # token -> its longest proper prefix that is a token
+        self.shorter: list[int | None] = [None] * len(self.length)  # token -> its longest proper prefix that is a token
         for t, i in spelled.items():
             self.shorter[i] = next((spelled[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in spelled), None)
         self.rank, self.parts = {}, {}
@@ -196,15 +198,17 @@ class Encoder:
 
     def _stepping_back(self, spelled: str, out: list[int], at: int) -> list[int]:
         """Goes on where no token can follow: back one token, never to ``at`` again."""
-        n, length, shorter, pairs = len(spelled), self.length, self.shorter, self.pairs.get
+        n, length, shorter, pairs, longest = len(spelled), self.length, self.shorter, self.pairs.get, self.auto.iter_long
         closed = {at}
         token = out.pop()
         at -= length[token]
+        last = out[-1] if out else -1
+        token = shorter[token]
         while True:
             while token is not None:
-                if out:
-                    pick = pairs(out[-1] << 20 | token)
-                    token = self._follow(out[-1], token) if pick is None else pick
+                if last >= 0:
+                    pick = pairs(last << 20 | token)
+                    token = self._follow(last, token) if pick is None else pick
                     if token < 0:
                         token = None
                         break
@@ -213,14 +217,17 @@ class Encoder:
                 token = shorter[token]
             if token is not None:
                 out.append(token)
+                last = token
                 at += length[token]
                 if at == n:
                     return out
-                token = next(self.auto.iter_long(spelled, at))[1]
+                token = next(longest(spelled, at))[1]
             else:
                 closed.add(at)
                 token = out.pop()
                 at -= length[token]
+                last = out[-1] if out else -1
+                token = shorter[token]
 
     def _run(self, text: str) -> bytes:
         """Ids (int32) of a text without white space."""
@@ -228,10 +235,10 @@ class Encoder:
             return array("i", self.word(text)).tobytes()
         if text[-1] in ".," and text[:-1].isalpha():  # most words before a stop are known already
             return self.words[text[:-1]] + self.words[text[-1]]
-        ids: list[int] = []
-        for w in self.split.findall(text):
-            ids += self.word(w)
-        return array("i", ids).tobytes()
+        pieces = self.split.findall(text)
+        if pieces == [text]:
+            return array("i", self.word(text)).tobytes()
+        return b"".join(map(self.words.__getitem__, pieces))  # most pieces are known already
 
     def _plain(self, text: str) -> bytes:
         text = unicodedata.normalize("NFC", text)
