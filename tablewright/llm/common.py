@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablewright.session import new_work_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -194,9 +194,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def _lookup(rows: DataFrame, key: str, table: DataFrame, spread: list[str], how: str) -> DataFrame:
     """``rows`` joined to ``table`` (one row a key, in its column ``at``) on
     ``key``, which many rows may share: they meet in ``SALT`` tasks, dealt by
-    the columns ``spread``, and so do as many copies of the table's rows."""
+    the columns ``spread``, and so do as many copies of the table's rows.  The
+    small joins of many rounds are merged, not broadcast: a broadcast table takes
+    a whole memory page of every executor until the driver's next clean-up."""
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(SALT)))
     copies = table.withColumn("copy", F.explode(F.array(*map(F.lit, range(SALT)))))
+    copies = copies.hint("merge")
     return dealt.join(copies, (dealt[key] == copies["at"]) & (dealt["salt"] == copies["copy"]), how).drop("salt", "copy", "at")
 
 
@@ -214,12 +217,12 @@ def components(links: DataFrame) -> DataFrame:
         # the least root next door, for the node itself and for its root
         next_door = _lookup(both, "b", at.select(F.col("node").alias("at"), "root"), ["a"], "inner")
         near = (next_door.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-                .join(at, "node").select("node", "root", F.least("near", "root").alias("near")))
+                .join(at.hint("merge"), "node").select("node", "root", F.least("near", "root").alias("near")))
         hook = near.groupBy(F.col("root").alias("at")).agg(F.min("near").alias("to"))
         step = _lookup(near, "root", hook, ["node"], "left").select(
             "node", F.col("root").alias("was"), F.least("near", F.coalesce("to", "near")).alias("root"))
         # whoever is a root now was one before
-        up = step.join(hook.select("at"), step.node == F.col("at")).select("at", F.col("root").alias("up"))
+        up = step.join(hook.select("at").hint("merge"), step.node == F.col("at")).select("at", F.col("root").alias("up"))
         done = keep_table(_lookup(step, "root", up, ["node"], "left").select(
             "node", "was", F.least("root", F.coalesce("up", "root")).alias("root")), "roots")
         if done.where(F.col("was") != F.col("root")).isEmpty():
