@@ -4,9 +4,9 @@
         --column Code --value CAE
     python -m tablewright.cli positional --source in/ --position 20=type1 --position 31=region \
         --position 61=type2 --target out/
-    python -m tablewright.cli limits-load --table det_crit_lim --data-file f.data \
-        --location s3a://b/tables/det_crit_lim --charset windows-1251
-    python -m tablewright.cli snapshot --source db.z_main_docum --target db.archive \
+    python -m tablewright.cli limits-load --table limits --data-file f.data \
+        --location s3a://b/tables/limits --charset windows-1251
+    python -m tablewright.cli snapshot --source db.documents_table --target db.archive \
         --location s3a://b/tables/archive [--sequence]
     python -m tablewright.cli filter-table --source db.category --target db.category_after \
         --predicate "catid < :limit" --param limit=7

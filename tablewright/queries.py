@@ -30,6 +30,7 @@ from tablewright.session import has_avro, new_work_dir, unique_name
 from tablewright.sinks.avro import write_avro
 from tablewright.sinks.csv import write_csv
 from tablewright.sinks.delimited import write_delimited
+from tablewright.sinks.routed import write_routed
 from tablewright.sinks.sequence import write_sequence
 from tablewright.sinks.verify import verified_insert_overwrite
 from tablewright.sources.avro import read_avro
@@ -265,6 +266,17 @@ catalog_filter_copy = Staged(prepare=_category,
 view_rebinding = Staged(prepare=_category, run=_view_rebinding)
 
 
+def _one_scan_two_targets(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
+    """CAT-10 and SNK-4 at once: the whole table and a filtered copy, written in one pass."""
+    whole, part = new_work_dir(spark, "category-all"), new_work_dir(spark, "category-after")
+    write_routed(spark.table(src), {whole: None, part: F.col("c_nationkey") < 7})
+    return (spark.read.parquet(whole).withColumn("handle", F.lit("unfiltered"))
+            .unionByName(spark.read.parquet(part).withColumn("handle", F.lit("filtered"))))
+
+
+one_scan_two_targets = Staged(prepare=_category, run=_one_scan_two_targets)
+
+
 # --- J3: external table over a data source -------------------------------------
 
 connector_catalog_table = Staged(
@@ -511,6 +523,7 @@ QUERIES: dict[str, Staged] = {
     "typed_expr_filter": typed_expr_filter,
     "preview_rows": preview_rows,
     "window_rank_running_total": window_rank_running_total,
+    "one_scan_two_targets": one_scan_two_targets,
     "csv_multiline_split": csv_multiline_split,
     "csv_quarantine": csv_quarantine,
     "csv_skipping_filter": csv_skipping_filter,
@@ -573,6 +586,8 @@ def _profile_oracle() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "one_scan_two_targets": ("SELECT *, 'unfiltered' AS handle FROM customer UNION ALL "
+                             "SELECT *, 'filtered' AS handle FROM customer WHERE c_nationkey < 7"),
     "csv_multiline_split": "SELECT " + ", ".join(MULTILINE_FROM_EVENTS) + " FROM events",
     "csv_quarantine": _quarantine_oracle(),
     "csv_skipping_filter": "SELECT * FROM lineitem WHERE l_partkey < 150 AND l_linenumber = 3 AND l_returnflag = 'R'",

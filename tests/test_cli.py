@@ -29,7 +29,7 @@ def test_filter_table_and_limits_load(spark, workdir, capsys):
     assert _last(capsys).endswith("\t7 rows")
     rows = spark.createDataFrame([("Привет", 1, 0.5)], "crit string, up int, low double")
     write_delimited(rows, f"{workdir}/lim", charset="windows-1251")
-    main(["limits-load", "--table", unique_name("det_crit_lim"), "--data-file", f"{workdir}/lim",
+    main(["limits-load", "--table", unique_name("limits"), "--data-file", f"{workdir}/lim",
           "--location", f"{workdir}/limtbl"], spark)
     assert _last(capsys).endswith("\t1 rows")
 
@@ -38,7 +38,7 @@ def test_snapshot_to_sequencefile(spark, workdir, capsys):
     exprs = [f"CAST(id AS {'timestamp_ntz' if t == 'timestamp' else t}) AS {n}" if t not in ("string", "timestamp")
              else (f"CAST(id AS STRING) AS {n}" if t == "string" else f"timestamp_ntz'2024-01-01 00:00:00' AS {n}")
              for n, t in WIDE_DOCUMENT_COLUMNS]
-    src = unique_name("z_main_docum")
+    src = unique_name("documents_table")
     spark.range(3).selectExpr(*exprs).write.option("path", f"{workdir}/{src}").saveAsTable(src)
     main(["snapshot", "--source", src, "--target", f"{workdir}/seq", "--sequence"], spark)
     assert _last(capsys).endswith("\t3 rows")

@@ -73,7 +73,7 @@ def test_unquoted_empty_and_null_stay_apart(spark, workdir):
 def test_limits_load_replaces_content(spark, workdir):
     rows = spark.createDataFrame([("Привет A", 1, 1.0), ("Привет B", 2, None)], "crit string, up int, low double")
     write_delimited(rows, f"{workdir}/data", charset="windows-1251")
-    name = unique_name("det_crit_lim")
+    name = unique_name("limits")
     t = jobs.limits_load(spark, name, f"{workdir}/data", f"{workdir}/tbl", columns=LIMITS_COLUMNS)
     assert sorted(tuple(r) for r in t.collect()) == [("Привет A", 1, 1.0), ("Привет B", 2, None)]
     # the table itself is Windows-1251 text
@@ -138,7 +138,7 @@ def test_crlf_files_read_like_hive(spark, workdir):
 
     from conftest import local_path
     os.makedirs(local_path(f"{workdir}/crlf"))
-    with open(local_path(f"{workdir}/crlf/det_crit_lim.data"), "wb") as f:
+    with open(local_path(f"{workdir}/crlf/limits.data"), "wb") as f:
         f.write(data)
     rows = read_delimited(spark, f"{workdir}/crlf", "crit string, up int, low double",
                           charset="windows-1251").collect()
@@ -161,9 +161,9 @@ def test_load_data_local_uploads_the_driver_file(spark, workdir):
 
     from tablewright import catalog
     local_dir = tempfile.mkdtemp(prefix="tw-local-")
-    with open(f"{local_dir}/det_crit_lim.data", "wb") as f:
+    with open(f"{local_dir}/limits.data", "wb") as f:
         f.write("Привет\t1\t0.5\r\n".encode("cp1251"))
     name = unique_name("lim_local")
     catalog.create_delimited_table(spark, name, LIMITS_COLUMNS, f"{workdir}/{name}", charset="windows-1251")
-    catalog.load_file_overwrite(spark, name, f"{local_dir}/det_crit_lim.data", local=True)
+    catalog.load_file_overwrite(spark, name, f"{local_dir}/limits.data", local=True)
     assert [tuple(r) for r in spark.table(name).collect()] == [("Привет", 1, 0.5)]
