@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -38,6 +40,7 @@ def write_csv(
     sources: list[str] = (),
     compression: str | None = None,
     on_empty: str = "null",
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write ``df`` as CSV, one file per task (no funnel through one task).
 
@@ -46,8 +49,8 @@ def write_csv(
     always on.  Without ``null_value`` an empty string is read back as null;
     ``on_empty="error"`` fails the write on one instead.  With ``null_value``
     (given to the reader too) empty strings survive, and a value equal to the
-    marker fails the write.  ``compression`` (``gzip``, ``zstd``, …) applies to this
-    write only.  An overwrite is atomic: a failed job leaves ``path`` as it
+    marker fails the write.  ``compression`` (``gzip``, ``zstd``, …) and ``options``
+    (others of Spark's CSV writer) apply to this write only.  An overwrite is atomic: a failed job leaves ``path`` as it
     was (``sinks.replace``).
     """
     if on_empty not in ("null", "error"):
@@ -61,6 +64,7 @@ def write_csv(
         opts["quoteAll"] = "true"
     if compression:
         opts["compression"] = compression
+    opts.update(options or {})
     if mode != "overwrite":
         df.write.mode(mode).options(**opts).csv(path)
         return

@@ -40,3 +40,14 @@ def test_wide_copies_are_stored_without_dictionaries(spark, tables):
             assert group.column(i).compression == "ZSTD" and not group.column(i).has_dictionary_page
     want = spark.read.parquet(f"{tables}/orders.parquet").selectExpr(*queries.wide_document_exprs("spark"))
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_wide_text_is_staged_compressed(spark, tables):
+    src = queries.csv_wide_positional_project.prepare(spark, tables)
+    stored = files(src.removeprefix("file:"), ".gz")
+    assert stored and not files(src.removeprefix("file:"), ".csv")
+    # columns 20, 31 and 61 of the text are columns 9, 9 and 6 of the table
+    want = spark.read.parquet(f"{tables}/lineitem.parquet").selectExpr(
+        "concat('20|', l_linestatus) AS type1", "concat('31|', l_linestatus) AS region", "concat('61|', l_discount) AS type2")
+    got = queries.csv_wide_positional_project.run(spark, tables, src)
+    assert sorted(got.collect()) == sorted(want.collect())
