@@ -30,31 +30,44 @@ MAX_DIGITS = 38
 SKETCH = 12  # 2**12 registers: a standard error of about 1.6 %
 
 
-def fits(value: Column) -> Column:
+def _shapes(value: Column, number: Column) -> tuple[Column, Column]:
+    """Is ``value`` an integer, a decimal?  A number without an exponent is a
+    decimal, a decimal without a point an integer: one pattern tells all three."""
+    decimal = number & ~value.contains("e") & ~value.contains("E")
+    return decimal & ~value.contains("."), decimal
+
+
+def fits(value: Column, number: Column | None = None) -> Column:
     """The bits of the types that ``value`` (not null) can be stored as
-    without loss: numbers have no leading zeros, dates and timestamps exist."""
-    integer, decimal, number = value.rlike(INTEGER), value.rlike(DECIMAL), value.rlike(NUMBER)
-    date = value.rlike(DATE) & value.try_cast("date").isNotNull()
-    tests = {
-        "boolean": F.lower(value).isin("true", "false"),
-        "int": integer & value.try_cast("int").isNotNull(),
-        "bigint": integer & value.try_cast("bigint").isNotNull(),
-        "decimal": decimal,
-        "double": number & value.try_cast("double").isNotNull(),
-        "date": date,
-        "timestamp": date | (value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull()),
-    }
-    out = F.lit(0)
-    for name, test in tests.items():
-        out = out + F.when(test, F.lit(BIT[name])).otherwise(F.lit(0))
-    return out
-
-
-def _digits(value: Column) -> tuple[Column, Column]:
+    without loss: numbers have no leading zeros, dates and timestamps exist.
+
+    Only values of a type's possible lengths (and a line end, which the patterns
+    let pass) are tried as that type, and no number as a date or timestamp.
+    ``number`` is ``value.rlike(NUMBER)``, if the caller has it already.
+    """
+    number = value.rlike(NUMBER) if number is None else number
+    integer, decimal = _shapes(value, number)
+    size = F.length(value)
+    big = value.try_cast("bigint")
+    date = size.between(10, 12) & value.rlike(DATE) & value.try_cast("date").isNotNull()
+    moment = size.between(19, 28) & value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull()
+    bit = {t: F.lit(b) for t, b in BIT.items()}
+    whole = (F.when(big.between(-(1 << 31), (1 << 31) - 1), F.lit(BIT["int"] | BIT["bigint"]))
+             .when(big.isNotNull(), bit["bigint"]).otherwise(F.lit(0)))
+    of_number = (F.when(decimal, bit["decimal"]).otherwise(F.lit(0))
+                 + F.when(value.try_cast("double").isNotNull(), bit["double"]).otherwise(F.lit(0))
+                 + F.when(integer, whole).otherwise(F.lit(0)))
+    return (F.when(number, of_number)
+            .when(size.between(4, 5) & F.lower(value).isin("true", "false"), bit["boolean"])
+            .when(date, F.lit(BIT["date"] | BIT["timestamp"])).when(moment, bit["timestamp"]).otherwise(F.lit(0)))
+
+
+def _digits(value: Column, number: Column) -> tuple[Column, Column]:
     """Digits before and behind the point of a decimal."""
-    plain = F.when(value.rlike(DECIMAL), F.ltrim(value, F.lit("-")))
-    whole = F.length(F.substring_index(plain, ".", 1))
-    return whole, F.length(plain) - whole - F.when(F.instr(plain, ".") > 0, 1).otherwise(0)
+    _, decimal = _shapes(value, number)
+    sign, point, size = value.startswith("-").cast("int"), F.instr(value, "."), F.length(value)
+    return (F.when(decimal, F.when(point > 0, point - 1 - sign).otherwise(size - sign)),
+            F.when(decimal, F.when(point > 0, size - point).otherwise(0)))
 
 
 def narrowest(bits: Column, whole: Column, scale: Column) -> Column:
@@ -82,17 +95,20 @@ def profile(df: DataFrame) -> DataFrame:
     other = [f.name for f in df.schema.fields if not isinstance(f.dataType, StringType)]
     if other:
         raise CapabilityError(f"profile reads text columns; not text: {', '.join(other)}")
-    aggregates = [F.count(F.lit(1)).alias("rows")]
+    # the number a value is, once a value, in a projection of its own; the tests that need it stay in the aggregates,
+    # which Spark compiles in parts: side by side in one projection they outgrow what the JVM compiles
+    values, aggregates = [], [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(df.columns):
-        c = F.col(f"`{name}`")
-        whole, scale = _digits(c)
-        number = F.when(c.rlike(NUMBER), c.try_cast("double"))
+        c, number = F.col(f"v{i}"), F.col(f"number{i}")
+        value = F.col(f"`{name}`")
+        values += [value.alias(f"v{i}"), F.when(value.rlike(NUMBER), value.try_cast("double")).alias(f"number{i}")]
+        whole, scale = _digits(c, number.isNotNull())
         aggregates.append(F.struct(
-            F.bit_and(F.when(c.isNotNull(), fits(c))).alias("bits"), F.max(whole).alias("whole"),
+            F.bit_and(F.when(c.isNotNull(), fits(c, number.isNotNull()))).alias("bits"), F.max(whole).alias("whole"),
             F.max(scale).alias("scale"), F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
             F.min(number).alias("low"), F.max(number).alias("high"), F.max(F.length(c)).alias("longest"),
             F.hll_sketch_agg(c, F.lit(SKETCH)).alias("sketch")).alias(f"c{i}"))
-    folded = df.agg(*aggregates)
+    folded = df.select(*values).agg(*aggregates)
     rows = []
     for i, name in enumerate(df.columns):
         c = F.col(f"c{i}")

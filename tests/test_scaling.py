@@ -6,7 +6,10 @@ import os
 import pyarrow.parquet as pq
 import pytest
 
+from pyspark.sql import functions as F
+
 from tablewright import queries
+from tablewright.operators.profile import BIT, DATE, DECIMAL, INTEGER, NUMBER, TIMESTAMP, fits, profile
 from tests.conftest import local_path
 
 
@@ -51,3 +54,23 @@ def test_wide_text_is_staged_compressed(spark, tables):
         "concat('20|', l_linestatus) AS type1", "concat('31|', l_linestatus) AS region", "concat('61|', l_discount) AS type2")
     got = queries.csv_wide_positional_project.run(spark, tables, src)
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_a_value_meets_three_patterns_at_most(spark):
+    folded = profile(spark.createDataFrame([("1",)], "a string"))
+    assert 1 <= folded._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") <= 3
+
+
+def test_fits_as_each_type_tried_alone(spark):
+    values = ["12", "-0", "12\n", "1.5\r\n", "1e400", "-1E5", "2147483647", "2147483648", "-2147483648", "-9223372036854775809",
+              "true\n", "TRUE", "fals", "2024-02-29\n", "2024-02-30", "0000-01-01", "2024-02-29 10:00:00.5\r\n", "2024-02-29T25:00:00",
+              "1" * 400, "e", "E5", "1.e5", "\u0661", "", " ", "NaN", "Infinity", None]
+    v = F.col("v")
+    date = v.rlike(DATE) & v.try_cast("date").isNotNull()
+    alone = {"boolean": F.lower(v).isin("true", "false"), "int": v.rlike(INTEGER) & v.try_cast("int").isNotNull(),
+             "bigint": v.rlike(INTEGER) & v.try_cast("bigint").isNotNull(), "decimal": v.rlike(DECIMAL),
+             "double": v.rlike(NUMBER) & v.try_cast("double").isNotNull(), "date": date,
+             "timestamp": date | (v.rlike(TIMESTAMP) & v.try_cast("timestamp_ntz").isNotNull())}
+    want = sum((F.when(test, F.lit(BIT[t])).otherwise(0) for t, test in alone.items()), F.lit(0))
+    rows = spark.createDataFrame([(x,) for x in values], "v string").select("v", fits(v).alias("got"), want.alias("want")).collect()
+    assert [(r.v, r.got) for r in rows] == [(r.v, r.want) for r in rows]
