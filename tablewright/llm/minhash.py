@@ -216,8 +216,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # the least root next door, for the node itself and for its root
         next_door = _lookup(both, "b", at.select(F.col("node").alias("at"), "root"), ["a"], "inner")
-        near = (next_door.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-                .join(at.hint("merge"), "node").select("node", "root", F.least("near", "root").alias("near")))
+        # a node's own root meets those next door in the same sum, not in a join of its own
+        own = at.select("node", "root", F.col("root").alias("near"))
+        near = (next_door.select(F.col("a").alias("node"), F.lit(None).cast("binary").alias("root"), F.col("root").alias("near"))
+                .union(own).groupBy("node").agg(F.max("root").alias("root"), F.min("near").alias("near")))
         hook = near.groupBy(F.col("root").alias("at")).agg(F.min("near").alias("to"))
         step = _lookup(near, "root", hook, ["node"], "left").select(
             "node", F.col("root").alias("was"), F.least("near", F.coalesce("to", "near")).alias("root"))
@@ -246,10 +248,11 @@ def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _blocks(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``node``, ``root``, ``block``, ``only`` (the component, if a block has just one)."""
+    """``node``, ``root``, ``block``, ``only`` (the component, if a block has just one) and
+    the node's ``buckets`` (one a band at most)."""
     # the centres of a family's buckets are few: those of its members that come first
     first = F.min(F.struct(F.xxhash64("centre").alias("p"), "centre"))["centre"]
-    home = mixed.groupBy("node", "root").agg(first.alias("home")).join(sizes, "node")
+    home = mixed.groupBy("node", "root").agg(first.alias("home"), F.collect_list("bucket").alias("buckets")).join(sizes, "node")
     cells = home.groupBy("home", "root").agg(F.count("*").alias("nodes"), F.sum("size").alias("elements"))
     cells = cells.withColumn("only", F.when(F.col("nodes") >= BLOCK, F.col("root")))
     # large components have their own blocks, the others of a bucket share theirs
@@ -259,7 +262,7 @@ def _blocks(mixed: DataFrame, sizes: DataFrame) -> DataFrame:
         parts.withColumnsRenamed({"home": "h", "only": "o"}),
         (F.col("home") == F.col("h")) & F.col("only").eqNullSafe(F.col("o"))).select("home", "root", "only", "parts")
     return home.join(cells, ["home", "root"]).select(
-        "node", "root", "only", F.xxhash64("home", "only", F.pmod(F.xxhash64(F.lit(2), "node"), "parts")).alias("block"))
+        "node", "root", "only", "buckets", F.xxhash64("home", "only", F.pmod(F.xxhash64(F.lit(2), "node"), "parts")).alias("block"))
 
 
 def _group_links(x: np.ndarray, y: np.ndarray, root: np.ndarray, sizes: np.ndarray, flat: np.ndarray,
@@ -322,13 +325,15 @@ def _remaining_links(mixed: DataFrame, sets: DataFrame, similarity: float) -> Da
     """``a``, ``b``: components that similar nodes of a ``mixed`` bucket join."""
     blocks = keep_table(_blocks(mixed, sets.select("node", F.size("elements").alias("size"))), "blocks")
     # blocks that share a bucket meet, whole; one component's own blocks need not
-    present = mixed.select("bucket", "node").join(blocks, "node").select("bucket", "block", "only").distinct()
+    # a block's nodes share most of their buckets: those are gathered first, so no row is made per node and bucket
+    present = blocks.groupBy("block", "only").agg(F.array_distinct(F.flatten(F.collect_set("buckets"))).alias("buckets"))
+    present = present.select(F.explode("buckets").alias("bucket"), "block", "only")
     other = present.select("bucket", F.col("block").alias("y"), F.col("only").alias("other"))
     pairs = present.join(other, "bucket").where(
         (F.col("block") <= F.col("y")) & (F.col("only").isNull() | F.col("other").isNull() | (F.col("only") != F.col("other"))))
     pairs = pairs.select(F.col("block").alias("x"), "y").distinct()
     sides = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    met = blocks.drop("only").join(sides, "block")
+    met = blocks.drop("only", "buckets").join(sides, "block")
     groups = met.join(sets, "node").select("x", "y", "block", "root", "elements")
 
     def run(table: pa.Table) -> pa.Table:

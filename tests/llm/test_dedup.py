@@ -213,3 +213,13 @@ def test_letters_of_newer_unicode_versions_stay_apart(spark):
     docs = spark.createDataFrame([(1, "Ⱟ x"), (2, "ⱟ x"), (3, "ⱟ X")], "doc_id long, text string")
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs).collect()}
     assert got == {1: (1, 1, True), 2: (3, 2, False), 3: (3, 2, True)}
+
+
+def test_a_node_brings_its_buckets_to_its_block_in_one_row(spark):
+    from tablewright.llm.minhash import _blocks
+    rows = [(b, b"c", bytes([n]), bytes([n])) for n in range(20) for b in range(n % 4 + 1)]
+    mixed = spark.createDataFrame(rows, "bucket long, centre binary, node binary, root binary")
+    sizes = mixed.select("node").distinct().withColumn("size", F.lit(3))
+    got = {bytes(r.node): sorted(r.buckets) for r in _blocks(mixed, sizes).collect()}
+    assert got == {bytes([n]): list(range(n % 4 + 1)) for n in range(20)}
+    assert _blocks(mixed, sizes).count() == 20
