@@ -98,3 +98,48 @@ def test_decimals_and_timestamps_of_a_record_are_cast_as_the_csv_parser_reads_th
     text = ["CAST(d AS STRING)", "CAST(t AS STRING)"]  # years beyond Python's
     got, want = ([tuple(r) for r in df.selectExpr(*text).collect()] for df in (got, want))
     assert [x for x in zip(pairs, got, want) if x[1] != x[2]] == []
+
+
+@pytest.fixture()
+def odd_orders(spark, workdir):
+    """20,000 orders in no order: one in eight without a key, one in eight of the same key, odd dates and prices."""
+    spark.range(20_000, numPartitions=3).selectExpr(
+        "CASE id % 8 WHEN 0 THEN NULL WHEN 1 THEN 77 ELSE id * 7919 % 20011 END AS o_orderkey",
+        "CASE WHEN id % 9 > 0 THEN abs(xxhash64(id, 1)) % 15000 END AS o_custkey",
+        "CASE WHEN id % 11 > 0 THEN substr('OFP', 1 + CAST(id % 3 AS INT), 1) END AS o_orderstatus",
+        "CASE id % 700 WHEN 0 THEN NULL WHEN 1 THEN -0.01 WHEN 2 THEN 999999999999.99 ELSE abs(xxhash64(id, 2)) % 50000000 / 100 END "
+        "AS o_totalprice",
+        "CASE id % 700 WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP_NTZ'0001-01-01 00:00:00' WHEN 2 THEN TIMESTAMP_NTZ'1969-12-31 23:59:59.5' "
+        "WHEN 3 THEN TIMESTAMP_NTZ'1969-12-31 23:59:59.000001' WHEN 4 THEN TIMESTAMP_NTZ'1582-10-10 12:00:00' "
+        "ELSE dateadd(day, CAST(abs(xxhash64(id, 3)) % 2400 AS INT), TIMESTAMP_NTZ'1995-01-01 00:00:00') END AS o_orderdate",
+        "element_at(array('1-URGENT', '5-LOW', ' ', NULL), 1 + CAST(id % 4 AS INT)) AS o_orderpriority",
+    ).write.parquet(f"{workdir}/orders.parquet")
+    return workdir
+
+
+def test_wide_source_is_stored_small_in_key_order_over_all_files(spark, odd_orders):
+    src = spark.table(queries._wide_source(spark, odd_orders))
+    want = spark.read.parquet(f"{odd_orders}/orders.parquet").selectExpr(*queries.wide_document_exprs("spark"))
+    assert src.columns == want.columns and src.exceptAll(want).isEmpty() and want.exceptAll(src).isEmpty()
+    parts = [(r.least, r.most) for r in src.select(F.input_file_name().alias("file"), F.coalesce("ctl_csn", F.lit(-1)).alias("key"))
+             .groupBy("file").agg(F.min("key").alias("least"), F.max("key").alias("most")).collect()]
+    parts.sort()
+    assert len(parts) > 1 and all(a[1] <= b[0] for a, b in zip(parts, parts[1:]))  # ranges meet at their ends at most
+    assert sum(os.path.getsize(local_path(p).removeprefix("//")) for p in src.inputFiles()) < 450 * 20_000
+
+
+def test_rows_of_one_key_part(spark, workdir):
+    spark.range(4000).selectExpr("CAST(NULL AS LONG) AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "1.5D AS o_totalprice",
+                                 "TIMESTAMP_NTZ'1995-03-01 00:00:00' AS o_orderdate", "'5-LOW' AS o_orderpriority"
+                                 ).write.parquet(f"{workdir}/orders.parquet")
+    src = spark.table(queries._wide_source(spark, workdir))
+    sizes = [r["count"] for r in src.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2000
+
+
+def test_wide_copies_of_no_rows(spark, workdir):
+    spark.createDataFrame([], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                              "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{workdir}/orders.parquet")
+    for query in (queries.wide_table_copy, queries.wide_snapshot_copy):
+        got = query(spark, workdir)
+        assert got.isEmpty() and len(got.columns) == 163
