@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tablewright import queries
 from tablewright.functions.text import csv_options, decode_records
 from tablewright.operators.profile import BIT, DATE, DECIMAL, INTEGER, NUMBER, TIMESTAMP, fits, profile
+from tablewright.plans import jobs
+from tablewright.session import unique_name
 from tests.conftest import local_path
 
 
@@ -143,3 +145,20 @@ def test_wide_copies_of_no_rows(spark, workdir):
     for query in (queries.wide_table_copy, queries.wide_snapshot_copy):
         got = query(spark, workdir)
         assert got.isEmpty() and len(got.columns) == 163
+
+
+def test_pages_of_wide_storage_end_by_their_bytes(spark, workdir):
+    """60,000 rows in one file: three pages of each column before, and more bytes."""
+    rows = spark.range(60_000, numPartitions=1).selectExpr(
+        "CAST(id AS DECIMAL(38,12)) AS k", "concat('c_series:', id) AS s",
+        "timestampadd(MICROSECOND, id, dateadd(day, CAST(abs(xxhash64(id)) % 2400 AS INT), TIMESTAMP_NTZ'1995-01-01 00:00:00')) AS t")
+    src, dst = queries._stage_table(spark, rows, "paged_source"), unique_name("paged_copy")
+    columns = [("k", "decimal(38,12)"), ("s", "string"), ("t", "timestamp")]
+    got = jobs.snapshot_copy(spark, src, dst, columns=columns, location=f"{workdir}/copy", options=queries.WIDE_STORAGE)
+    assert got.count() == 60_000 and got.exceptAll(rows).isEmpty()
+    cut = f"{workdir}/cut"
+    spark.table(src).write.options(**{**queries.WIDE_STORAGE, "parquet.page.row.count.limit": "20000"}).parquet(cut)
+    (now,), (was,) = ([pq.ParquetFile(f).metadata.row_group(0) for f in found] for found in
+                      ([p.removeprefix("file://") for p in got.inputFiles()], files(cut, ".parquet")))
+    sizes = [(now.column(i).total_compressed_size, was.column(i).total_compressed_size) for i in range(3)]
+    assert sizes[1][0] < 0.5 * sizes[1][1] and sizes[2][0] < 0.9 * sizes[2][1] and sizes[0][0] <= sizes[0][1]
